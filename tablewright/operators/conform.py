@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import MapType, StringType, StructType
 
 from tablewright.operators.common import ColumnOrName, as_column
 
@@ -61,7 +61,8 @@ def rescue_columns(
         rescued = F.when(F.size(filled) > 0, filled)
     else:
         rescued = F.lit(None).cast("map<string,string>")
-    return conform_schema(df.withColumn(into, rescued), schema.add(into, "map<string,string>"))
+    texts = MapType(StringType(), StringType())
+    return conform_schema(df.withColumn(into, rescued), StructType([*schema.fields]).add(into, texts))
 
 
 def rename_all(df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -108,8 +109,9 @@ def value_group(value: ColumnOrName, groups: Mapping[str, Sequence], other: str)
 
 
 def sample_bucket(df: DataFrame, keys: Sequence[str], buckets: int, bucket: int) -> DataFrame:
-    """A repeatable sample: the rows whose key falls into one of ``buckets``."""
-    return df.filter(F.pmod(F.crc32(F.concat_ws("|", *keys)), F.lit(buckets)) == bucket)
+    """A repeatable sample: the rows whose key hashes to one of ``buckets``."""
+    digits = F.substring(F.md5(F.concat_ws("|", *keys)), 1, 8)
+    return df.filter(F.conv(digits, 16, 10).cast("bigint") % buckets == bucket)
 
 
 def parity_counts(df: DataFrame, column: str) -> DataFrame:

@@ -209,3 +209,26 @@ def rank_rows(
     return joined.select(
         *df.columns, *[F.col(src).cast("bigint").alias(name) for name, src in wanted.items() if name]
     )
+
+
+def capacity_cutoff(
+    df: DataFrame,
+    order: Sequence[str],
+    weight: str,
+    limit,
+    keys: Sequence[str] = (),
+    into: str = "running",
+    *,
+    max_group_rows: int | None = MAX_GROUP_ROWS,
+) -> DataFrame:
+    """The last row, in order, whose running weight stays within ``limit``.
+
+    Weights are taken to be positive, as for a queue: the row is the one with the
+    largest running weight. The row is picked by an aggregate, not by a sort.
+    """
+    totals = running_sum(df, keys, order, {into: weight}, max_group_rows=max_group_rows)
+    within = totals.filter(F.col(into) <= limit)
+    rest = [c for c in df.columns if c not in (*keys, *order)]
+    last = F.max(F.struct(into, *order, *rest)).alias("__row")
+    picked = within.groupBy(*keys).agg(last).select(*keys, "__row.*")
+    return picked.filter(F.col(into).isNotNull()).select(*df.columns, into)

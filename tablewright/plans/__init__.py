@@ -1,0 +1 @@
+"""Registered queries and the batch jobs built on the operators."""
