@@ -6,7 +6,7 @@ import importlib
 
 from tablewright.plans.registry import ORACLES, QUERIES
 
-MODULES = ("columns", "joining", "grouping", "windowing", "versions", "shaping")
+MODULES = ("columns", "joining", "grouping", "windowing", "versions", "shaping", "files", "streams")
 
 for _name in MODULES:
     importlib.import_module(f"tablewright.plans.{_name}")
