@@ -115,13 +115,17 @@ def salted_join(
     return left.join(right, [*on, "__salt"], how).drop("__salt")
 
 
-def compare_to_group(df: DataFrame, keys: Sequence[str], value: str, places: int = 2) -> DataFrame:
+def compare_to_group(
+    df: DataFrame, keys: Sequence[str], value: str, places: int = 2, mean: Column | None = None
+) -> DataFrame:
     """Each row beside its group mean, the difference and the difference in percent.
 
     The means are joined back (one row per group) rather than computed over a
-    window, so rows of a hot group stay where they are.
+    window, so rows of a hot group stay where they are. ``mean`` replaces the plain
+    average, for instance by one of exact sums.
     """
-    means = df.groupBy(*keys).agg(F.avg(value).alias("group_mean"))
+    average = F.avg(value) if mean is None else mean
+    means = df.groupBy(*keys).agg(average.alias("group_mean"))
     joined = join_null_safe(df, means, keys)
     difference = F.col("group_mean") - F.col(value)
     return joined.withColumns(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tablewright.operators import conform, ranking, sets
-from tablewright.operators.common import day_text, money
+from tablewright.operators.common import day_text, money, total
 from tablewright.operators.ordered import number_rows
 from tablewright.plans.registry import query, table
 
@@ -385,7 +385,7 @@ def top5_bottom5(spark, folder):
     spent = (
         table(spark, folder, "orders")
         .groupBy(F.col("o_custkey").alias("custkey"))
-        .agg(F.sum(money("o_totalprice")).cast("double").alias("spent"))
+        .agg(total("o_totalprice").alias("spent"))
     )
     return ranking.ends(spent, ["spent", "custkey"], 5)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tablewright.operators import conform, reshape
-from tablewright.operators.common import money
+from tablewright.operators.common import money, total
 from tablewright.plans import batch_job, layers
 from tablewright.plans.registry import query, table
 from tablewright.session import run_folder
@@ -21,7 +21,7 @@ def _orders(spark, folder):
 
 def _by_status(df):
     return df.groupBy("o_orderstatus").agg(
-        F.count(F.lit(1)).alias("orders"), F.sum(money("o_totalprice")).cast("double").alias("amount")
+        F.count(F.lit(1)).alias("orders"), total("o_totalprice").alias("amount")
     )
 
 
@@ -292,7 +292,7 @@ def batch_job_output(spark, folder):
     batch_job.run_batch(spark, batch_job.BatchJob(f"{place}/in", f"{place}/out"))
     back = readers.read_columnar(spark, f"{place}/out", schema="id int, amount double, date string")
     return back.groupBy("date").agg(
-        F.count(F.lit(1)).alias("rows"), F.sum(money("amount")).cast("double").alias("amount")
+        F.count(F.lit(1)).alias("rows"), total("amount").alias("amount")
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tablewright.operators import joins, ranking, reshape
-from tablewright.operators.common import day_text, money
+from tablewright.operators.common import day_text, total
 from tablewright.plans.registry import query, table
 from tablewright.session import run_folder
 from tablewright.sinks.writers import save_table
@@ -42,7 +42,7 @@ def inner_join_on_two_names(spark, folder):
     orders = table(spark, folder, "orders").select("o_orderkey", "o_orderpriority")
     joined = joins.equi_join(lines, orders, {"l_orderkey": "o_orderkey"})
     return joined.groupBy("o_orderpriority").agg(
-        F.count(F.lit(1)).alias("lines"), F.sum(money("l_extendedprice")).cast("double").alias("amount")
+        F.count(F.lit(1)).alias("lines"), total("l_extendedprice").alias("amount")
     )
 
 
@@ -50,7 +50,7 @@ def _by_strategy(spark, folder, strategy):
     lines = table(spark, folder, "lineitem").select("l_partkey", "l_quantity")
     part = table(spark, folder, "part").select("p_partkey", "p_brand")
     joined = joins.equi_join(lines, part, {"l_partkey": "p_partkey"}, strategy=strategy)
-    return joined.groupBy("p_brand").agg(F.sum(money("l_quantity")).cast("double").alias("quantity"))
+    return joined.groupBy("p_brand").agg(total("l_quantity").alias("quantity"))
 
 
 _BRANDS = """
@@ -80,7 +80,7 @@ def broadcast_join(spark, folder):
     nation = table(spark, folder, "nation").toDF("nationkey", "nation", "regionkey")
     joined = joins.broadcast_join(supplier, nation, ["nationkey"])
     return joined.groupBy("nation").agg(
-        F.count(F.lit(1)).alias("suppliers"), F.sum(money("s_acctbal")).cast("double").alias("balance")
+        F.count(F.lit(1)).alias("suppliers"), total("s_acctbal").alias("balance")
     )
 
 
@@ -203,7 +203,7 @@ def not_in_list_with_null(spark, folder):
 def scalar_subquery(spark, folder):
     customer = table(spark, folder, "customer").select("c_custkey", "c_acctbal")
     best = customer.agg(F.max("c_acctbal")).scalar()
-    mean = customer.agg(F.sum(money("c_acctbal")).cast("double") / F.count(F.lit(1))).scalar()
+    mean = customer.agg(total("c_acctbal") / F.count(F.lit(1))).scalar()
     return customer.filter((F.col("c_acctbal") != best) & (F.col("c_acctbal") > mean))
 
 
@@ -291,7 +291,7 @@ def salted_join(spark, folder):
     part = table(spark, folder, "part").select(F.col("p_partkey").alias("partkey"), "p_type")
     joined = joins.salted_join(lines, part, ["partkey"], salts=8)
     return joined.groupBy("p_type").agg(
-        F.count(F.lit(1)).alias("lines"), F.sum(money("l_quantity")).cast("double").alias("quantity")
+        F.count(F.lit(1)).alias("lines"), total("l_quantity").alias("quantity")
     )
 
 
@@ -319,7 +319,7 @@ def bucketed_join(spark, folder):
     ]
     joined = joins.equi_join(*saved, ["orderkey"], strategy="merge")
     return joined.groupBy("o_orderstatus").agg(
-        F.count(F.lit(1)).alias("lines"), F.sum(money("l_extendedprice")).cast("double").alias("amount")
+        F.count(F.lit(1)).alias("lines"), total("l_extendedprice").alias("amount")
     )
 
 
@@ -334,7 +334,8 @@ def bucketed_join(spark, folder):
 )
 def balance_vs_segment_mean(spark, folder):
     customer = table(spark, folder, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
-    compared = joins.compare_to_group(customer, ["c_mktsegment"], "c_acctbal")
+    mean = total("c_acctbal") / F.count("c_acctbal")
+    compared = joins.compare_to_group(customer, ["c_mktsegment"], "c_acctbal", mean=mean)
     return compared.withColumns({c: F.round(c, 4) for c in ("group_mean", "difference")})
 
 
@@ -361,7 +362,7 @@ def value_at_other_grain(spark, folder):
 def blended_sources(spark, folder):
     part = table(spark, folder, "part").select("p_partkey", "p_brand")
     large = table(spark, folder, "lineitem").filter("l_quantity > 40")
-    measures = {"lines": F.count(F.lit(1)), "quantity": F.sum(money("l_quantity")).cast("double")}
+    measures = {"lines": F.count(F.lit(1)), "quantity": total("l_quantity")}
     return joins.blend(part, large.withColumnRenamed("l_partkey", "p_partkey"), ["p_partkey"], measures)
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tablewright.operators import aggregates, islands
-from tablewright.operators.common import money
+from tablewright.operators.common import money, total
 from tablewright.plans.registry import query, table
 from tablewright.session import run_folder
 from tablewright.streaming import running, stateful, windows
@@ -42,7 +42,7 @@ _TUMBLING = """
 
 
 def _measures():
-    return {"events": F.count(F.lit(1)), "total": F.sum(money("value")).cast("double")}
+    return {"events": F.count(F.lit(1)), "total": total("value")}
 
 
 @query(_TUMBLING.format(where=""))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tablewright.operators import constraints, history
-from tablewright.operators.common import day_text, money
+from tablewright.operators.common import cents, day_text
 from tablewright.plans.registry import query, table
 from tablewright.session import run_folder
 from tablewright.sinks.writers import refresh
@@ -129,13 +129,13 @@ def incremental_refresh(spark, folder):
 
     def totals(rows):
         return rows.groupBy("o_custkey").agg(
-            F.count(F.lit(1)).alias("orders"), F.sum(money("o_totalprice")).cast("decimal(28,2)").alias("spent")
+            F.count(F.lit(1)).alias("orders"), F.sum(cents("o_totalprice")).alias("spent")
         )
 
     refresh(name, totals(orders.filter(F.col("o_orderdate") <= mark)), path=f"{place}/table")
     fresh = totals(history.incremental(orders, "o_orderdate", mark))
     refresh(name, fresh, "incremental", ["o_custkey"], ["orders", "spent"], scratch=f"{place}/next")
-    return spark.table(name).withColumn("spent", F.col("spent").cast("double"))
+    return spark.table(name).withColumn("spent", F.col("spent") / 100)
 
 
 def _rules():

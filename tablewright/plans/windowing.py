@@ -11,7 +11,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tablewright.operators import aggregates, islands, ordered, ranking
-from tablewright.operators.common import day_text, join_null_safe, money
+from tablewright.operators.common import cents, day_text, join_null_safe
 from tablewright.plans.registry import query, table
 
 _ORDER = ["o_orderdate", "o_orderkey"]
@@ -23,20 +23,21 @@ def monthly_sales_by_nation(spark, folder):
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     customer = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
     nation = table(spark, folder, "nation").select("n_nationkey", F.col("n_name").alias("nation"))
-    revenue = money("l_extendedprice") * (1 - F.col("l_discount").cast("decimal(4,2)"))
+    # In ten-thousandths: whole numbers within an order, decimals above.
+    revenue = cents("l_extendedprice") * (100 - cents("l_discount"))
     per_order = lines.groupBy("l_orderkey").agg(F.sum(revenue).alias("revenue"))
     per_month = (
         per_order.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .groupBy("c_nationkey", F.date_format("o_orderdate", "yyyy-MM").alias("month"))
-        .agg(F.sum("revenue").cast("decimal(30,2)").alias("sales"))
+        .agg(F.sum(F.col("revenue").cast("decimal(18,0)")).alias("sales"))
     )
     return per_month.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select("nation", "month", "sales")
 
 
 _SALES = """
     SELECT n_name AS nation, strftime(o_orderdate, '%Y-%m') AS month,
-           CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))) AS DECIMAL(30,2)) AS sales
+           SUM(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))) AS sales
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
       JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2
 """
@@ -56,14 +57,18 @@ def running_sales_report(spark, folder):
     """Running sum, previous month, difference and rank; a nation has few months."""
     w = Window.partitionBy("nation").orderBy("month")
     previous = F.lag("sales").over(w)
+
+    def units(column):
+        return column.cast("double") / 10000
+
     return monthly_sales_by_nation(spark, folder).select(
         "nation",
         "month",
-        F.col("sales").cast("double").alias("sales"),
-        F.sum("sales").over(w).cast("double").alias("running"),
+        units(F.col("sales")).alias("sales"),
+        units(F.sum("sales").over(w)).alias("running"),
         F.dense_rank().over(w).cast("bigint").alias("rank"),
-        previous.cast("double").alias("previous"),
-        F.coalesce(F.col("sales") - previous, F.lit(0)).cast("double").alias("difference"),
+        units(previous).alias("previous"),
+        units(F.coalesce(F.col("sales") - previous, F.lit(0))).alias("difference"),
     )
 
 
@@ -76,8 +81,8 @@ def running_sales_report(spark, folder):
 )
 def running_total_by_row(spark, folder):
     orders = table(spark, folder, "orders").select(*_ORDER, "o_custkey", "o_totalprice")
-    made = ordered.running_sum(orders, ["o_custkey"], _ORDER, {"running": money("o_totalprice")})
-    return made.select("o_orderkey", "o_custkey", F.col("running").cast("double").alias("running"))
+    made = ordered.running_sum(orders, ["o_custkey"], _ORDER, {"running": cents("o_totalprice")})
+    return made.select("o_orderkey", "o_custkey", (F.col("running") / 100).alias("running"))
 
 
 @query(
@@ -90,9 +95,9 @@ def running_total_by_row(spark, folder):
 def running_total_with_ties(spark, folder):
     orders = table(spark, folder, "orders").select(*_ORDER, "o_custkey", "o_totalprice")
     made = ordered.running_sum_with_peers(
-        orders, ["o_custkey"], ["o_orderdate"], {"running": money("o_totalprice")}
+        orders, ["o_custkey"], ["o_orderdate"], {"running": cents("o_totalprice")}
     )
-    return made.select("o_orderkey", "o_custkey", F.col("running").cast("double").alias("running"))
+    return made.select("o_orderkey", "o_custkey", (F.col("running") / 100).alias("running"))
 
 
 @query(
@@ -104,9 +109,9 @@ def running_total_with_ties(spark, folder):
 )
 def prefix_sum_of_table(spark, folder):
     orders = table(spark, folder, "orders").select(*_ORDER, "o_totalprice")
-    sums = {"position": F.lit(1), "running": money("o_totalprice")}
+    sums = {"position": F.lit(1), "running": cents("o_totalprice")}
     made = ordered.running_sum(orders, [], _ORDER, sums)
-    return made.select("o_orderkey", "position", F.col("running").cast("double").alias("running"))
+    return made.select("o_orderkey", "position", (F.col("running") / 100).alias("running"))
 
 
 @query(
@@ -119,9 +124,9 @@ def prefix_sum_of_table(spark, folder):
 def prefix_sum_in_slices(spark, folder):
     """The same with the rows cut into slices, however few there are."""
     orders = table(spark, folder, "orders").select(*_ORDER, "o_totalprice")
-    sums = {"position": F.lit(1), "running": money("o_totalprice")}
+    sums = {"position": F.lit(1), "running": cents("o_totalprice")}
     made = ordered.running_sum(orders, [], _ORDER, sums, max_group_rows=0)
-    return made.select("o_orderkey", "position", F.col("running").cast("double").alias("running"))
+    return made.select("o_orderkey", "position", (F.col("running") / 100).alias("running"))
 
 
 @query(
@@ -133,13 +138,13 @@ def prefix_sum_in_slices(spark, folder):
 )
 def lag_lead_difference(spark, folder):
     orders = table(spark, folder, "orders").select(*_ORDER, "o_custkey", "o_totalprice")
-    exact = money("o_totalprice")
+    exact = cents("o_totalprice")
 
     def columns(w):
         return {
             "previous": F.lag("o_totalprice").over(w),
             "next": F.lead("o_totalprice").over(w),
-            "difference": F.coalesce(exact - F.lag(exact).over(w), F.lit(0)).cast("double"),
+            "difference": F.coalesce(exact - F.lag(exact).over(w), F.lit(0)) / 100,
         }
 
     made = ordered.with_neighbours(orders, ["o_custkey"], _ORDER, columns, before=1, after=1)
@@ -155,7 +160,7 @@ def _daily(spark, folder):
     return (
         table(spark, folder, "events")
         .groupBy("event_type", F.to_date("ts").alias("day"))
-        .agg(F.sum(money("value")).alias("total"))
+        .agg(F.sum(cents("value")).alias("total"))
     )
 
 
@@ -169,12 +174,12 @@ def _daily(spark, folder):
 def moving_avg_3_rows(spark, folder):
     def columns(w):
         last = w.rowsBetween(-2, 0)
-        return {"moving_avg": F.round(F.sum("total").over(last).cast("double") / F.count("total").over(last), 4)}
+        return {"moving_avg": F.round(F.sum("total").over(last) / 100 / F.count("total").over(last), 4)}
 
     made = ordered.with_neighbours(
         _daily(spark, folder), ["event_type"], ["day"], columns, before=2, max_group_rows=None
     )
-    return made.select("event_type", day_text("day").alias("day"), F.col("total").cast("double").alias("total"), "moving_avg")
+    return made.select("event_type", day_text("day").alias("day"), (F.col("total") / 100).alias("total"), "moving_avg")
 
 
 @query(
@@ -188,7 +193,7 @@ def moving_avg_3_rows(spark, folder):
 def moving_avg_7_days(spark, folder):
     """By calendar days, so missing days do not widen the frame."""
     w = Window.partitionBy("event_type").orderBy(F.unix_date("day")).rangeBetween(-6, 0)
-    mean = F.sum("total").over(w).cast("double") / F.count("total").over(w)
+    mean = F.sum("total").over(w) / 100 / F.count("total").over(w)
     return _daily(spark, folder).select("event_type", day_text("day").alias("day"), F.round(mean, 4).alias("moving_avg"))
 
 
@@ -203,7 +208,7 @@ def moving_avg_of_raw_events(spark, folder):
 
     def columns(w):
         last = w.rowsBetween(-2, 0)
-        return {"moving_avg": F.round(F.sum(money("value")).over(last).cast("double") / F.count("value").over(last), 4)}
+        return {"moving_avg": F.round(F.sum(cents("value")).over(last) / 100 / F.count("value").over(last), 4)}
 
     made = ordered.with_neighbours(events, ["user_id"], ["ts", "event_id"], columns, before=2)
     return made.select("event_id", "user_id", "moving_avg")
@@ -354,9 +359,9 @@ _CUT = """
 
 
 def _cutoff(spark, folder, keys, limit):
-    orders = table(spark, folder, "orders").select(*_ORDER, "o_custkey", money("o_totalprice").alias("price"))
-    made = ordered.capacity_cutoff(orders, _ORDER, "price", limit, keys)
-    return made.select("o_orderkey", "o_custkey", F.col("running").cast("double").alias("running"))
+    orders = table(spark, folder, "orders").select(*_ORDER, "o_custkey", cents("o_totalprice").alias("price"))
+    made = ordered.capacity_cutoff(orders, _ORDER, "price", limit * 100, keys)
+    return made.select("o_orderkey", "o_custkey", (F.col("running") / 100).alias("running"))
 
 
 @query(_CUT.format(by="o_custkey", limit=1000000))
@@ -382,14 +387,14 @@ def daily_balance_per_merchant(spark, folder):
     daily = (
         table(spark, folder, "lineitem")
         .groupBy(F.col("l_suppkey").alias("merchant"), F.to_date("l_shipdate").alias("day"))
-        .agg(F.sum(money("l_extendedprice")).alias("amount"))
+        .agg(F.sum(cents("l_extendedprice")).alias("amount"))
     )
     made = ordered.running_sum(daily, ["merchant"], ["day"], {"balance": "amount"}, max_group_rows=None)
     return made.select(
         "merchant",
         day_text("day").alias("day"),
-        F.col("amount").cast("double").alias("amount"),
-        F.col("balance").cast("double").alias("balance"),
+        (F.col("amount") / 100).alias("amount"),
+        (F.col("balance") / 100).alias("balance"),
     )
 
 
