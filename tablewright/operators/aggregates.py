@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.operators.common import ColumnOrName, as_column, join_null_safe
-from tablewright.operators.ordered import MAX_GROUP_ROWS, running_sum
+from tablewright.operators.ordered import MAX_GROUP_ROWS, fits_one_task, running_sum
 
 
 def count_by(
@@ -94,11 +94,15 @@ def median_by(
     into: str = "median",
     max_group_rows: int | None = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Exact median per group without holding a group's values in one buffer.
+    """Exact median per group.
 
-    Equal values are counted first; a running count then finds the middle ones.
+    Spark's own median holds the values of a group in one buffer, so it is used up
+    to ``max_group_rows``. Beyond that equal values are counted first, and a running
+    count finds the middle ones.
     """
     rows = df.filter(F.col(value).isNotNull())
+    if fits_one_task(rows, keys, max_group_rows):
+        return rows.groupBy(*keys).agg(F.median(value).alias(into))
     counts = rows.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
     sizes = counts.groupBy(*keys).agg(F.sum("__n").alias("__size"))
     upto = running_sum(counts, keys, [value], {"__upto": "__n"}, max_group_rows=max_group_rows)

@@ -47,8 +47,8 @@ def broadcast_join(
     small: DataFrame,
     on: Sequence[str],
     how: str = "inner",
-    max_rows: int = 1_000_000,
-    max_bytes: int = 64 * 1024 * 1024,
+    max_rows: int = 100_000,
+    max_bytes: int = 32 * 1024 * 1024,
 ) -> DataFrame:
     """Broadcast ``small`` when its measured size allows, else join by shuffle."""
     if is_small(small, max_rows, max_bytes):
@@ -246,23 +246,24 @@ def hierarchy(df: DataFrame, id_col: str, parent_col: str) -> DataFrame:
         F.when(F.col("__known").isNull(), F.col(id_col)).alias("root"),
     )
     state = settle(state)
-    limit = state.count()
-    open_nodes, reach = state.filter(F.col("root").isNull()).count(), 1
-    while open_nodes and reach <= limit:
+    limit, reach = state.count(), 1
+    while reach <= limit and not state.filter(F.col("root").isNull()).isEmpty():
         above = state.select(
             F.col(id_col).alias("__id"),
             F.col("__up").alias("__up2"),
             F.col("depth").alias("__depth2"),
             F.col("root").alias("__root2"),
         )
-        hop = F.col("root").isNull()
-        state = state.join(above, F.col("__up") == F.col("__id"), "left").select(
-            id_col,
-            F.when(hop, F.col("__up2")).alias("__up"),
-            F.when(hop, F.col("depth") + F.col("__depth2")).otherwise(F.col("depth")).alias("depth"),
-            F.coalesce("root", "__root2").alias("root"),
+        moved = (
+            state.filter(F.col("root").isNull())
+            .join(above, F.col("__up") == F.col("__id"))
+            .select(
+                id_col,
+                F.col("__up2").alias("__up"),
+                (F.col("depth") + F.col("__depth2")).alias("depth"),
+                F.col("__root2").alias("root"),
+            )
         )
-        state = settle(state)
-        open_nodes, reach = state.filter(F.col("root").isNull()).count(), reach * 2
+        state = settle(state.filter(F.col("root").isNotNull()).unionByName(moved))
+        reach *= 2
     return state.select(id_col, "root", "depth")
-

@@ -22,6 +22,7 @@ from tablewright.session import settle
 
 MAX_GROUP_ROWS = 2_000_000
 SLICE = "__slice"
+GROUP = "__group"
 POSITION = "__position"
 CHUNK = "__chunk"
 
@@ -74,18 +75,20 @@ def running_sum(
 
     types = {f.name: f.dataType for f in df.agg(*[F.sum(v).alias(n) for n, v in values.items()]).schema}
     cut = cut_by_range(df.withColumns({f"__v_{n}": v for n, v in values.items()}), keys, order, slices)
-    inside = Window.partitionBy(SLICE, *keys).orderBy(*order).rowsBetween(
+    # One struct per group key: equal NULLs match in a plain equi-join, and the join
+    # reuses the partitioning of the window.
+    cut = cut.withColumn(GROUP, F.struct(F.lit(0), *keys))
+    inside = Window.partitionBy(SLICE, GROUP).orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    earlier = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(GROUP).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     rows = cut.withColumns({f"__i_{n}": F.sum(f"__v_{n}").over(inside) for n in values})
     totals = (
-        cut.groupBy(SLICE, *keys)
+        cut.groupBy(SLICE, GROUP)
         .agg(*[F.sum(f"__v_{n}").alias(f"__t_{n}") for n in values])
-        .select(SLICE, *keys, *[F.sum(f"__t_{n}").over(earlier).alias(f"__b_{n}") for n in values])
+        .select(SLICE, GROUP, *[F.sum(f"__t_{n}").over(earlier).alias(f"__b_{n}") for n in values])
     )
-    joined = join_null_safe(rows, totals, [SLICE, *keys])
-    return joined.select(
+    return rows.join(totals, [SLICE, GROUP]).select(
         *df.columns,
         *[_add(F.col(f"__b_{n}"), F.col(f"__i_{n}")).cast(types[n]).alias(n) for n in values],
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tablewright.operators import aggregates, islands, skew
-from tablewright.operators.common import as_column, cents, join_null_safe, total
+from tablewright.operators.common import as_column, cents, total
 from tablewright.plans.registry import query, table
 from tablewright.sinks.layout import spread
 
@@ -188,11 +188,7 @@ def duplicate_keys(spark, folder):
 
 @query("SELECT text, count(*) AS copies FROM documents GROUP BY 1 HAVING count(*) > 1")
 def duplicate_texts(spark, folder):
-    """Counted by a digest, so that whole texts do not go through the shuffle as keys."""
-    documents = table(spark, folder, "documents").select("text", F.md5("text").alias("digest"))
-    twice = aggregates.duplicates(documents, ["digest"])
-    first = join_null_safe(documents, twice, ["digest"])
-    return first.groupBy("digest").agg(F.any_value("text").alias("text"), F.any_value("copies").alias("copies")).drop("digest")
+    return aggregates.duplicates(table(spark, folder, "documents"), ["text"])
 
 
 @query(

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tablewright.functions import arrays, dates, numbers, strings
-from tablewright.operators import graph, reshape, text
+from tablewright.functions import arrays, dates, numbers, strings, udfs
+from tablewright.operators import graph, partitions, reshape, text
 from tablewright.operators.common import day_text
 from tablewright.plans.registry import query, table
 
@@ -508,3 +508,49 @@ def connected_components(spark, folder):
     edges = table(spark, folder, "customer").select(key.alias("src"), F.explode(ends).alias("dst"))
     return graph.connected_components(edges)
 
+
+
+@query(
+    """
+    SELECT month(o_orderdate)::INTEGER AS month, count(*) AS orders FROM orders GROUP BY 1
+    """
+)
+def month_by_registered_function(spark, folder):
+    """A vectorized function called from SQL."""
+    numbers_of = dict(zip(strings.MONTHS, range(1, 13)))
+    udfs.register_vectorized(
+        spark, "month_no", lambda names: names.str.slice(0, 3).str.lower().map(numbers_of), "int"
+    )
+    orders = table(spark, folder, "orders")
+    return spark.sql(
+        """
+        SELECT month_no(date_format(o_orderdate, 'MMMM')) AS month, count(*) AS orders
+        FROM {orders} GROUP BY 1
+        """,
+        orders=orders,
+    )
+
+
+@query(
+    """
+    SELECT place::INTEGER AS place, count(*) AS words FROM
+      (SELECT unnest(range(1, len(string_split(text, ' ')) + 1)) AS place FROM conversations) GROUP BY 1
+    """
+)
+def words_by_table_function(spark, folder):
+    """A table function of our own, called from SQL."""
+    udfs.register_word_places(spark)
+    conversations = table(spark, folder, "conversations")
+    return spark.sql(
+        """
+        SELECT place, count(*) AS words FROM {texts}, LATERAL word_places(text) GROUP BY place
+        """,
+        texts=conversations,
+    )
+
+
+@query("SELECT count(*) AS rows, min(l_partkey) AS low, max(l_partkey) AS high FROM lineitem")
+def partition_summaries(spark, folder):
+    """Each partition summarised where it lies, then put together."""
+    parts = partitions.summaries(table(spark, folder, "lineitem"), "l_partkey")
+    return parts.agg(F.sum("rows").alias("rows"), F.min("low").alias("low"), F.max("high").alias("high"))
