@@ -88,10 +88,9 @@ def running_sum(
         .agg(*[F.sum(f"__v_{n}").alias(f"__t_{n}") for n in values])
         .select(SLICE, GROUP, *[F.sum(f"__t_{n}").over(earlier).alias(f"__b_{n}") for n in values])
     )
-    return rows.join(totals, [SLICE, GROUP]).select(
-        *df.columns,
-        *[_add(F.col(f"__b_{n}"), F.col(f"__i_{n}")).cast(types[n]).alias(n) for n in values],
-    )
+    made = {n: _add(F.col(f"__b_{n}"), F.col(f"__i_{n}")).cast(types[n]) for n in values}
+    names = [*df.columns, *[n for n in values if n not in df.columns]]
+    return rows.join(totals, [SLICE, GROUP]).withColumns(made).select(*names)
 
 
 def running_sum_with_peers(
@@ -208,10 +207,10 @@ def rank_rows(
     )
     values = number_rows(values, keys, ["__rank"], "__dense", max_group_rows=max_group_rows)
     joined = join_null_safe(placed, values, [*keys, by])
-    wanted = {rank: "__rank", dense: "__dense", unique: "__unique", modified: "__modified"}
-    return joined.select(
-        *df.columns, *[F.col(src).cast("bigint").alias(name) for name, src in wanted.items() if name]
-    )
+    found = {rank: "__rank", dense: "__dense", unique: "__unique", modified: "__modified"}
+    made = {name: F.col(source).cast("bigint") for name, source in found.items() if name}
+    names = [*df.columns, *[n for n in made if n not in df.columns]]
+    return joined.withColumns(made).select(*names)
 
 
 def capacity_cutoff(
