@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,11 +64,16 @@ def quality_report(rows: DataFrame) -> DataFrame:
 
 
 def strict_load(spark: SparkSession, path: str, fmt: str, schema: StructType | str, **options) -> str:
-    """``success`` or ``load_failed`` for a FAILFAST read of every row and column."""
+    """``success`` or ``load_failed`` for a FAILFAST read of every row and column.
+
+    Only a malformed row counts as a failed load; any other error is raised.
+    """
     strict = spark.read.format(fmt).options(mode="FAILFAST", **options).schema(schema).load(path)
     try:
         strict.write.format("noop").mode("overwrite").save()
-    except PySparkException:
+    except (PySparkException, Py4JJavaError) as error:
+        if "MALFORMED_RECORD" not in str(error):
+            raise
         return "load_failed"
     return "success"
 
