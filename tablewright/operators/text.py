@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tablewright.functions.arrays import ngrams
 from tablewright.functions.strings import letter_signature
-from tablewright.operators.common import join_null_safe
 
 
 def words_of(
@@ -47,4 +46,4 @@ def anagram_groups(words: DataFrame, word: str, min_size: int = 2) -> DataFrame:
     distinct = words.select(F.col(word).alias("word")).distinct()
     signed = distinct.withColumn("signature", letter_signature("word"))
     sizes = signed.groupBy("signature").agg(F.count(F.lit(1)).alias("group_size"))
-    return join_null_safe(signed, sizes.filter(F.col("group_size") >= min_size), ["signature"])
+    return signed.join(sizes.filter(F.col("group_size") >= min_size), "signature")

@@ -6,7 +6,17 @@ import importlib
 
 from tablewright.plans.registry import ORACLES, QUERIES
 
-MODULES = ("columns", "joining", "grouping", "windowing", "versions", "shaping", "files", "streams")
+MODULES = (
+    "columns",
+    "joining",
+    "grouping",
+    "windowing",
+    "versions",
+    "shaping",
+    "cookbook",
+    "files",
+    "streams",
+)
 
 for _name in MODULES:
     importlib.import_module(f"tablewright.plans.{_name}")

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tablewright.operators import aggregates, islands
-from tablewright.operators.common import money, total
+from tablewright.operators.common import cents, money, total
 from tablewright.plans.registry import query, table
 from tablewright.session import run_folder
 from tablewright.streaming import running, stateful, windows
@@ -212,8 +212,10 @@ def stream_event_pairs(spark, folder):
 def stream_running_totals(spark, folder):
     """Totals kept in state of our own."""
     place = run_folder(spark, "totals")
-    cents = F.round(F.col("value") * 100).cast("bigint").alias("cents")
-    totals = stateful.running_totals(_stream(spark, folder).select("user_id", cents), "user_id", "cents")
-    saved = running.VersionedTable(spark, f"{place}/table", "user_id bigint, events bigint, total bigint")
-    done = running.upsert_stream(totals, saved, f"{place}/checkpoint", ["user_id"], mode="update")
-    return _saved(done, saved)
+    rows = _stream(spark, folder).select("user_id", "event_id", cents("value").alias("cents"))
+    parts = stateful.running_totals(rows, "user_id", "cents", ["event_id"], salts=4)
+    saved = running.VersionedTable(
+        spark, f"{place}/table", "user_id bigint, salt int, events bigint, total bigint"
+    )
+    done = running.upsert_stream(parts, saved, f"{place}/checkpoint", ["user_id", "salt"], mode="update")
+    return stateful.totals_of(_saved(done, saved), "user_id")

@@ -56,7 +56,9 @@ def connect(folder):
 
     con = duckdb.connect()
     for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{folder}/{t}.parquet')")
+        path = Path(f"{folder}/{t}.parquet")
+        files = f"{path}/*.parquet" if path.is_dir() else str(path)
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{files}')")
     return con
 
 
@@ -65,7 +67,7 @@ def main(folder, names):
     from tablewright.plans.catalog import ORACLES, QUERIES
     from tablewright.session import build_session
 
-    spark = build_session("compare", {"spark.sql.shuffle.partitions": "8", "spark.ui.showConsoleProgress": "false"}, "local[8]")
+    spark = build_session("compare", {"spark.sql.shuffle.partitions": "8", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "16g"}, "local[8]")
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(folder)
     bad = 0

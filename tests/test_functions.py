@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from tablewright.functions import arrays, dates, numbers, strings
-from tablewright.operators import conform, reshape, text
+from tablewright.operators import conform, partitions, reshape, text
 from tests.helpers import day, rows
 
 
@@ -100,3 +100,23 @@ def test_session_events(spark):
     )
     got = reshape.session_event_checks(df, "events").drop("events")
     assert rows(got) == [("s1", 1000, "ok"), ("s2", -1500, "out of order"), ("s3", None, "no events"), ("s4", None, "no events")]
+
+
+def test_partition_functions(spark, tmp_path):
+    df = spark.range(0, 100, 1, 4)
+    made = partitions.map_partitions(
+        df, lambda number, batches: (b.assign(part=number) for b in batches), "id bigint, part int"
+    )
+    assert made.groupBy("part").count().filter("count <> 25").isEmpty() and made.count() == 100
+    assert rows(partitions.summaries(df, "id")) == [(0, 25, 0, 24), (1, 25, 25, 49), (2, 25, 50, 74), (3, 25, 75, 99)]
+
+    folder = str(tmp_path)
+
+    def save(rows_):
+        import uuid
+        from pathlib import Path
+
+        Path(folder, uuid.uuid4().hex).write_text(str(sum(r["id"] for r in rows_)))
+
+    partitions.each_partition(df, save)
+    assert sum(int(f.read_text()) for f in tmp_path.iterdir()) == sum(range(100))

@@ -97,16 +97,18 @@ def test_history_over_batches(spark, tmp_path):
 
 def test_own_state_over_batches(spark, tmp_path):
     source = str(tmp_path / "in")
-    saved = running.VersionedTable(spark, str(tmp_path / "table"), "k string, events bigint, total bigint")
+    saved = running.VersionedTable(spark, str(tmp_path / "table"), "k string, salt int, events bigint, total bigint")
 
     def run():
-        totals = stateful.running_totals(stream(spark, source).select("k", "v"), "k", "v")
-        return running.finished(running.upsert_stream(totals, saved, str(tmp_path / "cp"), ["k"], mode="update"))
+        parts = stateful.running_totals(stream(spark, source), "k", "v", ["id"], salts=2)
+        return running.finished(
+            running.upsert_stream(parts, saved, str(tmp_path / "cp"), ["k", "salt"], mode="update")
+        )
 
     put(spark, source, "a", [(1, "x", 5, 10), (2, "x", 5, 20), (3, "y", 1, 1)])
     run()
     put(spark, source, "b", [(4, "x", 5, 5), (5, "z", 5, 2)])
-    final = running.last_version(saved, run())
+    final = stateful.totals_of(running.last_version(saved, run()), "k")
     assert rows(final) == [("x", 3, 35), ("y", 1, 1), ("z", 1, 2)]
 
 
