@@ -7,9 +7,20 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 ColumnOrName = Column | str
 
+_WHOLE = r"^[\x00-\x20\x7f]*[+-]?[0-9]+[\x00-\x20\x7f]*$"
+_REAL = r"(?i)\p{Nd}|inf|nan"
+_DIGIT = r"\p{Nd}"
+# What a text must look like at least to be read as each type.
+POSSIBLE = {
+    **dict.fromkeys(("tinyint", "smallint", "int", "bigint"), _WHOLE),
+    **dict.fromkeys(("float", "double"), _REAL),
+    **dict.fromkeys(("decimal", "date", "timestamp", "timestamp_ntz"), _DIGIT),
+}
+
 
 def as_column(value: ColumnOrName) -> Column:
     return F.col(value) if isinstance(value, str) else value
@@ -23,6 +34,19 @@ def any_of(conditions: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions, F.lit(False))
 
 
+def read_as(value: Column, kind: DataType | str, source: str = "string") -> Column:
+    """``try_cast`` that does not pay for an error on each text that is plainly wrong.
+
+    A failed cast raises and catches an error inside Spark, which is slow when many
+    rows are bad. Texts that cannot be of the wanted type are set to NULL by a
+    pattern before; whatever passes is still cast with ``try_cast``.
+    """
+    name = kind if isinstance(kind, str) else kind.simpleString()
+    pattern = POSSIBLE.get(name.split("(")[0]) if source == "string" else None
+    cast = value.try_cast(kind)
+    return cast if pattern is None else F.when(value.rlike(pattern), cast)
+
+
 def join_null_safe(
     left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner"
 ) -> DataFrame:

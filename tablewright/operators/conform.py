@@ -6,9 +6,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType, StringType, StructType
+from pyspark.sql.types import MapType, StringType, StructField, StructType
 
-from tablewright.operators.common import ColumnOrName, as_column
+from tablewright.operators.common import ColumnOrName, as_column, read_as
 
 # Texts that stand for a missing value in the survey files.
 NULL_TOKENS = ("", "NA", "NULL")
@@ -38,14 +38,16 @@ def clean_table(
 
 def conform_schema(df: DataFrame, expected: StructType | str) -> DataFrame:
     """Exactly the expected columns, in order and type; a missing one is NULL."""
-    present = set(df.columns)
-    return df.select(
-        *[
-            (F.col(f.name).try_cast(f.dataType) if f.name in present else F.lit(None).cast(f.dataType))
-            .alias(f.name)
-            for f in as_schema(expected)
-        ]
-    )
+    kinds = dict(df.dtypes)
+
+    def column(field: StructField) -> Column:
+        if field.name not in kinds:
+            return F.lit(None).cast(field.dataType)
+        if kinds[field.name] == field.dataType.simpleString():
+            return F.col(field.name)
+        return read_as(F.col(field.name), field.dataType, kinds[field.name])
+
+    return df.select(*[column(f).alias(f.name) for f in as_schema(expected)])
 
 
 def rescue_columns(

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablewright.operators.common import read_as
+
 
 def _position(df: DataFrame, at: str) -> tuple[Column, int]:
     """A whole-number position of a date or timestamp, and its units per second (0: days)."""
@@ -59,7 +61,7 @@ def pair_events(
 
     ``at`` may be a number or text; text that is no number counts as missing.
     """
-    moment = F.expr(f"try_cast(`{at}` as double)") if dict(df.dtypes)[at] == "string" else F.col(at)
+    moment = read_as(F.col(at), "double") if dict(df.dtypes)[at] == "string" else F.col(at)
     return (
         df.groupBy(*keys)
         .agg(

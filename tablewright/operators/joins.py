@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.operators.common import any_of, join_null_safe
+from tablewright.operators.common import any_of, join_null_safe, read_as
 from tablewright.operators.ordered import number_rows
 from tablewright.session import settle
 
@@ -207,11 +207,11 @@ def managers(
     df: DataFrame, id_col: str, parent_col: str, name_col: str, levels: int = 2
 ) -> DataFrame:
     """Names of the next ``levels`` parents; a parent that is no number is none."""
-    key_type = dict(df.dtypes)[id_col]
+    kinds = dict(df.dtypes)
     nodes = df.select(
         F.col(id_col),
         F.col(name_col).alias("name"),
-        F.col(parent_col).try_cast(key_type).alias("__parent"),
+        read_as(F.col(parent_col), kinds[id_col], kinds[parent_col]).alias("__parent"),
     )
     found = nodes
     for level in range(1, levels + 1):
@@ -233,10 +233,9 @@ def hierarchy(df: DataFrame, id_col: str, parent_col: str) -> DataFrame:
 
     Nodes on a cycle never reach a root; they come out with a NULL root.
     """
-    key_type = dict(df.dtypes)[id_col]
+    kinds = dict(df.dtypes)
     state = df.select(
-        F.col(id_col),
-        F.col(parent_col).try_cast(key_type).alias("__up"),
+        F.col(id_col), read_as(F.col(parent_col), kinds[id_col], kinds[parent_col]).alias("__up")
     )
     known = state.select(F.col(id_col).alias("__known"))
     state = state.join(known, F.col("__up") == F.col("__known"), "left").select(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.functions.arrays import blocks
-from tablewright.operators.common import any_of
+from tablewright.operators.common import any_of, read_as
 
 
 def flatten_delimited(
@@ -79,7 +79,7 @@ def validate_sessions(df: DataFrame, start: str, end: str, corrupt: str | None =
 
     ``start`` and ``end`` are paths of timestamp texts.
     """
-    a, b = F.col(start).try_cast("timestamp"), F.col(end).try_cast("timestamp")
+    a, b = (read_as(F.col(path), "timestamp") for path in (start, end))
     broken = F.col(corrupt).isNotNull() if corrupt else F.lit(False)
     defect = (
         F.when(broken, "corrupt record")

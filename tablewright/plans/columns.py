@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tablewright.operators import conform, ranking, sets
-from tablewright.operators.common import day_text, money, total
+from tablewright.operators.common import day_text, money, read_as, total
 from tablewright.operators.ordered import number_rows
 from tablewright.plans.registry import query, table
 
@@ -171,7 +171,7 @@ def casts(spark, folder):
         .groupBy("l_returnflag")
         .agg(
             F.count(F.lit(1)).alias("n"),
-            F.count(F.col("l_returnflag").try_cast("int")).alias("numeric_flags"),
+            F.count(read_as(F.col("l_returnflag"), "int")).alias("numeric_flags"),
             F.sum(F.col("l_quantity").cast("bigint")).alias("whole_quantity"),
         )
     )

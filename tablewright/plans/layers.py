@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.operators.aggregates import period_totals
+from tablewright.operators.common import any_of, read_as
 from tablewright.operators.conform import as_schema, nulls_from_tokens
 from tablewright.sinks.writers import write_files
 from tablewright.sources.readers import read_csv
@@ -26,11 +27,9 @@ def silver(
     """Typed rows, and the raw rows in which a value could not be read."""
     known = nulls_from_tokens(raw)
     types = as_schema(schema)
-    unread = [F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull() for f in types]
-    bad = F.lit(False)
-    for condition in unread:
-        bad = bad | condition
-    good = known.filter(~bad).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in types])
+    typed = {f.name: read_as(F.col(f.name), f.dataType) for f in types}
+    bad = any_of([F.col(name).isNotNull() & value.isNull() for name, value in typed.items()])
+    good = known.filter(~bad).select(*[value.alias(name) for name, value in typed.items()])
     return good.fillna(dict(fills)), known.filter(bad)
 
 

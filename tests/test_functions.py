@@ -2,6 +2,7 @@ from pyspark.sql import functions as F
 
 from tablewright.functions import arrays, dates, numbers, strings
 from tablewright.operators import conform, partitions, reshape, text
+from tablewright.operators.common import read_as
 from tests.helpers import day, rows
 
 
@@ -120,3 +121,14 @@ def test_partition_functions(spark, tmp_path):
 
     partitions.each_partition(df, save)
     assert sum(int(f.read_text()) for f in tmp_path.iterdir()) == sum(range(100))
+
+
+def test_read_as_equals_try_cast(spark):
+    texts = [
+        "1", " 2 ", "+3", "-4", "5.5", "1e3", "x", "", "NaN", "inf", "-Infinity", "99999999999", "12a", "\t7\n",
+        "2024-01-02", "2024-01-02 03:04:05", "20240102", "true", None, "0x1F", "1_000", "٣",
+    ]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    for kind in ("int", "bigint", "double", "decimal(10,2)", "date", "timestamp", "boolean", "string"):
+        made = df.select("i", read_as(F.col("t"), kind).cast("string").alias("a"), F.col("t").try_cast(kind).cast("string").alias("b"))
+        assert made.filter(~F.col("a").eqNullSafe(F.col("b"))).collect() == [], kind
