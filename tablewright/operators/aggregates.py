@@ -92,16 +92,17 @@ def median_by(
     keys: Sequence[str],
     value: str,
     into: str = "median",
+    max_buffer_rows: int = 100_000,
     max_group_rows: int | None = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Exact median per group.
 
     Spark's own median holds the values of a group in one buffer, so it is used up
-    to ``max_group_rows``. Beyond that equal values are counted first, and a running
+    to ``max_buffer_rows``. Beyond that equal values are counted first, and a running
     count finds the middle ones.
     """
     rows = df.filter(F.col(value).isNotNull())
-    if fits_one_task(rows, keys, max_group_rows):
+    if fits_one_task(rows, keys, max_buffer_rows):
         return rows.groupBy(*keys).agg(F.median(value).alias(into))
     counts = rows.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
     sizes = counts.groupBy(*keys).agg(F.sum("__n").alias("__size"))

@@ -64,9 +64,12 @@ def missing_from(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFr
 def not_in(left: DataFrame, column: str, right: DataFrame, other: str) -> DataFrame:
     """SQL ``NOT IN``: nothing passes when the list holds a NULL, and a NULL on the
     left passes only an empty list. The list itself is never broadcast whole."""
-    facts = right.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(other).isNull()).alias("nulls"))
-    size, nulls = facts.select("n").scalar(), facts.select("nulls").scalar()
-    kept = left.filter((size == 0) | ((nulls == 0) & F.col(column).isNotNull()))
+    facts = right.agg(
+        F.struct(F.count(F.lit(1)).alias("size"), F.count_if(F.col(other).isNull()).alias("nulls"))
+    ).scalar()
+    kept = left.filter(
+        (facts["size"] == 0) | ((facts["nulls"] == 0) & F.col(column).isNotNull())
+    )
     listed = right.select(F.col(other).alias(column))
     return kept.join(listed, column, "left_anti")
 
@@ -74,7 +77,7 @@ def not_in(left: DataFrame, column: str, right: DataFrame, other: str) -> DataFr
 def hot_keys(df: DataFrame, on: Sequence[str], share: float) -> DataFrame:
     """Keys that hold more than ``share`` of the rows: fewer than 1 / share keys."""
     counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
-    total = counts.agg(F.sum("__n"))
+    total = df.agg(F.count(F.lit(1)))
     return counts.filter(F.col("__n") > total.scalar() * share).select(*on)
 
 
@@ -97,7 +100,8 @@ def salted_join(
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError("only joins that keep the big side can be salted")
-    hot = F.broadcast(hot_keys(big, on, share).withColumn("__hot", F.lit(True)))
+    # Few rows by definition; written out once, as both sides read them.
+    hot = F.broadcast(settle(hot_keys(big, on, share)).withColumn("__hot", F.lit(True)))
     is_hot = F.coalesce(F.col("__hot"), F.lit(False))
     no_key = any_of([F.col(k).isNull() for k in on])
     row_salt = F.pmod(F.xxhash64(*big.columns), F.lit(salts))

@@ -20,11 +20,11 @@ def partition_report(df: DataFrame) -> DataFrame:
 def skew_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows per key, the key's share of all rows and its ratio to the mean key."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
-    total, mean = counts.agg(F.sum("rows")), counts.agg(F.avg("rows"))
+    whole = counts.agg(F.struct(F.sum("rows").alias("total"), F.avg("rows").alias("mean"))).scalar()
     return counts.withColumns(
         {
-            "share": F.round(F.col("rows") / total.scalar(), 6),
-            "ratio_to_mean": F.round(F.col("rows") / mean.scalar(), 4),
+            "share": F.round(F.col("rows") / whole["total"], 6),
+            "ratio_to_mean": F.round(F.col("rows") / whole["mean"], 4),
         }
     )
 

@@ -124,12 +124,13 @@ def test_income_categories(spark):
     assert dict(got.collect()) == {"Low Salary": 0, "Average Salary": 1, "High Salary": 1}
 
 
-@pytest.mark.parametrize("limit_rows", [1000, 0])
-def test_median(spark, limit_rows):
+@pytest.mark.parametrize("limits", [(1000, 1000), (0, 1000), (0, 0)])
+def test_median(spark, limits):
     data = [("a", v) for v in (5, 1, 1, 9)] + [("b", v) for v in (7, 3, 3)] + [("c", None)]
     df = spark.createDataFrame(data, "k string, v int")
-    assert rows(aggregates.median_by(df, ["k"], "v", max_group_rows=limit_rows)) == [("a", 3.0), ("b", 3.0)]
-    assert rows(aggregates.median_by(df, [], "v", max_group_rows=limit_rows)) == [(3.0,)]
+    how = dict(zip(("max_buffer_rows", "max_group_rows"), limits))
+    assert rows(aggregates.median_by(df, ["k"], "v", **how)) == [("a", 3.0), ("b", 3.0)]
+    assert rows(aggregates.median_by(df, [], "v", **how)) == [(3.0,)]
 
 
 def test_components_equal_search(spark):
