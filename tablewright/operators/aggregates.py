@@ -76,7 +76,8 @@ def category_counts(
     counts = df.groupBy(category_of(value, bounds, labels).alias("category")).agg(
         F.count(value).alias("count")
     )
-    names = df.sparkSession.createDataFrame([(label,) for label in labels], "category string")
+    listed = F.explode(F.array(*[F.lit(label) for label in labels])).alias("category")
+    names = df.sparkSession.range(1).select(listed)
     return counts.join(names, "category", "right").select(
         "category", F.coalesce("count", F.lit(0)).alias("count")
     )

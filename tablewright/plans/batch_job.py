@@ -16,7 +16,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.session import build_session
+from tablewright.session import build_session, settings
 from tablewright.sinks.layout import TARGET_MB, balanced
 from tablewright.sinks.writers import write_files
 from tablewright.sources.readers import read_columnar
@@ -53,17 +53,16 @@ def write(df: DataFrame, job: BatchJob) -> int:
     The rebalance aims at ``target_mb`` per task from the shuffle's real sizes, so
     no counting pass is needed and a heavy date is split over several tasks.
     """
-    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    spark = df.sparkSession
-    before = spark.conf.get(key)
     counted = Observation("written")
-    spark.conf.set(key, f"{job.target_mb}m")
-    try:
-        rows = df.observe(counted, F.count(F.lit(1)).alias("rows"))
-        write_files(balanced(rows, job.partition_by), job.output_path, job.output_format,
-                    partition_by=job.partition_by)
-    finally:
-        spark.conf.set(key, before)
+    rows = df.observe(counted, F.count(F.lit(1)).alias("rows"))
+    size = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{job.target_mb}m"}
+    with settings(df.sparkSession, size):
+        write_files(
+            balanced(rows, job.partition_by),
+            job.output_path,
+            job.output_format,
+            partition_by=job.partition_by,
+        )
     return counted.get["rows"]
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tablewright.operators import aggregates, islands
 from tablewright.operators.common import cents, money, total
 from tablewright.plans.registry import query, table
-from tablewright.session import run_folder
+from tablewright.session import run_folder, settings
 from tablewright.streaming import running, stateful, windows
 
 _SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -98,7 +98,8 @@ def stream_sliding_counts(spark, folder):
 def stream_sessions(spark, folder):
     events = windows.event_time(_stream(spark, folder), "ts", _DELAY)
     made = windows.sessions(events, "ts", ["user_id"], {"events": F.count(F.lit(1))}, "3 hours")
-    return _run(_stamped(made), "sessions")
+    with settings(spark, windows.MERGE_FIRST):
+        return _run(_stamped(made), "sessions")
 
 
 @query(
@@ -147,12 +148,13 @@ def stream_deduplicated(spark, folder):
     """A user's first event of a kind and day, in one batch of all files."""
     events = windows.event_time(_stream(spark, folder), "ts", _DELAY)
     keyed = events.withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
-    made = windows.first_seen(keyed, ["user_id", "event_type", "day"])
+    made = windows.first_seen(keyed, ["user_id", "event_type", "day"], ["event_id"], salts=4)
     return _run(made.select("user_id", "event_type", "day"), "deduplicated")
 
 
 def _saved(query_, saved):
-    return running.last_version(saved, running.finished(query_))
+    running.finished(query_)
+    return saved.last()
 
 
 @query(

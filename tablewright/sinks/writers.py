@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.operators.history import merge_totals
+from tablewright.session import settings
 
 def write_files(
     df: DataFrame,
@@ -67,13 +68,8 @@ def compact(spark: SparkSession, source: str, target: str, fmt: str, schema, fil
 
     The split size of the read decides the tasks, and so the files; no shuffle.
     """
-    key = "spark.sql.files.maxPartitionBytes"
-    before = spark.conf.get(key)
-    spark.conf.set(key, f"{file_mb}m")
-    try:
+    with settings(spark, {"spark.sql.files.maxPartitionBytes": f"{file_mb}m"}):
         write_files(spark.read.format(fmt).schema(schema).load(source), target, fmt)
-    finally:
-        spark.conf.set(key, before)
 
 
 def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:

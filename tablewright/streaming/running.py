@@ -70,10 +70,11 @@ def late_rows(query: StreamingQuery) -> int:
 
 
 class VersionedTable:
-    """A table rewritten by each micro-batch under a folder of its own number.
+    """A table that each micro-batch rewrites, in two folders by turns.
 
-    A batch that is run again writes the same folder from the same predecessor,
-    so a restart neither loses nor doubles changes.
+    Batch n reads what batch n - 1 wrote and overwrites the other folder. A batch that
+    is run again therefore starts from the same rows, so a restart neither loses nor
+    doubles changes. A one-row marker names the last whole version.
     """
 
     def __init__(self, spark: SparkSession, folder: str, schema: StructType | str):
@@ -81,16 +82,23 @@ class VersionedTable:
         self.folder = folder
         self.schema = schema
 
-    def path(self, version: int) -> str:
-        return f"{self.folder}/version={version}"
+    def _path(self, version: int) -> str:
+        return f"{self.folder}/turn={version % 2}"
 
     def at(self, version: int) -> DataFrame:
+        """Version ``version``, which must be the last or the one before it."""
         if version < 0:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(self.path(version))
+        return self.spark.read.schema(self.schema).parquet(self._path(version))
 
     def put(self, version: int, df: DataFrame) -> None:
-        df.write.mode("overwrite").parquet(self.path(version))
+        df.write.mode("overwrite").parquet(self._path(version))
+        mark = self.spark.range(version, version + 1).toDF("version")
+        mark.write.mode("overwrite").parquet(f"{self.folder}/last")
+
+    def last(self) -> DataFrame:
+        mark = self.spark.read.schema("version bigint").parquet(f"{self.folder}/last")
+        return self.at(mark.first()["version"])
 
 
 def run_each_batch(
@@ -156,7 +164,3 @@ def history_stream(
 
     return run_each_batch(df, checkpoint, handle)
 
-
-def last_version(table: VersionedTable, query: StreamingQuery) -> DataFrame:
-    """The table after the last batch a finished query ran."""
-    return table.at(query.lastProgress["batchId"] if query.lastProgress else -1)

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+MERGE_FIRST = {"spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true"}
+
 
 def event_time(df: DataFrame, at: str, delay: str) -> DataFrame:
     """``at`` as a zoned timestamp with a watermark; a table ignores the watermark."""
@@ -42,7 +44,11 @@ def windowed(
 def sessions(
     df: DataFrame, at: str, keys: Sequence[str], measures: Mapping[str, Column], gap: str
 ) -> DataFrame:
-    """Aggregates per run of events at most ``gap`` apart."""
+    """Aggregates per run of events at most ``gap`` apart.
+
+    Start such a stream under ``MERGE_FIRST``: each task then merges its events to
+    sessions before the shuffle, which takes the weight off hot keys.
+    """
     made = df.groupBy(F.session_window(at, gap).alias("window"), *keys).agg(
         *[m.alias(n) for n, m in measures.items()]
     )
@@ -59,10 +65,24 @@ def flag_bursts(
 
 
 def enrich(stream: DataFrame, static: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
-    """Stream rows joined to a table; Spark broadcasts the table only if it is small."""
+    """Stream rows joined to a table.
+
+    Spark broadcasts the table only if it is small; else the join keeps no state, so
+    adaptive execution splits hot keys in each micro-batch.
+    """
     return stream.join(static, list(on), how)
 
 
-def first_seen(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Each key once within the watermark's delay."""
+def first_seen(
+    df: DataFrame, keys: Sequence[str], salt_on: Sequence[str] = (), salts: int = 16
+) -> DataFrame:
+    """Each key once within the watermark's delay.
+
+    With ``salt_on`` copies are removed in two steps, first per key and salt, so that
+    many copies of one key do not all go to one task.
+    """
+    if salt_on:
+        salt = F.pmod(F.xxhash64(*salt_on), F.lit(salts)).cast("int")
+        salted = df.withColumn("__salt", salt).dropDuplicatesWithinWatermark([*keys, "__salt"])
+        df = salted.drop("__salt")
     return df.dropDuplicatesWithinWatermark(list(keys))

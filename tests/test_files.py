@@ -256,6 +256,9 @@ def test_layout(spark):
     spans = ranged.groupBy("partition").agg(F.min("id").alias("a"), F.max("id").alias("b")).orderBy("a").collect()
     assert all(x["b"] < y["a"] for x, y in zip(spans, spans[1:]))
     assert "RebalancePartitions" in layout.balanced(spark.range(9), ["id"])._jdf.queryExecution().optimizedPlan().toString()
+    inside = layout.sorted_inside(spark.range(50).select((F.col("id") % 7).alias("k"), (-F.col("id")).alias("v")), ["k"], ["k", "v"], 3)
+    parts = inside.rdd.glom().map(lambda part: [tuple(r) for r in part]).collect()
+    assert all(part == sorted(part) for part in parts) and sum(map(len, parts)) == 50
     kept = layout.held(spark.range(5))
     assert kept.count() == 5 and kept.is_cached
     kept.unpersist()

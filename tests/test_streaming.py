@@ -69,8 +69,8 @@ def test_upsert_over_several_batches(spark, tmp_path):
     put(spark, source, "a", [(1, "x", 5, 10), (2, "y", 5, 20)])
     run()
     put(spark, source, "b", [(3, "x", 1, 99), (4, "y", 9, 21), (5, "z", 0, 1)])
-    done = run()
-    assert rows(running.last_version(saved, done).select("k", "v")) == [("x", 10), ("y", 21), ("z", 1)]
+    run()
+    assert rows(saved.last().select("k", "v")) == [("x", 10), ("y", 21), ("z", 1)]
 
 
 def test_history_over_batches(spark, tmp_path):
@@ -90,7 +90,8 @@ def test_history_over_batches(spark, tmp_path):
     put(spark, source, "a", [(1, "x", 5, 10), (2, "y", 5, 20)])
     run()
     put(spark, source, "b", [(3, "x", 60 * 24, 11), (4, "y", 60 * 24, 20)])
-    final = running.last_version(saved, run())
+    run()
+    final = saved.last()
     assert rows(final.select("k", "v", "is_current")) == [("x", 10, False), ("x", 11, True), ("y", 20, True)]
     assert final.filter(F.col("hash") != row_hash(["v"])).isEmpty()
 
@@ -108,7 +109,8 @@ def test_own_state_over_batches(spark, tmp_path):
     put(spark, source, "a", [(1, "x", 5, 10), (2, "x", 5, 20), (3, "y", 1, 1)])
     run()
     put(spark, source, "b", [(4, "x", 5, 5), (5, "z", 5, 2)])
-    final = stateful.totals_of(running.last_version(saved, run()), "k")
+    run()
+    final = stateful.totals_of(saved.last(), "k")
     assert rows(final) == [("x", 3, 35), ("y", 1, 1), ("z", 1, 2)]
 
 
@@ -119,6 +121,9 @@ def test_duplicates_and_bursts(spark, tmp_path):
     out = str(tmp_path / "once")
     running.finished(running.run_to_files(windows.first_seen(timed, ["id"]).select("id"), out))
     assert rows(spark.read.parquet(f"{out}/rows")) == [(1,), (2,), (3,), (4,)]
+    out = str(tmp_path / "salted")
+    running.finished(running.run_to_files(windows.first_seen(timed, ["k"], ["id"], 2).select("k"), out))
+    assert rows(spark.read.parquet(f"{out}/rows")) == [("x",), ("y",), ("z",)]
     out = str(tmp_path / "bursts")
     flagged = windows.flag_bursts(timed, "ts", ["k"], F.col("v"), "1 hour", 10, 400)
     running.finished(running.run_to_files(flagged, out))
