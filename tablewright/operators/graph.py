@@ -19,6 +19,14 @@ def vertices_of(edges: DataFrame) -> DataFrame:
     return edges.select(both.alias("id")).distinct()
 
 
+def both_ways(edges: DataFrame) -> DataFrame:
+    """Every edge in both directions, from one scan."""
+    ends = F.array(
+        F.struct("src", "dst"), F.struct(F.col("dst").alias("src"), F.col("src").alias("dst"))
+    )
+    return edges.select(F.inline(ends))
+
+
 def degrees(edges: DataFrame) -> DataFrame:
     """In, out and total degree of every vertex, from one scan of the edges."""
     ends = F.explode(
@@ -54,22 +62,17 @@ def pagerank(
     Repeated edges count once. A vertex without out-edges spreads its rank over
     all. With ``tol`` it stops when no rank moves further than that.
     """
-    links = edges.select("src", "dst").distinct()
-    out = links.groupBy("src").agg(F.count(F.lit(1)).alias("out"))
-    links = settle(links.join(out, "src"))
-    nodes = settle(
-        vertices_of(links).join(out.withColumnRenamed("src", "id"), "id", "left")
-    )
+    links = settle(edges.select("src", "dst").distinct())
+    out = links.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("out"))
+    nodes = settle(vertices_of(links).join(out, "id", "left"))
     count = nodes.count()
     ranks = nodes.withColumn("rank", F.lit(1.0))
     for _ in range(rounds):
         stuck = ranks.agg(
             F.coalesce(F.sum(F.when(F.col("out").isNull(), F.col("rank"))), F.lit(0.0))
         )
-        sent = links.join(ranks.select(F.col("id").alias("src"), "rank"), "src")
-        got = sent.groupBy(F.col("dst").alias("id")).agg(
-            F.sum(F.col("rank") / F.col("out")).alias("got")
-        )
+        shares = ranks.select(F.col("id").alias("src"), (F.col("rank") / F.col("out")).alias("share"))
+        got = links.join(shares, "src").groupBy(F.col("dst").alias("id")).agg(F.sum("share").alias("got"))
         base = F.lit(1 - damping) + damping * stuck.scalar() / count
         after = nodes.join(got, "id", "left").select(
             "id", "out", (base + damping * F.coalesce("got", F.lit(0.0))).alias("rank")
@@ -89,11 +92,7 @@ def hops(
     edges: DataFrame, sources: DataFrame, max_hops: int | None = None, directed: bool = True
 ) -> DataFrame:
     """Fewest edges from any source to each vertex it reaches (breadth first)."""
-    steps = edges.select("src", "dst").distinct()
-    if not directed:
-        steps = steps.unionByName(steps.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-        steps = steps.distinct()
-    steps = settle(steps)
+    steps = settle((edges if directed else both_ways(edges)).select("src", "dst").distinct())
     seen = settle(sources.select("id").distinct().withColumn("hops", F.lit(0)))
     frontier, level = seen, 0
     while max_hops is None or level < max_hops:
@@ -126,8 +125,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     pairs = settle(edges.select(*larger).filter("u <> v").distinct())
     mark = None
     while True:
-        flipped = pairs.select(F.col("v").alias("u"), F.col("u").alias("v"))
-        around = pairs.unionByName(flipped)
+        around = both_ways(pairs.toDF("src", "dst")).toDF("u", "v")
         least = around.groupBy("u").agg(F.min("v").alias("m"))
         least = least.select("u", F.least("u", "m").alias("m"))
         star = (

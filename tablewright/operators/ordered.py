@@ -34,8 +34,10 @@ def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
 
 
 def fits_one_task(df: DataFrame, keys: Sequence[str], max_group_rows: int | None) -> bool:
-    """True when plain windows are safe; ``None`` states that groups are bounded."""
-    return max_group_rows is None or largest_group(df, keys) <= max_group_rows
+    """True when plain windows are safe; ``None`` states that groups are bounded, 0 that not."""
+    if not max_group_rows:
+        return max_group_rows is None
+    return largest_group(df, keys) <= max_group_rows
 
 
 def cut_by_range(
@@ -150,7 +152,7 @@ def with_neighbours(
         return df.withColumns(dict(columns(Window.partitionBy(*keys).orderBy(*order))))
 
     size = max(chunk_rows or max_group_rows, before, after, 1)
-    numbered = number_rows(df, keys, order, POSITION, max_group_rows=max_group_rows)
+    numbered = number_rows(df, keys, order, POSITION, max_group_rows=0)
     home = F.floor((F.col(POSITION) - 1) / size)
     offset = (F.col(POSITION) - 1) % size
     copies = F.array_compact(
@@ -199,9 +201,7 @@ def rank_rows(
 
     # Tied rows are neighbours in this order, so the first and last place of a
     # value give its rank and modified rank, and numbering the values the dense one.
-    placed = number_rows(
-        df, keys, [place, *tie_break], "__unique", max_group_rows=max_group_rows
-    )
+    placed = number_rows(df, keys, [place, *tie_break], "__unique", max_group_rows=0)
     values = placed.groupBy(*keys, by).agg(
         F.min("__unique").alias("__rank"), F.max("__unique").alias("__modified")
     )
