@@ -8,8 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.llm.bpe import encode_texts
+from tablewright.llm.common import id_part
+from tablewright.llm.decontaminate import contamination
 from tablewright.llm.exact_dedup import exact_groups
+from tablewright.llm.html_extract import extract_text, learn_pages
+from tablewright.llm.language_id import identify_languages, learn_languages
 from tablewright.llm.ngram_jaccard import shingle_components
+from tablewright.llm.quality import score_quality, train_quality
+from tablewright.llm.secrets import count_kind, find_secrets, written
+from tablewright.llm.suffix_tree import Frequencies, score_texts
 from tablewright.llm.url_filter import judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +45,66 @@ def op1_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return shingle_components(docs, width=3, percent=90)
 
 
+def op2_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    found = find_secrets(table(spark, folder, "documents", "doc_id", "text"))
+    return found.select(
+        "doc_id",
+        count_kind(F.col("base"), 0).alias("n_assign"),
+        count_kind(F.col("base"), 1).alias("n_access"),
+        count_kind(F.col("base"), 2).alias("n_hex"),
+        F.sha2(written(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        written(F.array_sort(F.concat("base", "extra"))).alias("spans"),
+    )
+
+
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = contamination(
+        table(spark, folder, "documents", "doc_id", "text"),
+        table(spark, folder, "benchmark", "item_id", "text"),
+        window=10,
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op4_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages", "page_id", "url", "html")
+    return extract_text(pages, learn_pages(pages)).select("page_id", "url", "text", "n_chars")
+
+
+def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents", "doc_id", "text", "lang")
+    held = id_part(F.col("doc_id"), 4) == 2
+    model = learn_languages(docs.filter(~held))
+    named = identify_languages(docs.select("doc_id", "text", held.alias("held_out")), model)
+    return named.select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op6_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents", "doc_id", "text")
+    docs = docs.withColumn("held_out", id_part(F.col("doc_id"), 10) == 0)
+    scored = score_texts(docs, Frequencies(docs.filter("NOT held_out")))
+    return scored.select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
+def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents", "doc_id", "text")
+    labels = table(spark, folder, "labels", "doc_id", "quality")
+    held = id_part(F.col("doc_id"), 5) == 0
+    model = train_quality(docs, labels.filter(~held))
+    scored = score_quality(docs.withColumn("held_out", held), model)
+    predicted = F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted")
+    return scored.select("doc_id", "held_out", "score", predicted)
+
+
 def op8_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages", "page_id", "url")
     return judge_urls(pages, RULES).select("page_id", "host", "path", "rule", "verdict")
@@ -89,6 +156,12 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op2_secret_scans": op2_secret_scans,
+    "op3_decontamination": op3_decontamination,
+    "op4_html_extraction": op4_html_extraction,
+    "op5_language_id": op5_language_id,
+    "op6_lm_scoring": op6_lm_scoring,
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_url_filters": op8_url_filters,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_bpe": op10_bpe,
