@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import bounded_batches
+from tablewright.llm.common import bounded_batches, stored
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = frozenset("script style template noscript head title svg math iframe object textarea select button canvas audio video".split())
@@ -202,7 +202,7 @@ def learn_pages(pages: DataFrame, html_col: str = "html", least_share: float = 1
     """
     bounded_batches(pages.sparkSession)
     rows = pages.select(F.col(html_col)).mapInArrow(_learn, "what string, label int, above int, n long")
-    rows = rows.groupBy("what", "label", "above").agg(F.sum("n").alias("n"))
+    rows = stored(rows.groupBy("what", "label", "above").agg(F.sum("n").alias("n")), "page-counts")
     total = rows.filter("what = 'pages'").agg(F.sum("n")).first()[0] or 0
     got = rows.filter(F.col("n") >= max(1.0, least_share * total)).collect()
     return model_of({(r["what"], r["label"], r["above"]): r["n"] for r in got})
