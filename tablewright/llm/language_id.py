@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import bounded_batches, mix, texts
+from tablewright.llm.common import bounded_batches, mix, stored, texts
 
 SIZES = (5, 4, 3, 2, 1)
 BASE = 0x9E3779B97F4A7C15
@@ -111,13 +111,13 @@ def learn_languages(
     text_col: str = "text",
     lang_col: str = "lang",
     max_rows: int = 20_000,
-    max_terms: int = 300_000,
+    max_terms: int = 200_000,
 ) -> dict:
     """Log frequencies of words and n-grams per language.
 
     Fitted on at most about ``max_rows`` rows with a language, picked by a hash of their text; the
-    model keeps the ``max_terms`` most frequent words and n-grams that occur twice or more, which
-    bounds what is sent to executors. Without labelled rows the model knows no language.
+    model keeps the most frequent words and n-grams that occur twice or more, as many counts as
+    fit into ``max_terms`` terms, which bounds what is sent to executors. Without labelled rows the model knows no language.
     """
     rows = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     total = rows.count()
@@ -128,25 +128,32 @@ def learn_languages(
     counted = rows.select(F.col(text_col), F.col(lang_col)).mapInArrow(
         _counts, "lang string, level int, hash long, seen long"
     )
-    kept = (
+    terms = stored(
         counted.groupBy("level", "hash", "lang")
         .agg(F.sum("seen").alias("seen"))
         .groupBy("level", "hash")
         .agg(F.sum("seen").alias("total"), F.map_from_entries(F.collect_list(F.struct("lang", "seen"))).alias("by"))
-        .filter("total > 1")
-        .orderBy(F.col("total").desc(), "level", "hash")
-        .limit(max_terms)
-        .collect()
+        .filter("total > 1"),
+        "language-terms",
     )
-    langs = sorted({lang for row in kept for lang in row["by"]})
+    langs = sorted(r[0] for r in terms.select(F.explode(F.map_keys("by"))).distinct().collect())
+    steps = terms.groupBy(F.least("total", F.lit(1000)).alias("total")).count().collect()
+    least, kept = 1001, 0
+    for total, n in sorted(steps, reverse=True):
+        kept += n
+        if kept > max_terms:
+            break
+        least = total
+    seen = (F.coalesce(F.col("by")[lang], F.lit(0)).alias(f"n{k}") for k, lang in enumerate(langs))
+    found = terms.filter(F.col("total") >= least).select("level", "hash", *seen).toArrow()
     model = {"langs": langs, "levels": {}}
-    for level in sorted({row["level"] for row in kept}):
-        own = [row for row in kept if row["level"] == level]
-        keys = np.array([row["hash"] for row in own], np.int64).view(np.uint64)
-        order = np.argsort(keys)
-        seen = np.array([[row["by"].get(lang, 0) for lang in langs] for row in own], float)[order]
-        logs = np.log((seen + 0.5) / (seen.sum(axis=0) + 0.5 * len(own)))
-        model["levels"][level] = keys[order], logs
+    level, keys = found["level"].to_numpy(), found["hash"].to_numpy().view(np.uint64)
+    counts = np.array([found[f"n{k}"].to_numpy() for k in range(len(langs))], float).reshape(len(langs), -1).T
+    for one in np.unique(level).tolist():
+        own = np.flatnonzero(level == one)
+        own = own[np.argsort(keys[own])]
+        logs = np.log((counts[own] + 0.5) / (counts[own].sum(axis=0) + 0.5 * len(own)))
+        model["levels"][one] = keys[own], logs
     return model
 
 
