@@ -43,6 +43,18 @@ def shared_length(a: bytes, b: bytes) -> int:
     return low
 
 
+def read_back(node: Node) -> Iterator[tuple[bytes, object]]:
+    """The strings below a node that lie in its file, if it has one."""
+    if node.spill is not None:
+        node.spill.seek(0)
+        while True:
+            try:
+                yield pickle.load(node.spill)
+            except EOFError:
+                break
+        node.spill.close()
+
+
 class RadixTrie:
     """A compressed trie over byte strings; each terminal node holds one entry.
 
@@ -103,6 +115,8 @@ class RadixTrie:
         for n, suffix in list(self._nodes(b"", node)):
             if n.entry is not None:
                 pickle.dump((suffix, n.entry), file, -1)
+            for below, entry in read_back(n):
+                pickle.dump((suffix + below, entry), file, -1)
         self.held -= sizes[id(node)] - NODE_BYTES - len(node.label)
         node.children, node.entry, node.spill = {}, None, file
         return True
@@ -125,13 +139,8 @@ class RadixTrie:
             stack.extend(node.children.values())
             if node.spill is not None:
                 below = RadixTrie(self.merge, self.budget)
-                node.spill.seek(0)
-                while True:
-                    try:
-                        below.insert(*pickle.load(node.spill))
-                    except EOFError:
-                        break
-                node.spill.close()
+                for key, entry in read_back(node):
+                    below.insert(key, entry)
                 yield from below.entries()
 
 

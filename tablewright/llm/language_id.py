@@ -137,6 +137,8 @@ def learn_languages(
         "language-terms",
     )
     langs = sorted(r[0] for r in terms.select(F.explode(F.map_keys("by"))).distinct().collect())
+    if not langs:
+        return {"langs": [], "levels": {}}
     steps = terms.groupBy(F.least("total", F.lit(1000)).alias("total")).count().collect()
     least, kept = 1001, 0
     for total, n in sorted(steps, reverse=True):

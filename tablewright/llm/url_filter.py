@@ -148,10 +148,11 @@ def judge_urls(
         schema += f", __uf_size{place} long, __uf_rule{place} string, __uf_verdict{place} string"
         part = spark.sparkContext.broadcast(listed[first : first + block])
         rows = rows.mapInArrow(_judge(part, place), schema)
-    best = F.greatest(
-        *(F.struct(f"__uf_size{p}", f"__uf_rule{p}", f"__uf_verdict{p}") for p in range(len(pieces)))
-    ) if len(pieces) > 1 else F.struct("__uf_size0", "__uf_rule0", "__uf_verdict0")
-    best = best.cast("struct<size:bigint,rule:string,verdict:string>")
+    found = [
+        F.struct(*(F.col(f"__uf_{name}{place}").alias(name) for name in ("size", "rule", "verdict")))
+        for place in range(len(pieces))
+    ]
+    best = F.greatest(*found) if len(found) > 1 else found[0]
     return rows.select(
         *(f"`{c}`" for c in kept),
         F.col("__uf_host").alias("host"),
