@@ -22,29 +22,28 @@ def shifted_windows(values: Column | str, names: Sequence[str]) -> Column:
 def ngrams(values: Column | str, n: int, joiner: str = " ") -> Column:
     """All runs of ``n`` neighbouring elements, joined; none if there are fewer."""
     items = _col(values)
-    starts = F.sequence(F.lit(1), F.size(items) - (n - 1))
-    made = F.transform(starts, lambda i: F.array_join(F.slice(items, i, n), joiner))
-    return F.when(F.size(items) >= n, made).otherwise(F.array().cast("array<string>"))
+    names = [f"k{k}" for k in range(n)]
+    runs = F.slice(shifted_windows(items, names), 1, F.greatest(F.size(items) - (n - 1), F.lit(0)))
+    return F.transform(runs, lambda run: F.array_join(F.array(*[run[k] for k in names]), joiner))
+
+
+def _every(items: Column, step: int, first: int) -> Column:
+    """The elements at ``first``, ``first + step``, ..."""
+    return F.filter(items, lambda _, place: place % step == first)
 
 
 def blocks(values: Column | str, fields: Sequence[str]) -> Column:
     """The elements in rows of ``len(fields)``: an array of structs."""
     items, k = _col(values), len(fields)
-    count = F.ceil(F.size(items) / k).cast("int")
-    numbers = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
-    return F.transform(
-        numbers,
-        lambda b: F.struct(*[F.get(items, b * k + i).alias(f) for i, f in enumerate(fields)]),
-    )
+    return F.arrays_zip(*[_every(items, k, i).alias(f) for i, f in enumerate(fields)])
 
 
 def merged_lines(text: Column | str, per_record: int, joiner: str = "") -> Column:
     """Every ``per_record`` lines of a text put together into one record."""
     lines = F.split(_col(text), "\n")
-    count = F.ceil(F.size(lines) / per_record).cast("int")
+    names = [f"k{k}" for k in range(per_record)]
     return F.transform(
-        F.sequence(F.lit(0), count - 1),
-        lambda b: F.array_join(F.slice(lines, b * per_record + 1, per_record), joiner),
+        blocks(lines, names), lambda b: F.array_join(F.array(*[b[k] for k in names]), joiner)
     )
 
 

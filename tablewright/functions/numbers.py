@@ -22,4 +22,6 @@ def percent_of(part: Column | str, whole: Column | str, places: int = 2) -> Colu
 
 
 def parity(value: Column | str) -> Column:
-    return F.when(F.pmod(_col(value), F.lit(2)) == 0, "even").otherwise("odd")
+    """``even`` or ``odd``; NULL stays NULL."""
+    rest = F.pmod(_col(value), F.lit(2))
+    return F.when(rest == 0, "even").when(rest == 1, "odd")

@@ -7,8 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The first three letters of the English month names, in order.
-MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
+# The English month names, in order; each is also known by its first three letters.
+MONTHS = (
+    "january", "february", "march", "april", "may", "june",
+    "july", "august", "september", "october", "november", "december",
+)
 ABSENT = "∅"
 
 
@@ -22,10 +25,10 @@ def row_hash(columns: Sequence[str]) -> Column:
 
 
 def month_number(name: Column | str) -> Column:
-    """1-12 from a month name by its first three letters; NULL if it is none."""
-    key = F.lower(F.substring(F.trim(_col(name)), 1, 3))
-    place = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), key)
-    return F.nullif(place, F.lit(0).cast("bigint")).cast("int")
+    """1-12 from a month's whole name or its first three letters; NULL if it is neither."""
+    key = F.lower(F.trim(_col(name)))
+    places = [F.array_position(F.array(*map(F.lit, known)), key) for known in (MONTHS, [m[:3] for m in MONTHS])]
+    return F.nullif(F.greatest(*places), F.lit(0).cast("bigint")).cast("int")
 
 
 def nth_index(text: Column | str, part: str, n: int) -> Column:
@@ -43,7 +46,7 @@ def codes_in(text: Column | str, codes: Sequence[str]) -> Column:
 
 def letter_signature(word: Column | str) -> Column:
     """The letters of a word in sorted order: equal for anagrams."""
-    return F.array_join(F.array_sort(F.split(_col(word), "")), "")
+    return F.array_join(F.sort_array(F.split(_col(word), "")), "")
 
 
 def _literal(part: str) -> str:

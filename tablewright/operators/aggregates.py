@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.operators.common import ColumnOrName, as_column, join_null_safe
-from tablewright.operators.ordered import MAX_GROUP_ROWS, fits_one_task, running_sum
+from tablewright.operators.ordered import running_sum
+from tablewright.session import settle
 
 
 def count_by(
@@ -93,21 +94,15 @@ def median_by(
     keys: Sequence[str],
     value: str,
     into: str = "median",
-    max_buffer_rows: int = 100_000,
-    max_group_rows: int | None = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Exact median per group.
+    """Exact median per group, as a double; NULL for a group without values.
 
-    Spark's own median holds the values of a group in one buffer, so it is used up
-    to ``max_buffer_rows``. Beyond that equal values are counted first, and a running
-    count finds the middle ones.
+    Spark's own median holds the values of a group in one buffer. Here equal values
+    are counted first, and a running count finds the middle ones.
     """
-    rows = df.filter(F.col(value).isNotNull())
-    if fits_one_task(rows, keys, max_buffer_rows):
-        return rows.groupBy(*keys).agg(F.median(value).alias(into))
-    counts = rows.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
+    counts = settle(df.groupBy(*keys, value).agg(F.count(value).alias("__n")))
     sizes = counts.groupBy(*keys).agg(F.sum("__n").alias("__size"))
-    upto = running_sum(counts, keys, [value], {"__upto": "__n"}, max_group_rows=max_group_rows)
+    upto = running_sum(counts, keys, [value], {"__upto": "__n"})
     if keys:
         placed = join_null_safe(upto, sizes, keys)
     else:
@@ -119,8 +114,9 @@ def median_by(
     def holds(place: Column) -> Column:
         return F.max(F.when((first <= place) & (place <= F.col("__upto")), F.col(value)))
 
+    middle = F.col("__low").cast("double") / 2 + F.col("__high").cast("double") / 2
     both = placed.groupBy(*keys).agg(holds(low).alias("__low"), holds(high).alias("__high"))
-    return both.select(*keys, ((F.col("__low") + F.col("__high")) / 2).alias(into))
+    return both.select(*keys, middle.alias(into))
 
 
 def members_where_total(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -68,15 +69,20 @@ def money(value: ColumnOrName) -> Column:
 def cents(value: ColumnOrName) -> Column:
     """A two-place amount as whole hundredths.
 
-    Sums of these are exact in any order and cheaper than decimal ones. A sum past
-    9.2e16 units fails under ANSI mode; use ``money`` where totals may grow larger.
+    Sums of these are exact in any order and cheaper than decimal ones, up to 9.2e16 units.
     """
     return F.rint(as_column(value) * 100).cast("bigint")
 
 
 def total(value: ColumnOrName) -> Column:
-    """The exact sum of a two-place amount, as a double."""
-    return F.sum(cents(value)) / 100
+    """The exact sum of a two-place amount, rounded once to a double.
+
+    High and low bits of the hundredths are added apart, so sums up to 9e22 units are exact.
+    """
+    whole = cents(value)
+    high, low = F.sum(F.shiftright(whole, 20)), F.sum(whole.bitwiseAND(F.lit(2**20 - 1)))
+    exact = high.cast("decimal(20,0)") * F.lit(2**20) + low.cast("decimal(20,0)")
+    return (exact * F.lit(Decimal("0.01"))).cast("double")
 
 
 def day_text(value: ColumnOrName) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StringType, StructField, StructType
 
+from tablewright.functions.numbers import parity
 from tablewright.operators.common import ColumnOrName, as_column, read_as
 
 # Texts that stand for a missing value in the survey files.
@@ -117,5 +118,4 @@ def sample_bucket(df: DataFrame, keys: Sequence[str], buckets: int, bucket: int)
 
 
 def parity_counts(df: DataFrame, column: str) -> DataFrame:
-    label = F.when(F.pmod(F.col(column), F.lit(2)) == 0, "even").otherwise("odd")
-    return df.groupBy(label.alias("parity")).agg(F.count(F.lit(1)).alias("count"))
+    return df.groupBy(parity(column).alias("parity")).agg(F.count(F.lit(1)).alias("count"))

@@ -50,7 +50,7 @@ def check_constraints(
         surplus = copies.filter("n > 1").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("violations"))
         parts.append(surplus.select(F.lit(f"{label} {','.join(key)}").alias("rule"), "violations"))
     for column, (ref, ref_column) in rules.foreign.items():
-        parents = refs[ref].select(F.col(ref_column).alias(column)).distinct()
+        parents = refs[ref].select(F.col(ref_column).alias(column))
         orphans = df.filter(F.col(column).isNotNull()).join(parents, column, "left_anti")
         parts.append(
             orphans.agg(F.count(F.lit(1)).alias("violations")).select(

@@ -77,8 +77,9 @@ def not_in(left: DataFrame, column: str, right: DataFrame, other: str) -> DataFr
 def hot_keys(df: DataFrame, on: Sequence[str], share: float) -> DataFrame:
     """Keys that hold more than ``share`` of the rows: fewer than 1 / share keys."""
     counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
-    total = df.agg(F.count(F.lit(1)))
-    return counts.filter(F.col("__n") > total.scalar() * share).select(*on)
+    counts = settle(counts)
+    total = counts.agg(F.sum("__n")).first()[0] or 0
+    return counts.filter(F.col("__n") > total * share).select(*on)
 
 
 def salted_join(
@@ -98,6 +99,8 @@ def salted_join(
     and are spread as well. Adaptive skew splitting stays on below this, for whole
     rows that repeat.
     """
+    if not 1e-4 <= share <= 1:
+        raise ValueError("share must lie between 1e-4 and 1: the hot keys are broadcast")
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError("only joins that keep the big side can be salted")
     # Few rows by definition; written out once, as both sides read them.

@@ -1,13 +1,15 @@
 """Running totals, neighbours and ranks that stay spread out on hot keys.
 
-A plain ``Window.partitionBy(key)`` sends all rows of a key to one task. Each
-operator here first measures the largest group (one pre-aggregated count). Up to
-``max_group_rows`` it uses the plain window. Above that it cuts the rows into
-equal slices by range over (keys, order), works inside each slice, and carries
-the slice totals forward; there is one total per slice and key, so the window
-over them is small. Both ways give the same rows.
+A plain ``Window.partitionBy(key)`` sends all rows of a key to one task. The
+operators here cut the rows into equal slices by range over (keys, order), work
+inside each slice, and carry the slice totals forward; there is one total per
+slice and key, so the window over them is small. This is done at every size.
+``bounded=True`` states that groups cannot grow with the data (days, months,
+distinct values of a small domain) and takes the plain window instead.
 
 ``order`` must be total within a group wherever single rows are told apart.
+Sums of doubles depend on the order of adding in their last digits, here as
+everywhere in Spark; whole numbers and decimals are exact.
 """
 
 from __future__ import annotations
@@ -20,35 +22,23 @@ from pyspark.sql import functions as F
 from tablewright.operators.common import ColumnOrName, as_column, join_null_safe
 from tablewright.session import settle
 
-MAX_GROUP_ROWS = 2_000_000
+SLICE_ROWS = 2_000_000
 SLICE = "__slice"
 GROUP = "__group"
 POSITION = "__position"
 CHUNK = "__chunk"
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows in the biggest group; counts are combined before the shuffle."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.max("n")).first()[0] or 0
-
-
-def fits_one_task(df: DataFrame, keys: Sequence[str], max_group_rows: int | None) -> bool:
-    """True when plain windows are safe; ``None`` states that groups are bounded, 0 that not."""
-    if not max_group_rows:
-        return max_group_rows is None
-    return largest_group(df, keys) <= max_group_rows
-
-
 def cut_by_range(
     df: DataFrame, keys: Sequence[str], order: Sequence[ColumnOrName], slices: int | None = None
 ) -> DataFrame:
-    """Number equal runs of rows in (keys, order) order.
+    """Number equal runs of rows in (keys, order) order, of about ``SLICE_ROWS`` at most.
 
     The numbers are written out once: range bounds come from a sample, and the
     rows and their totals must see the same bounds, also after a lost executor.
     """
-    n = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = slices or max(tasks, -(-df.count() // SLICE_ROWS))
     ranged = df.repartitionByRange(n, *keys, *order)
     return settle(ranged.withColumn(SLICE, F.spark_partition_id()))
 
@@ -64,12 +54,12 @@ def running_sum(
     order: Sequence[ColumnOrName],
     sums: Mapping[str, ColumnOrName],
     *,
-    max_group_rows: int | None = MAX_GROUP_ROWS,
+    bounded: bool = False,
     slices: int | None = None,
 ) -> DataFrame:
     """Running totals row by row (ROWS frame), per key or over the whole table."""
     values = {name: as_column(v) for name, v in sums.items()}
-    if fits_one_task(df, keys, max_group_rows):
+    if bounded:
         upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(
             Window.unboundedPreceding, Window.currentRow
         )
@@ -101,7 +91,7 @@ def running_sum_with_peers(
     order: Sequence[str],
     sums: Mapping[str, ColumnOrName],
     *,
-    max_group_rows: int | None = MAX_GROUP_ROWS,
+    bounded: bool = False,
 ) -> DataFrame:
     """Running totals in which rows with equal order values share one total.
 
@@ -111,7 +101,7 @@ def running_sum_with_peers(
     if set(sums) & {*keys, *order}:
         raise ValueError("a total may not be named like a key or an order column")
     peers = df.groupBy(*keys, *order).agg(*[F.sum(as_column(v)).alias(n) for n, v in sums.items()])
-    totals = running_sum(peers, keys, order, {n: n for n in sums}, max_group_rows=max_group_rows)
+    totals = running_sum(peers, keys, order, {n: n for n in sums}, bounded=bounded)
     return join_null_safe(df, totals, [*keys, *order])
 
 
@@ -121,12 +111,12 @@ def number_rows(
     order: Sequence[ColumnOrName],
     into: str,
     *,
-    max_group_rows: int | None = MAX_GROUP_ROWS,
+    bounded: bool = False,
     slices: int | None = None,
 ) -> DataFrame:
     """1, 2, 3, ... in order, per key or over the whole table."""
     return running_sum(
-        df, keys, order, {into: F.lit(1)}, max_group_rows=max_group_rows, slices=slices
+        df, keys, order, {into: F.lit(1)}, bounded=bounded, slices=slices
     )
 
 
@@ -138,21 +128,20 @@ def with_neighbours(
     *,
     before: int = 0,
     after: int = 0,
-    max_group_rows: int | None = MAX_GROUP_ROWS,
+    bounded: bool = False,
     chunk_rows: int | None = None,
 ) -> DataFrame:
     """Columns that look at most ``before`` rows back and ``after`` rows ahead.
 
     ``columns`` gets the ordered window and returns the new columns: lag, lead
-    and aggregates over a bounded ROWS frame. On big groups rows are numbered and
-    cut into chunks of ``chunk_rows``; the rows next to a cut are copied into the
+    and aggregates over a bounded ROWS frame. Rows are numbered and cut into chunks of ``chunk_rows``; the rows next to a cut are copied into the
     chunk beyond it, so each chunk sees its whole frame.
     """
-    if fits_one_task(df, keys, max_group_rows):
+    if bounded:
         return df.withColumns(dict(columns(Window.partitionBy(*keys).orderBy(*order))))
 
-    size = max(chunk_rows or max_group_rows, before, after, 1)
-    numbered = number_rows(df, keys, order, POSITION, max_group_rows=0)
+    size = max(chunk_rows or SLICE_ROWS, before, after, 1)
+    numbered = number_rows(df, keys, order, POSITION)
     home = F.floor((F.col(POSITION) - 1) / size)
     offset = (F.col(POSITION) - 1) % size
     copies = F.array_compact(
@@ -179,7 +168,7 @@ def rank_rows(
     dense: str | None = None,
     unique: str | None = None,
     modified: str | None = None,
-    max_group_rows: int | None = MAX_GROUP_ROWS,
+    bounded: bool = False,
 ) -> DataFrame:
     """Up to four kinds of rank by the column ``by``, under the names given.
 
@@ -187,7 +176,7 @@ def rank_rows(
     ``tie_break``, and ``modified`` gives tied rows the last of their places.
     """
     place = F.col(by).desc_nulls_last() if descending else F.col(by).asc_nulls_first()
-    if fits_one_task(df, keys, max_group_rows):
+    if bounded:
         w = Window.partitionBy(*keys).orderBy(place)
         made = {
             rank: F.rank().over(w),
@@ -201,11 +190,11 @@ def rank_rows(
 
     # Tied rows are neighbours in this order, so the first and last place of a
     # value give its rank and modified rank, and numbering the values the dense one.
-    placed = number_rows(df, keys, [place, *tie_break], "__unique", max_group_rows=0)
+    placed = number_rows(df, keys, [place, *tie_break], "__unique")
     values = placed.groupBy(*keys, by).agg(
         F.min("__unique").alias("__rank"), F.max("__unique").alias("__modified")
     )
-    values = number_rows(values, keys, ["__rank"], "__dense", max_group_rows=max_group_rows)
+    values = number_rows(values, keys, ["__rank"], "__dense", bounded=bounded)
     joined = join_null_safe(placed, values, [*keys, by])
     found = {rank: "__rank", dense: "__dense", unique: "__unique", modified: "__modified"}
     made = {name: F.col(source).cast("bigint") for name, source in found.items() if name}
@@ -221,14 +210,14 @@ def capacity_cutoff(
     keys: Sequence[str] = (),
     into: str = "running",
     *,
-    max_group_rows: int | None = MAX_GROUP_ROWS,
+    bounded: bool = False,
 ) -> DataFrame:
     """The last row, in order, whose running weight stays within ``limit``.
 
     Weights are taken to be positive, as for a queue: the row is the one with the
     largest running weight. The row is picked by an aggregate, not by a sort.
     """
-    totals = running_sum(df, keys, order, {into: weight}, max_group_rows=max_group_rows)
+    totals = running_sum(df, keys, order, {into: weight}, bounded=bounded)
     within = totals.filter(F.col(into) <= limit)
     rest = [c for c in df.columns if c not in (*keys, *order)]
     last = F.max(F.struct(into, *order, *rest)).alias("__row")

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.session import build_session, settings
-from tablewright.sinks.layout import TARGET_MB, balanced
+from tablewright.sinks.layout import balanced
 from tablewright.sinks.writers import write_files
 from tablewright.sources.readers import read_columnar
 
@@ -28,23 +28,24 @@ logger = logging.getLogger(__name__)
 class BatchJob:
     input_path: str
     output_path: str
+    schema: str
+    condition: str = "true"
+    columns: tuple[str, ...] = ("*",)
+    partition_by: tuple[str, ...] = ()
     output_format: str = "parquet"
-    schema: str = "id int, name string, amount double, date string"
-    partition_by: tuple[str, ...] = ("date",)
-    target_mb: int = TARGET_MB
+    target_mb: int = 256
     attempts: int = 3
     delay_seconds: float = 10
-    settings: dict[str, str] = field(default_factory=lambda: {"spark.sql.shuffle.partitions": "1000"})
+    settings: dict[str, str] = field(default_factory=dict)
 
 
 def read(spark: SparkSession, job: BatchJob) -> DataFrame:
     return read_columnar(spark, job.input_path, schema=job.schema)
 
 
-def transform(df: DataFrame) -> DataFrame:
-    """Rows with a positive amount and a date; both filters reach the file scan."""
-    kept = df.filter((F.col("amount") > 0) & F.col("date").isNotNull())
-    return kept.select("id", "amount", "date")
+def transform(df: DataFrame, job: BatchJob) -> DataFrame:
+    """The job's rows and columns; simple conditions reach the file scan."""
+    return df.filter(job.condition).select(*job.columns)
 
 
 def write(df: DataFrame, job: BatchJob) -> int:
@@ -70,7 +71,8 @@ def run_batch(spark: SparkSession, job: BatchJob) -> int:
     """Run the job; a failing run is tried again, a wrong plan or schema is not."""
     for attempt in range(1, job.attempts + 1):
         try:
-            rows = write(transform(read(spark, job)), job)
+            with settings(spark, job.settings):
+                rows = write(transform(read(spark, job), job), job)
             logger.info("wrote %d rows to %s", rows, job.output_path)
             return rows
         except AnalysisException:
@@ -87,9 +89,15 @@ def parse(arguments: Sequence[str] | None = None) -> BatchJob:
     parser = argparse.ArgumentParser(description="Filter and partition one table")
     parser.add_argument("--input-path", required=True)
     parser.add_argument("--output-path", required=True)
+    parser.add_argument("--schema", required=True)
+    parser.add_argument("--condition", default="true")
+    parser.add_argument("--columns", nargs="+", default=["*"])
+    parser.add_argument("--partition-by", nargs="*", default=[])
     parser.add_argument("--output-format", default="parquet")
-    parser.add_argument("--target-mb", type=int, default=TARGET_MB)
-    return BatchJob(**vars(parser.parse_args(arguments)))
+    parser.add_argument("--target-mb", type=int, default=256)
+    given = vars(parser.parse_args(arguments))
+    lists = {name: tuple(given.pop(name)) for name in ("columns", "partition_by")}
+    return BatchJob(**given, **lists)
 
 
 def main(arguments: Sequence[str] | None = None) -> int:

@@ -289,7 +289,15 @@ def batch_job_output(spark, folder):
         F.when(key % 6 != 0, F.date_format("o_orderdate", "yyyy-MM")).alias("date"),
     )
     writers.write_files(source, f"{place}/in")
-    batch_job.run_batch(spark, batch_job.BatchJob(f"{place}/in", f"{place}/out"))
+    job = batch_job.BatchJob(
+        f"{place}/in",
+        f"{place}/out",
+        schema="id int, name string, amount double, date string",
+        condition="amount > 0 AND date IS NOT NULL",
+        columns=("id", "amount", "date"),
+        partition_by=("date",),
+    )
+    batch_job.run_batch(spark, job)
     back = readers.read_columnar(spark, f"{place}/out", schema="id int, amount double, date string")
     return back.groupBy("date").agg(
         F.count(F.lit(1)).alias("rows"), total("amount").alias("amount")

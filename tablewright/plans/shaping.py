@@ -274,14 +274,14 @@ def word_count_top(spark, folder):
 
 
 @query(
-    """
+    r"""
     SELECT word, count(*) AS count FROM
-      (SELECT unnest(string_split_regex(lower(text), '[^a-z]+')) AS word FROM conversations) WHERE word <> '' GROUP BY 1
+      (SELECT unnest(string_split_regex(lower(text), '[^\p{L}]+')) AS word FROM conversations) WHERE word <> '' GROUP BY 1
     """
 )
 def lower_case_word_count(spark, folder):
     return text.word_count(
-        table(spark, folder, "conversations"), "text", lower=True, pattern="[^a-z]+", drop_empty=True
+        table(spark, folder, "conversations"), "text", lower=True, pattern=r"[^\p{L}]+", drop_empty=True
     )
 
 
@@ -297,8 +297,8 @@ def ngram_counts(spark, folder):
 
 
 @query(
-    """
-    WITH w AS (SELECT DISTINCT unnest(string_split_regex(lower(text), '[^a-z]+')) AS word FROM documents),
+    r"""
+    WITH w AS (SELECT DISTINCT unnest(string_split_regex(lower(text), '[^\p{L}]+')) AS word FROM documents),
          s AS (SELECT word, array_to_string(list_sort(string_split(word, '')), '') AS signature FROM w WHERE word <> ''),
          n AS (SELECT signature, count(*) AS group_size FROM s GROUP BY 1 HAVING count(*) >= 2)
     SELECT word, signature, group_size FROM s JOIN n USING (signature)
@@ -306,7 +306,7 @@ def ngram_counts(spark, folder):
 )
 def anagram_groups(spark, folder):
     words = text.words_of(
-        table(spark, folder, "documents"), "text", lower=True, pattern="[^a-z]+", drop_empty=True
+        table(spark, folder, "documents"), "text", lower=True, pattern=r"[^\p{L}]+", drop_empty=True
     )
     return text.anagram_groups(words, "word")
 
@@ -475,14 +475,14 @@ def pagerank(spark, folder):
     f"""
     WITH RECURSIVE e AS ({_TRADE}), f AS (SELECT src, dst FROM e UNION SELECT dst, src FROM e),
          walk AS (SELECT (SELECT min(src) FROM e) AS id, 0 AS hops
-                  UNION SELECT dst, hops + 1 FROM walk JOIN f ON src = id WHERE hops < 4)
+                  UNION SELECT dst, hops + 1 FROM walk JOIN f ON src = id WHERE hops < (SELECT count(*) FROM nation))
     SELECT id, min(hops) AS hops FROM walk GROUP BY 1
     """
 )
 def hop_distance(spark, folder):
     trade = _trade(spark, folder)
     start = trade.agg(F.min("src").alias("id"))
-    return graph.hops(trade, start, max_hops=4, directed=False)
+    return graph.hops(trade, start, directed=False)
 
 
 _LINKS = """
@@ -517,9 +517,7 @@ def connected_components(spark, folder):
 def month_by_registered_function(spark, folder):
     """A vectorized function called from SQL."""
     numbers_of = dict(zip(strings.MONTHS, range(1, 13)))
-    udfs.register_vectorized(
-        spark, "month_no", lambda names: names.str.slice(0, 3).str.lower().map(numbers_of), "int"
-    )
+    udfs.register_vectorized(spark, "month_no", lambda names: names.str.lower().map(numbers_of), "int")
     orders = table(spark, folder, "orders")
     return spark.sql(
         """

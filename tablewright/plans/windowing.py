@@ -125,7 +125,7 @@ def prefix_sum_in_slices(spark, folder):
     """The same with the rows cut into slices, however few there are."""
     orders = table(spark, folder, "orders").select(*_ORDER, "o_totalprice")
     sums = {"position": F.lit(1), "running": cents("o_totalprice")}
-    made = ordered.running_sum(orders, [], _ORDER, sums, max_group_rows=0)
+    made = ordered.running_sum(orders, [], _ORDER, sums)
     return made.select("o_orderkey", "position", (F.col("running") / 100).alias("running"))
 
 
@@ -177,7 +177,7 @@ def moving_avg_3_rows(spark, folder):
         return {"moving_avg": F.round(F.sum("total").over(last) / 100 / F.count("total").over(last), 4)}
 
     made = ordered.with_neighbours(
-        _daily(spark, folder), ["event_type"], ["day"], columns, before=2, max_group_rows=None
+        _daily(spark, folder), ["event_type"], ["day"], columns, before=2, bounded=True
     )
     return made.select("event_type", day_text("day").alias("day"), (F.col("total") / 100).alias("total"), "moving_avg")
 
@@ -313,7 +313,7 @@ def rank_kinds(spark, folder):
 
 @query(_RANKS)
 def rank_kinds_in_slices(spark, folder):
-    return _rank_kinds(spark, folder, max_group_rows=0)
+    return _rank_kinds(spark, folder)
 
 
 @query(
@@ -389,7 +389,7 @@ def daily_balance_per_merchant(spark, folder):
         .groupBy(F.col("l_suppkey").alias("merchant"), F.to_date("l_shipdate").alias("day"))
         .agg(F.sum(cents("l_extendedprice")).alias("amount"))
     )
-    made = ordered.running_sum(daily, ["merchant"], ["day"], {"balance": "amount"}, max_group_rows=None)
+    made = ordered.running_sum(daily, ["merchant"], ["day"], {"balance": "amount"}, bounded=True)
     return made.select(
         "merchant",
         day_text("day").alias("day"),

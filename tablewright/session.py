@@ -43,14 +43,17 @@ def read_conf(path: str, section: str = "SPARK_APP_CONFIGS") -> dict[str, str]:
 @contextmanager
 def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
     """Session settings that hold inside the block."""
-    before = {key: spark.conf.get(key) for key in values}
+    before = {key: spark.conf.get(key, None) for key in values}
     for key, value in values.items():
         spark.conf.set(key, value)
     try:
         yield
     finally:
         for key, value in before.items():
-            spark.conf.set(key, value)
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -1,4 +1,4 @@
-"""Physical layout: partition counts, gathering and ordering within partitions."""
+"""Physical layout: gathering and ordering within partitions."""
 
 from __future__ import annotations
 
@@ -8,16 +8,6 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# The batch template aims at 200 MB per partition and 500 bytes per row.
-TARGET_MB = 200
-ROW_BYTES = 500
-
-
-def partitions_for(rows: int, target_mb: int = TARGET_MB, row_bytes: int = ROW_BYTES) -> int:
-    """How many partitions of the target size the rows fill; at least one."""
-    return max(1, rows // (target_mb * 1024 * 1024 // row_bytes))
-
-
 def spread(df: DataFrame, n: int | None = None, by: Sequence[str] = (), ranged: bool = False) -> DataFrame:
     """Repartition to ``n``, by hash or range of columns, or both."""
     args = ([n] if n else []) + list(by)

@@ -47,10 +47,8 @@ def export_partitioned(
     write_files(gathered, path, fmt, partition_by=partition_by, max_records=max_records)
 
 
-def write_single_file(df: DataFrame, path: str, fmt: str = "csv", max_rows: int = 1_000_000, **options) -> None:
-    """One file, for a result known to be small; a larger one is refused."""
-    if df.limit(max_rows + 1).count() > max_rows:
-        raise ValueError(f"more than {max_rows} rows: write several files")
+def write_single_file(df: DataFrame, path: str, fmt: str = "csv", **options) -> None:
+    """One file, which one task writes: for results that the caller knows to be small."""
     write_files(df.coalesce(1), path, fmt, **options)
 
 
@@ -66,9 +64,15 @@ def write_with_manifest(df: DataFrame, path: str, schema: str, fmt: str = "parqu
 def compact(spark: SparkSession, source: str, target: str, fmt: str, schema, file_mb: int = 256) -> None:
     """Rewrite many small files as few of about ``file_mb`` megabytes each.
 
-    The split size of the read decides the tasks, and so the files; no shuffle.
+    The split size of the read decides the tasks, and so the files; no shuffle. Neither the
+    cost of opening a file nor the number of cores may make the splits smaller.
     """
-    with settings(spark, {"spark.sql.files.maxPartitionBytes": f"{file_mb}m"}):
+    size = {
+        "spark.sql.files.maxPartitionBytes": f"{file_mb}m",
+        "spark.sql.files.openCostInBytes": "0",
+        "spark.sql.files.minPartitionNum": "1",
+    }
+    with settings(spark, size):
         write_files(spark.read.format(fmt).schema(schema).load(source), target, fmt)
 
 

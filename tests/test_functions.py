@@ -12,7 +12,8 @@ def one(spark, column):
 
 def test_strings(spark):
     assert one(spark, strings.month_number(F.lit("April"))) == 4
-    assert one(spark, strings.month_number(F.lit("Smarch"))) is None
+    assert one(spark, strings.month_number(F.lit(" sep"))) == 9
+    assert [one(spark, strings.month_number(F.lit(x))) for x in ("Smarch", "marble", "decade")] == [None] * 3
     assert one(spark, strings.nth_index(F.lit("a.b.c"), ".", 2)) == 4
     assert one(spark, strings.nth_index(F.lit("a.b.c"), ".", 3)) == 0
     assert one(spark, strings.codes_in(F.lit("12ML7GM-LTR"), ["ML", "GM", "LTR"])) == ["ML", "GM", "LTR"]
@@ -132,3 +133,22 @@ def test_read_as_equals_try_cast(spark):
     for kind in ("int", "bigint", "double", "decimal(10,2)", "date", "timestamp", "boolean", "string"):
         made = df.select("i", read_as(F.col("t"), kind).cast("string").alias("a"), F.col("t").try_cast(kind).cast("string").alias("b"))
         assert made.filter(~F.col("a").eqNullSafe(F.col("b"))).collect() == [], kind
+
+
+def test_array_functions_take_time_in_proportion(spark):
+    words = spark.range(1).select(F.array_join(F.transform(F.sequence(F.lit(1), F.lit(20000)), lambda i: i.cast("string")), " ").alias("t"))
+    pairs = words.select(F.size(arrays.ngrams(F.split("t", " "), 2)).alias("n"))
+    assert pairs.first()["n"] == 19999
+    cells = words.select(arrays.blocks(F.split("t", " "), ["a", "b", "c"]).alias("b"))
+    assert tuple(cells.select(F.element_at("b", -1).alias("x")).first()["x"]) == ("19999", "20000", None)
+
+
+def test_words_keep_their_accents(spark):
+    df = spark.createDataFrame([("Élan, élan! Äpfel",)], "t string")
+    got = dict(text.word_count(df, "t", lower=True, pattern=r"[^\p{L}]+", drop_empty=True).collect())
+    assert got == {"élan": 2, "äpfel": 1}
+
+
+def test_parity_of_null(spark):
+    df = spark.createDataFrame([(3,), (-2,), (None,)], "v int")
+    assert dict(conform.parity_counts(df, "v").collect()) == {"odd": 1, "even": 1, None: 1}

@@ -11,118 +11,110 @@ from tablewright.operators import islands, joins, ordered, ranking
 from tests.helpers import day, rows
 
 
-def test_region_sales_running_report(spark):
+def test_running_totals_by_month_name(spark):
     data = [
-        ("East", "January", 200), ("East", "Feb", 300), ("East", "Mar", 250),
-        ("West", "Jan", 400), ("West", "Feb", 350), ("West", "Mar", 450),
-        ("North", "Jan", 300), ("North", "Feb", 300), ("North", "Mar", 270),
-        ("South", "Jan", 500), ("South", "Feb", 750), ("South", "Mar", 650), ("South", "April", 659),
+        ("north mill", "March", 40), ("north mill", "oct", 15), ("north mill", "August", 25),
+        ("south mill", "June", 7), ("south mill", "january", 70),
     ]
-    df = spark.createDataFrame(data, "region string, month string, sales int")
+    df = spark.createDataFrame(data, "mill string, month string, tons int")
     numbered = df.withColumn("no", month_number("month"))
-    made = ordered.running_sum(numbered, ["region"], ["no"], {"running": "sales"})
+    made = ordered.running_sum(numbered, ["mill"], ["no"], {"running": "tons"})
     made = ordered.with_neighbours(
-        made, ["region"], ["no"], lambda w: {"diff": F.coalesce(F.col("sales") - F.lag("sales").over(w), F.lit(0))},
+        made, ["mill"], ["no"], lambda w: {"diff": F.coalesce(F.col("tons") - F.lag("tons").over(w), F.lit(0))},
         before=1,
     )
-    got = [tuple(r) for r in made.filter("region = 'South'").orderBy("no").select("month", "running", "diff").collect()]
-    assert got == [("Jan", 500, 0), ("Feb", 1250, 250), ("Mar", 1900, -100), ("April", 2559, 9)]
+    got = [tuple(r) for r in made.filter("mill = 'north mill'").orderBy("no").select("month", "running", "diff").collect()]
+    assert got == [("March", 40, 0), ("August", 65, -15), ("oct", 80, -10)]
 
 
-def test_moving_average_of_three_rows(spark):
+def test_mean_of_a_row_and_the_one_before(spark):
     df = spark.createDataFrame(
-        [(i, day(f"2024-01-0{i}"), i * 10) for i in range(1, 6)], "id int, date date, value int"
+        [(1, day("2023-05-02"), 8), (2, day("2023-05-09"), 2), (3, day("2023-06-01"), 5)], "id int, date date, value int"
     )
     made = ordered.with_neighbours(
-        df, [], ["date"], lambda w: {"avg": F.avg("value").over(w.rowsBetween(-2, 0))}, before=2
+        df, [], ["date"], lambda w: {"avg": F.avg("value").over(w.rowsBetween(-1, 0))}, before=1
     )
-    assert [r["avg"] for r in made.orderBy("id").collect()] == [10.0, 15.0, 20.0, 30.0, 40.0]
+    assert [r["avg"] for r in made.orderBy("id").collect()] == [8.0, 5.0, 3.5]
 
 
-@pytest.mark.parametrize("limit_rows", [100, 0])
-def test_last_person_within_capacity(spark, limit_rows):
-    queue = [
-        (101, "Derek", 210, 7), (102, "Lena", 185, 2), (103, "Marco", 240, 9), (104, "Tina", 195, 1),
-        (105, "Eli", 260, 4), (106, "Zara", 230, 10), (107, "Nathan", 275, 3), (108, "Priya", 205, 6),
-        (109, "Yusuf", 250, 5), (110, "Mei", 190, 8),
-    ]
-    df = spark.createDataFrame(queue, "id int, name string, weight int, turn int")
-    last = ordered.capacity_cutoff(df, ["turn"], "weight", 1000, max_group_rows=limit_rows)
-    assert [(r["name"], r["running"]) for r in last.collect()] == [("Eli", 915)]
-    assert ordered.capacity_cutoff(df, ["turn"], "weight", 10, max_group_rows=limit_rows).count() == 0
+@pytest.mark.parametrize("bounded", [True, False])
+def test_last_crate_within_capacity(spark, bounded):
+    crates = [("pears", 30, 3), ("plums", 45, 1), ("figs", 20, 2), ("dates", 25, 4)]
+    df = spark.createDataFrame(crates, "crate string, weight int, place int")
+    last = ordered.capacity_cutoff(df, ["place"], "weight", 100, bounded=bounded)
+    assert [(r["crate"], r["running"]) for r in last.collect()] == [("pears", 95)]
+    assert ordered.capacity_cutoff(df, ["place"], "weight", 44, bounded=bounded).count() == 0
 
 
-def test_latest_purchase_keeps_ties(spark):
+def test_latest_rows_keep_ties(spark):
     df = spark.createDataFrame(
         [
-            (1, "Laptop", day("2025-01-01")), (1, "Mouse", day("2025-04-04")), (1, "Scanner", day("2025-04-05")),
-            (2, "Keyboard", day("2024-08-02")), (2, "Monitor", day("2024-08-03")), (2, "Cable", day("2024-08-03")),
+            ("ana", "canoe", day("2022-03-09")), ("ana", "tent", day("2022-01-30")),
+            ("bo", "rope", day("2021-12-24")), ("bo", "lamp", day("2021-12-24")), ("bo", "axe", day("2021-11-01")),
         ],
-        "customer int, product string, bought date",
+        "who string, what string, at date",
     )
-    latest = ranking.top_with_ties(df, ["customer"], "bought", 1)
-    assert rows(latest.select("product")) == [("Cable",), ("Monitor",), ("Scanner",)]
-    one = ranking.first_rows(df, ["customer"], [F.col("bought").desc(), "product"])
-    assert rows(one.select("product")) == [("Cable",), ("Scanner",)]
+    latest = ranking.top_with_ties(df, ["who"], "at", 1)
+    assert rows(latest.select("what")) == [("canoe",), ("lamp",), ("rope",)]
+    one = ranking.first_rows(df, ["who"], [F.col("at").desc(), "what"])
+    assert rows(one.select("what")) == [("canoe",), ("lamp",)]
 
 
 def test_second_highest_or_only(spark):
     df = spark.createDataFrame(
-        [(1, "IT", 80000), (2, "HR", 70000), (3, "IT", 85000), (4, "Finance", 90000), (5, "HR", 75000), (6, "HR", 76000)],
-        "id int, dept string, salary int",
+        [("a", "red", 12), ("b", "red", 19), ("c", "blue", 4), ("d", "green", 6), ("e", "green", 6), ("f", "green", 3)],
+        "id string, team string, score int",
     )
-    got = ranking.nth_value_rows(df, ["dept"], "salary", 2, or_last=True)
-    assert rows(got.select("id")) == [(1,), (4,), (5,)]
-    assert rows(ranking.nth_value_rows(df, ["dept"], "salary", 2).select("id")) == [(1,), (5,)]
-    assert rows(ranking.nth_value_rows(df, [], "salary", 3).select("id")) == [(1,)]
+    got = ranking.nth_value_rows(df, ["team"], "score", 2, or_last=True)
+    assert rows(got.select("id")) == [("a",), ("c",), ("f",)]
+    assert rows(ranking.nth_value_rows(df, ["team"], "score", 2).select("id")) == [("a",), ("f",)]
+    assert rows(ranking.nth_value_rows(df, [], "score", 3).select("id")) == [("d",), ("e",)]
 
 
 def test_four_kinds_of_rank(spark):
-    df = spark.createDataFrame([(1, 10), (2, 20), (3, 20), (4, 30)], "id int, v int")
-    for limit in (10, 0):
+    df = spark.createDataFrame([(1, 7), (2, 7), (3, 9), (4, 9), (5, 9), (6, 2)], "id int, v int")
+    for bounded in (True, False):
         got = ordered.rank_rows(
             df, [], "v", tie_break=["id"], descending=False,
-            rank="r", dense="d", unique="u", modified="m", max_group_rows=limit,
+            rank="r", dense="d", unique="u", modified="m", bounded=bounded,
         )
-        assert rows(got) == [(1, 10, 1, 1, 1, 1), (2, 20, 2, 2, 2, 3), (3, 20, 2, 2, 3, 3), (4, 30, 4, 3, 4, 4)]
+        assert rows(got) == [
+            (1, 7, 2, 2, 2, 3), (2, 7, 2, 2, 3, 3), (3, 9, 4, 3, 4, 6),
+            (4, 9, 4, 3, 5, 6), (5, 9, 4, 3, 6, 6), (6, 2, 1, 1, 1, 1),
+        ]
 
 
-def test_absence_islands(spark):
-    marks = {
-        101: "A A P A A A P".split(),
-        102: "P A A P".split(),
-    }
+def test_islands_of_days_with_a_mark(spark):
     data = [
-        (who, day(f"2025-01-0{i}"), mark) for who, days in marks.items() for i, mark in enumerate(days, 1)
+        ("pump", day("2023-07-30"), "off"), ("pump", day("2023-07-31"), "off"), ("pump", day("2023-08-01"), "off"),
+        ("pump", day("2023-08-02"), "on"), ("pump", day("2023-08-04"), "off"), ("pump", day("2023-08-04"), "off"),
+        ("fan", day("2023-08-01"), "on"),
     ]
-    df = spark.createDataFrame(data + data[:1], "student int, at date, mark string")
-    got = islands.islands(df, ["student"], "at", where="mark = 'A'")
-    assert rows(got.select("student", "start", "end", "n")) == [
-        (101, day("2025-01-01"), day("2025-01-02"), 2),
-        (101, day("2025-01-04"), day("2025-01-06"), 3),
-        (102, day("2025-01-02"), day("2025-01-03"), 2),
+    df = spark.createDataFrame(data, "device string, at date, state string")
+    got = islands.islands(df, ["device"], "at", where="state = 'off'")
+    assert rows(got.select("device", "start", "end", "n")) == [
+        ("pump", day("2023-07-30"), day("2023-08-01"), 3),
+        ("pump", day("2023-08-04"), day("2023-08-04"), 1),
     ]
 
 
-def test_machine_times(spark):
+def test_mean_time_between_paired_events(spark):
     data = [
-        (0, 1, "start", "18.891"), (1, 0, "end", "81.874"), (0, 0, "start", "37.019"), (0, 1, "end", "38.098"),
-        (1, 0, "start", "25.135"), (1, 1, "start", "23.355"), (0, 0, "end", "40.222"), (1, 1, "end", "90.302"),
-        (1, 1, "start", "not a time"),
+        ("oven", 1, "open", "10.5"), ("oven", 1, "shut", "14.0"), ("oven", 2, "shut", "31.5"), ("oven", 2, "open", "30"),
+        ("kiln", 1, "open", "2.25"), ("kiln", 1, "shut", "4.75"), ("kiln", 2, "open", "broken"), ("kiln", 2, "shut", "9"),
     ]
-    df = spark.createDataFrame(data, "machine int, process int, kind string, at string")
-    pairs = islands.pair_events(df, ["machine", "process"], "kind", "at", "start", "end")
-    assert rows(islands.mean_duration(pairs, ["machine"])) == [(0, 11.205), (1, 61.843)]
+    df = spark.createDataFrame(data, "machine string, run int, kind string, at string")
+    pairs = islands.pair_events(df, ["machine", "run"], "kind", "at", "open", "shut")
+    assert rows(islands.mean_duration(pairs, ["machine"])) == [("kiln", 2.5), ("oven", 2.5)]
 
 
-def test_department_mean(spark):
+def test_difference_to_the_group_mean(spark):
     df = spark.createDataFrame(
-        [(1, "HR", 50000), (2, "HR", 60000), (3, "IT", 70000), (4, "IT", 80000), (7, "Sales", 100000), (8, "Zero", 0)],
-        "id int, dept string, salary int",
+        [("a", "x", 30), ("b", "x", 50), ("c", "y", 8), ("d", "z", 0), ("e", "z", 0)], "id string, team string, pay int"
     )
-    got = joins.compare_to_group(df, ["dept"], "salary").select("id", "difference", "difference_pct")
+    got = joins.compare_to_group(df, ["team"], "pay").select("id", "difference", "difference_pct")
     assert rows(got) == [
-        (1, 5000.0, 10.0), (2, -5000.0, -8.33), (3, 5000.0, 7.14), (4, -5000.0, -6.25), (7, 0.0, 0.0), (8, 0.0, None),
+        ("a", 10.0, 33.33), ("b", -10.0, -20.0), ("c", 0.0, 0.0), ("d", 0.0, None), ("e", 0.0, None),
     ]
 
 
@@ -146,16 +138,16 @@ def skewed(spark):
 def test_sliced_running_sum_equals_window(skewed, keys):
     w = Window.partitionBy(*keys).orderBy("o", "i").rowsBetween(Window.unboundedPreceding, 0)
     want = skewed.withColumns({"s": F.sum("v").over(w), "n": F.sum(F.lit(1)).over(w)})
-    got = ordered.running_sum(skewed, keys, ["o", "i"], {"s": "v", "n": F.lit(1)}, max_group_rows=0, slices=7)
+    got = ordered.running_sum(skewed, keys, ["o", "i"], {"s": "v", "n": F.lit(1)}, slices=7)
     assert got.dtypes == want.dtypes
     assert rows(got) == rows(want)
 
 
-@pytest.mark.parametrize("limit_rows", [0, None])
-def test_peers_share_a_total(skewed, limit_rows):
+@pytest.mark.parametrize("bounded", [True, False])
+def test_peers_share_a_total(skewed, bounded):
     w = Window.partitionBy("k").orderBy("o")
     want = skewed.withColumn("s", F.sum("v").over(w))
-    got = ordered.running_sum_with_peers(skewed, ["k"], ["o"], {"s": "v"}, max_group_rows=limit_rows)
+    got = ordered.running_sum_with_peers(skewed, ["k"], ["o"], {"s": "v"}, bounded=bounded)
     assert rows(got) == rows(want)
 
 
@@ -170,7 +162,7 @@ def test_chunked_neighbours_equal_window(skewed, chunk):
 
     want = skewed.withColumns(columns(Window.partitionBy("k").orderBy("o", "i")))
     got = ordered.with_neighbours(
-        skewed, ["k"], ["o", "i"], columns, before=2, after=1, max_group_rows=0, chunk_rows=chunk
+        skewed, ["k"], ["o", "i"], columns, before=2, after=1, chunk_rows=chunk
     )
     assert rows(got) == rows(want)
 
@@ -178,8 +170,8 @@ def test_chunked_neighbours_equal_window(skewed, chunk):
 @pytest.mark.parametrize("descending", [True, False])
 def test_sliced_ranks_equal_windows(skewed, descending):
     names = {"rank": "r", "dense": "d", "unique": "u", "modified": "m"}
-    want = ordered.rank_rows(skewed, ["k"], "v", tie_break=["i"], descending=descending, **names)
-    got = ordered.rank_rows(skewed, ["k"], "v", tie_break=["i"], descending=descending, max_group_rows=0, **names)
+    want = ordered.rank_rows(skewed, ["k"], "v", tie_break=["i"], descending=descending, bounded=True, **names)
+    got = ordered.rank_rows(skewed, ["k"], "v", tie_break=["i"], descending=descending, **names)
     assert rows(got) == rows(want)
 
 
@@ -196,3 +188,13 @@ def test_islands_equal_distinct_days(skewed):
     made = islands.islands(dated, ["k"], "at")
     held = dated.select("k", "at").distinct().groupBy("k").agg(F.count(F.lit(1)).alias("n"))
     assert rows(made.groupBy("k").agg(F.sum("n").alias("n"))) == rows(held)
+
+
+def test_running_sums_of_decimals_and_doubles(skewed):
+    kinds = {"d": (F.col("i") / 8).cast("decimal(12,3)"), "f": F.col("i") / 3}
+    df = skewed.select("k", "i", *(v.alias(n) for n, v in kinds.items()))
+    sums = {f"s_{n}": n for n in kinds}
+    want = {r["i"]: r for r in ordered.running_sum(df, ["k"], ["i"], sums, bounded=True).collect()}
+    for r in ordered.running_sum(df, ["k"], ["i"], sums, slices=5).collect():
+        assert r["s_d"] == want[r["i"]]["s_d"]
+        assert r["s_f"] == pytest.approx(want[r["i"]]["s_f"], rel=1e-12)
