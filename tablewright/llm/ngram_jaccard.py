@@ -242,32 +242,35 @@ def shingle_components(
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     make, schema = _profiles(width)
     profiles = stored(slim.mapInArrow(make, schema), "jaccard-profiles")
-    members = profiles.filter("n IS NOT NULL")
     heavy = heavy_tokens(profiles)
-    alike = Classes(members)
+    members = stored(represented(profiles.filter("n IS NOT NULL")), "jaccard-members")
+    sets = members.filter("n > 0 AND doc_id IS NOT NULL")
 
     entries = slim.mapInArrow(
         _entries(width, percent, spark.sparkContext.broadcast(heavy)), "entry long, doc_id long"
     )
-    shared = (
+    # Each table of keys is written before it is joined, so that hot keys of the other side split.
+    shared = stored(
         entries.groupBy("entry")
-        .agg(F.min("doc_id").alias("__low"), F.max("doc_id").alias("__high"))
-        .filter("__low < __high")
-        .select("entry")
+        .agg(F.count(F.lit(1)).alias("c"))
+        .filter("c > 1")
+        .select("entry"),
+        "jaccard-shared",
     )
     index = stored(
-        entries.join(shared, "entry").join(alike.named, "doc_id").select("entry", "rep").distinct(),
+        entries.join(shared, "entry").join(sets.select("doc_id", "rep"), "doc_id").select("entry", "rep").distinct(),
         "jaccard-index",
     )
-    sets = alike.sets
+    sets = sets.filter("doc_id = rep").select("rep", "n", "s0", "s1", "s2", "s3").distinct()
     degree = index.groupBy("entry").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-    index = index.join(degree, "entry")
+    index = stored(index.join(stored(degree, "jaccard-degree"), "entry"), "jaccard-index")
     weight = index.groupBy("rep").agg(F.sum("c").alias("w"))
-    hubs = (
+    hubs = stored(
         index.join(weight, "rep")
         .groupBy("entry")
         .agg(F.max(F.struct("w", -F.col("rep"))).alias("best"))
-        .select("entry", (-F.col("best.col2")).alias("hub"))
+        .select("entry", (-F.col("best.col2")).alias("hub")),
+        "jaccard-hubs",
     )
     stars = index.join(hubs, "entry").filter("rep <> hub").select(F.col("rep").alias("b"), F.col("hub").alias("a"))
     links = stored(verify(stars.distinct(), sets, slim, width, percent), "jaccard-links")
@@ -277,23 +280,20 @@ def shingle_components(
         verify(open_pairs(index, first, sets, percent), sets, slim, width, percent), "jaccard-links"
     )
     found = first if missed.isEmpty() else connected_components(links.union(missed).toDF("src", "dst"))
-    found = found.select(F.col("id").alias("rep"), F.col("component").alias("component_id"))
-    named = members.join(alike.reps, ["n", "k0", "k1"], "left")
-    named = named.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("rep", "doc_id").alias("rep"))
-    return named.join(found, "rep", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "rep")).alias("component_id")
+    found = stored(found.toDF("rep", "component_id"), "jaccard-components")
+    return members.join(found, "rep", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "rep").alias("component_id")
     )
 
 
-class Classes:
-    """Documents with equal sets, represented by the least id among them."""
-
-    def __init__(self, members: DataFrame):
-        key = ["n", "k0", "k1"]
-        filled = members.filter("n > 0 AND doc_id IS NOT NULL")
-        self.reps = filled.groupBy(*key).agg(F.min("doc_id").alias("rep"))
-        self.named = filled.join(self.reps, key).select("doc_id", "rep")
-        self.sets = filled.select(F.col("doc_id").alias("rep"), "n", "s0", "s1", "s2", "s3")
+def represented(members: DataFrame) -> DataFrame:
+    """Each row with ``rep``, the least id of the documents that have its set; empty sets stand alone."""
+    key = ["n", "k0", "k1"]
+    reps = stored(
+        members.filter("n > 0").groupBy(*key).agg(F.min("doc_id").alias("__rep")), "jaccard-classes"
+    )
+    rep = F.when(F.col("doc_id").isNotNull(), F.coalesce("__rep", "doc_id")).alias("rep")
+    return members.join(reps, key, "left").select("doc_id", "n", "s0", "s1", "s2", "s3", rep)
 
 
 def heavy_tokens(profiles: DataFrame) -> bytes:
@@ -309,9 +309,9 @@ def heavy_tokens(profiles: DataFrame) -> bytes:
         .agg(F.sum("seen").alias("seen"))
         .filter(F.col("seen") > max(3.0, HEAVY_SHARE * count))
         .select("token")
-        .toPandas()
+        .toArrow()
     )
-    return np.sort(rows["token"].to_numpy(np.int64).view(np.uint64)).tobytes()
+    return np.sort(rows["token"].to_numpy().view(np.uint64)).tobytes()
 
 
 def verify(pairs: DataFrame, sets: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -334,13 +334,14 @@ def open_pairs(index: DataFrame, components: DataFrame, sets: DataFrame, percent
     known = components.select(F.col("id").alias("rep"), "component")
     placed = index.select("entry", "rep").join(known, "rep", "left")
     placed = placed.select("entry", "rep", F.coalesce("component", "rep").alias("component"))
-    largest = (
+    largest = stored(
         placed.groupBy("entry", "component")
         .agg(F.count(F.lit(1)).alias("c"))
         .groupBy("entry")
         .agg(F.max(F.struct("c", "component")).alias("top"), F.count(F.lit(1)).alias("parts"))
         .filter("parts > 1")
-        .select("entry", F.col("top.component").alias("major"))
+        .select("entry", F.col("top.component").alias("major")),
+        "jaccard-mixed",
     )
     mixed = placed.join(largest, "entry").join(sets, "rep")
     left = mixed.filter("component <> major").alias("x")
