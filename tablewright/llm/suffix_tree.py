@@ -138,8 +138,9 @@ class Frequencies:
             if length:
                 often = often.filter(F.col("n") >= least)
             rows = grams.withColumn("context", F.shiftright("code", 8)).join(often, "context")
-            got = rows.select("context", (F.col("code").bitwiseAND(F.lit(255))).alias("next"), "c").toPandas()
-            levels.append(got.sort_values(["context", "next"]).to_numpy(np.int64))
+            got = rows.select("context", (F.col("code").bitwiseAND(F.lit(255))).alias("next"), "c").toArrow()
+            got = got.sort_by([("context", "ascending"), ("next", "ascending")])
+            levels.append(np.stack([got[name].to_numpy() for name in ("context", "next", "c")], axis=1))
         return automaton(levels, total)
 
 
