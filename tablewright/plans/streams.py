@@ -145,11 +145,11 @@ def stream_static_join(spark, folder):
 
 @query("SELECT DISTINCT user_id, event_type, strftime(ts, '%Y-%m-%d') AS day FROM events")
 def stream_deduplicated(spark, folder):
-    """A user's first event of a kind and day, in one batch of all files."""
-    events = windows.event_time(_stream(spark, folder), "ts", _DELAY)
-    keyed = events.withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
-    made = windows.first_seen(keyed, ["user_id", "event_type", "day"], ["event_id"], salts=4)
-    return _run(made.select("user_id", "event_type", "day"), "deduplicated")
+    """A user's first event of a kind and day."""
+    keys = ["user_id", "event_type"]
+    made = windows.first_per_day(_stream(spark, folder), "ts", keys, _DELAY, ["event_id"], salts=4)
+    day = F.date_format("day_start", "yyyy-MM-dd").alias("day")
+    return _run(made.select("user_id", "event_type", day), "deduplicated")
 
 
 def _saved(query_, saved):

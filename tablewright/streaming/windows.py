@@ -86,3 +86,21 @@ def first_seen(
         salted = df.withColumn("__salt", salt).dropDuplicatesWithinWatermark([*keys, "__salt"])
         df = salted.drop("__salt")
     return df.dropDuplicatesWithinWatermark(list(keys))
+
+
+def first_per_day(
+    df: DataFrame, at: str, keys: Sequence[str], delay: str, salt_on: Sequence[str] = (), salts: int = 16
+) -> DataFrame:
+    """Each key once per day of event time, however many batches the day comes in.
+
+    The day's start is part of the key and carries the watermark, a day behind the events'
+    own: a day is closed, and its state dropped, when events of the next day are ``delay``
+    past midnight at the least. With ``salt_on`` copies are removed in two steps.
+    """
+    day = F.date_trunc("day", F.col(at))
+    dated = df.withColumn("day_start", day).withWatermark("day_start", f"1 day {delay}")
+    if salt_on:
+        salt = F.pmod(F.xxhash64(*salt_on), F.lit(salts)).cast("int")
+        dated = dated.withColumn("__salt", salt)
+        dated = dated.dropDuplicates([*keys, "day_start", "__salt"]).drop("__salt")
+    return dated.dropDuplicates([*keys, "day_start"])

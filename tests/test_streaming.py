@@ -128,3 +128,15 @@ def test_duplicates_and_bursts(spark, tmp_path):
     flagged = windows.flag_bursts(timed, "ts", ["k"], F.col("v"), "1 hour", 10, 400)
     running.finished(running.run_to_files(flagged, out))
     assert rows(spark.read.parquet(f"{out}/rows").select("k", "events", "amount")) == [("x", 3, 520)]
+
+
+def test_once_a_day_over_three_batches(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    day = 24 * 60
+    batches = {"a": [(1, "x", 60, 0)], "b": [(2, "x", 1200, 0), (3, "x", day + 90, 0)], "c": [(4, "x", 1410, 0), (5, "x", day + 95, 0), (6, "y", 1430, 0)]}
+    for name, data in batches.items():
+        put(spark, source, name, data)
+        made = windows.first_per_day(stream(spark, source), "ts", ["k"], "1 hour", ["id"], 2)
+        running.finished(running.run_to_files(made.select("k", F.dayofyear("day_start").alias("d")), out))
+    got = rows(spark.read.parquet(f"{out}/rows"))
+    assert [k for k, _ in got] == ["x", "x", "y"] and got[0] != got[1]
