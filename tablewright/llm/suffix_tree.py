@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -216,40 +217,41 @@ def _measure(sent):
         head, tree = sent.value
         get, number = head.get, TaskContext.get().partitionId() << 33
         for batch in batches:
-            out = {k: [] for k in ("__st_row", "n_tokens", "__st_known", "__st_sum", "score", "__st_rest")}
-            held, size = [], 0
-            for text in texts(batch.column(0)):
-                words = text.lower().split()
-                held.append(words)
-                size += len(text)
-                logs = [get(w) for w in words]
-                rest = Counter(w for w, x in zip(words, logs) if x is None) if None in logs else {}
+            first, size, column = 0, 0, batch.column(0)
+            for row, length in enumerate(pc.fill_null(pc.binary_length(column), 0).to_pylist()):
+                size += length
+                if size > 1 << 20 or row + 1 == batch.num_rows:  # small pieces: words are many objects
+                    part = batch.slice(first, row + 1 - first)
+                    yield piece(part, get, tree, number + first)
+                    first, size = row + 1, 0
+            number += batch.num_rows
+
+    def piece(part: pa.RecordBatch, get, tree, number: int) -> pa.RecordBatch:
+        rows = [text.lower().split() for text in texts(part.column(0))]
+        known, sums, words, counts, ends = [], [], [], [], [0]
+        for own in rows:
+            logs = [get(w) for w in (*own, END)]
+            if None in logs:
+                rest = Counter(w for w, x in zip((*own, END), logs) if x is None)
+                words.extend(rest)
+                counts.extend(rest.values())
                 logs = [x for x in logs if x is not None]
-                logs.append(get(END, 0.0))
-                if END not in head:
-                    rest[END] = 1
-                out["__st_row"].append(number)
-                out["n_tokens"].append(len(words) + 1)
-                out["__st_known"].append(len(logs) - (END not in head))
-                out["__st_sum"].append(math.fsum(logs))
-                out["__st_rest"].append([{"word": w, "n": n} for w, n in rest.items()])
-                number += 1
-                if size > 1 << 20:
-                    out["score"].append(text_scores(tree, held))
-                    held, size = [], 0
-            if held:
-                out["score"].append(text_scores(tree, held))
-            columns = [
-                pa.array(out["__st_row"], pa.int64()),
-                pa.array(out["n_tokens"], pa.int64()),
-                pa.array(out["__st_known"], pa.int64()),
-                pa.array(out["__st_sum"], pa.float64()),
-                pa.array(np.concatenate([np.zeros(0), *out["score"]])),
-                pa.array(out["__st_rest"], pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))),
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], *columns], names=[*batch.schema.names[1:], *out]
-            )
+            ends.append(len(words))
+            known.append(len(logs))
+            sums.append(math.fsum(logs))
+        pairs = pa.StructArray.from_arrays(
+            [pa.array(words, pa.binary()), pa.array(counts, pa.int64())], names=["word", "n"]
+        )
+        columns = [
+            pa.array(np.arange(number, number + len(rows))),
+            pa.array([len(own) + 1 for own in rows], pa.int64()),
+            pa.array(known, pa.int64()),
+            pa.array(sums, pa.float64()),
+            pa.array(text_scores(tree, rows)),
+            pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs),
+        ]
+        names = ["__st_row", "n_tokens", "__st_known", "__st_sum", "score", "__st_rest"]
+        return pa.RecordBatch.from_arrays([*part.columns[1:], *columns], names=[*part.schema.names[1:], *names])
 
     return run
 
