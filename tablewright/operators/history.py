@@ -61,8 +61,9 @@ def latest_per_key(
 
 
 def upsert(base: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Changed rows replace the base rows of their key; new keys are added."""
-    kept = base.join(changes.select(*keys), list(keys), "left_anti").select(*base.columns)
+    """Changed rows replace the base rows of their key; new keys are added. A NULL key equals NULL."""
+    same = all_of([F.col(f"b.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys])
+    kept = base.alias("b").join(changes.select(*keys).alias("c"), same, "left_anti").select(*base.columns)
     return kept.unionByName(changes.select(*base.columns))
 
 
@@ -92,8 +93,8 @@ def scd2_merge(
     new key opens one; an equal key stays. Keys missing from the batch stay, or are
     closed with ``close_missing``. Closed versions are kept. Running the same batch
     again changes nothing. ``incoming`` holds each key once (see
-    ``latest_per_key``). Values are compared NULL-safe, and the hash is stored
-    beside them.
+    ``latest_per_key``); a repeated key fails the job, as two versions would be
+    current. Values are compared NULL-safe, and the hash is stored beside them.
     """
     as_of = str(as_of)
     day = F.lit(as_of).cast("date")
@@ -101,9 +102,10 @@ def scd2_merge(
     current = history.filter("is_current").select(*columns)
     closed = history.filter(~F.coalesce("is_current", F.lit(False))).select(*columns)
     old = current.select(*keys, F.struct(*tracked, *OPEN).alias("__old"))
-    new = incoming.select(
-        *keys, F.struct(*tracked, row_hash(tracked).alias("hash")).alias("__new")
-    )
+    found = F.struct(*tracked, row_hash(tracked).alias("hash"))
+    new = incoming.groupBy(*keys).agg(F.first(found).alias("__new"), F.count(F.lit(1)).alias("__rows"))
+    twice = F.raise_error(F.lit("a key occurs more than once in the incoming rows"))
+    new = new.select(*keys, F.when(F.col("__rows") == 1, F.col("__new")).otherwise(twice).alias("__new"))
     both = old.alias("o").join(
         new.alias("n"), all_of([F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}")) for k in keys]), "full"
     )
@@ -135,9 +137,14 @@ def scd2_merge(
     return closed.unionByName(merged.select(*columns))
 
 
-def incremental(df: DataFrame, watermark_col: str, since) -> DataFrame:
-    """Rows past the high-water mark; the filter reaches the file scan."""
-    return df.filter(F.col(watermark_col) > F.lit(since))
+def incremental(df: DataFrame, watermark_col: str, since, inclusive: bool = False) -> DataFrame:
+    """Rows past the high-water mark; the filter reaches the file scan.
+
+    With ``inclusive`` the rows at the mark come again, to be folded in by ``upsert``: rows that
+    arrived with the mark's value after it was taken are then not lost.
+    """
+    mark = F.col(watermark_col)
+    return df.filter(mark >= F.lit(since) if inclusive else mark > F.lit(since))
 
 
 def high_water_mark(df: DataFrame, watermark_col: str):

@@ -15,6 +15,7 @@ MODULES = (
     "shaping",
     "cookbook",
     "files",
+    "everyday",
     "streams",
 )
 

@@ -355,8 +355,8 @@ def partition_layout(spark, folder):
     """
 )
 def join_sum_count(spark, folder):
-    orders = spread(table(spark, folder, "orders").select(F.col("o_orderkey").alias("id1")), 6)
-    lines = spread(table(spark, folder, "lineitem").select(F.col("l_orderkey").alias("id2")), 4)
+    orders = spread(table(spark, folder, "orders").select(F.col("o_orderkey").alias("id1")), by=["id1"])
+    lines = spread(table(spark, folder, "lineitem").select(F.col("l_orderkey").alias("id2")), by=["id2"])
     joined = orders.join(lines, orders.id1 == lines.id2).withColumn("sum_col", F.col("id1") + F.col("id2"))
     return joined.groupBy("id1", "sum_col").agg(F.count(F.lit(1)).alias("rows"))
 

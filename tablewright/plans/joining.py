@@ -10,6 +10,8 @@ from tablewright.plans.registry import query, table
 from tablewright.session import run_folder
 from tablewright.sinks.writers import save_table
 
+BUCKET_ROWS = 4_000_000  # a bucket holds up to about so many; powers of two keep tables alike
+
 
 def _renamed(df, prefix):
     return df.withColumnsRenamed({c: c.removeprefix(prefix) for c in df.columns})
@@ -307,13 +309,14 @@ def bucketed_join(spark, folder):
     tag = place.rsplit("-", 1)[1]
     lines = table(spark, folder, "lineitem").select(F.col("l_orderkey").alias("orderkey"), "l_extendedprice")
     orders = table(spark, folder, "orders").select(F.col("o_orderkey").alias("orderkey"), "o_orderstatus")
+    buckets = 1 << (lines.count() // BUCKET_ROWS).bit_length()
     saved = [
         save_table(
-            df.repartition(8, "orderkey"),
+            df.repartition(buckets, "orderkey"),
             f"{name}_{tag}",
             path=f"{place}/{name}",
             bucket_by=["orderkey"],
-            buckets=8,
+            buckets=buckets,
         )
         for name, df in (("lines", lines), ("orders", orders))
     ]

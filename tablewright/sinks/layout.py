@@ -5,15 +5,26 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+
 def spread(df: DataFrame, n: int | None = None, by: Sequence[str] = (), ranged: bool = False) -> DataFrame:
     """Repartition to ``n``, by hash or range of columns, or both."""
     args = ([n] if n else []) + list(by)
     return df.repartitionByRange(*args) if ranged else df.repartition(*args)
 
 
+def gathered(df: DataFrame, n: int) -> DataFrame:
+    """At most ``n`` partitions, without a shuffle: neighbours are put together."""
+    return df.coalesce(n)
+
+
+def spread_by_rule(df: DataFrame, rule: Column, n: int | None = None) -> DataFrame:
+    """Rows for which ``rule`` gives one value come together."""
+    return df.repartition(n, rule) if n else df.repartition(rule)
+
+
 def balanced(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Partitions of about the advisory size; Spark splits heavy keys, merges light ones."""
     return df.hint("rebalance", *by)

@@ -139,6 +139,22 @@ def table_names(spark: SparkSession, database: str | None = None) -> list[str]:
     return [t.name for t in spark.catalog.listTables(database)]
 
 
+def make_view(spark: SparkSession, name: str, sql: str) -> DataFrame:
+    """A view kept in the catalog; it may read catalog tables, not temporary views."""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {sql}")
+    return spark.table(name)
+
+
+def rename_table(spark: SparkSession, name: str, new: str) -> DataFrame:
+    spark.sql(f"ALTER TABLE {name} RENAME TO {new}")
+    return spark.table(new)
+
+
+def partition_list(spark: SparkSession, name: str) -> DataFrame:
+    """``key=value`` of every partition."""
+    return spark.sql(f"SHOW PARTITIONS {name}")
+
+
 def refresh(
     name: str,
     query_df: DataFrame,

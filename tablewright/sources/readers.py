@@ -1,10 +1,11 @@
-"""Reading files and tables. Schemas are given, never inferred by a scan of the data."""
+"""Reading files and tables. Only JSON without a schema is scanned once to infer it."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 CORRUPT = "_corrupt_record"
@@ -49,12 +50,35 @@ def read_json(
 ) -> DataFrame:
     """JSON lines, or one document per file (which a single task must read).
 
-    Fields outside the schema are dropped.
+    Fields outside the schema are dropped. Without a schema one more pass over the text infers it
+    (columns in order of name, whole numbers as bigint).
     """
     reader = spark.read.options(multiLine=document, mode=mode, **options)
     return (reader.schema(schema) if schema is not None else reader).json(path)
 
 
+def read_csv_below(
+    spark: SparkSession, path: str | Sequence[str], schema: StructType | str, skip: int, **options
+) -> DataFrame:
+    """CSV without the first ``skip`` lines of every file.
+
+    The skipped lines lie in a file's first split, whose lines are numbered in order; only ``skip``
+    rows per file are kept to find where the data begins. A record is one line.
+    """
+    parts = spark.read.text(path).select(
+        F.col("value"),
+        F.col("_metadata.file_path").alias("__file"),
+        F.col("_metadata.file_block_start").alias("__block"),
+        F.monotonically_increasing_id().alias("__line"),
+    )
+    first = Window.partitionBy("__file").orderBy("__line")
+    heads = parts.filter("__block = 0").select("__file", "__line", F.row_number().over(first).alias("__n"))
+    heads = heads.filter(F.col("__n") <= skip).groupBy("__file").agg(F.max("__line").alias("__last"))
+    below = parts.join(heads, "__file", "left").filter("__block > 0 OR __last IS NULL OR __line > __last")
+    ddl = schema.simpleString() if isinstance(schema, StructType) else schema
+    return below.select(F.from_csv("value", ddl, dict(options)).alias("__row")).select("__row.*")
+
+
 def read_text(spark: SparkSession, path: str | Sequence[str], name: str = "value", whole: bool = False) -> DataFrame:
     """Lines of text, or whole files."""
     return spark.read.text(path, wholetext=whole).toDF(name)

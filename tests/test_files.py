@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tablewright.operators import aggregates, conform, reshape
 from tablewright.plans import batch_job, layers
-from tablewright.session import read_conf, run_folder
+from tablewright.session import read_conf, run_folder, settings
 from tablewright.sinks import layout, writers
 from tablewright.sources import quality, readers
 from tests.helpers import plan, rows
@@ -278,3 +278,23 @@ def test_settings_file(tmp_path):
     assert read_conf(str(path)) == {"spark.app.name": "Hello", "spark.sql.shuffle.partitions": "2"}
     with pytest.raises(FileNotFoundError):
         read_conf(str(tmp_path / "none.conf"))
+
+
+def test_skipped_lines_of_long_and_short_files(spark, tmp_path):
+    """Files over many splits, a file of headings only, and a file shorter than its headings."""
+    (tmp_path / "long.csv").write_text("title\nid,word\n" + "".join(f"{i},w{i}\n" for i in range(5000)))
+    (tmp_path / "bare.csv").write_text("title\nid,word\n")
+    (tmp_path / "short.csv").write_text("title\n")
+    with settings(spark, {"spark.sql.files.maxPartitionBytes": "4096", "spark.sql.files.openCostInBytes": "0"}):
+        got = readers.read_csv_below(spark, str(tmp_path), "id int, word string", skip=2)
+        assert got.rdd.getNumPartitions() > 3
+        assert rows(got) == rows(spark.range(5000).selectExpr("id", "'w' || id"))
+    assert readers.read_csv_below(spark, str(tmp_path), "id int, word string", skip=0).count() == 5005
+
+
+def test_gathered_and_ruled_layout(spark):
+    df = layout.spread(spark.range(1000), 12)
+    assert layout.partition_count(layout.gathered(df, 3)) == 3
+    ruled = layout.partition_numbers(layout.spread_by_rule(df, F.col("id") % 5, 4))
+    spread = ruled.groupBy(F.col("id") % 5).agg(F.count_distinct("partition").alias("n"))
+    assert spread.filter("n <> 1").isEmpty()

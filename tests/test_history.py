@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tablewright.functions.strings import row_hash
@@ -81,6 +82,26 @@ def test_type_2_history_closes_missing(versions, batch):
     assert (missing["is_current"], missing["end_date"]) == (False, day("2024-11-05"))
 
 
+def test_type_2_history_refuses_a_repeated_key(versions, batch):
+    twice = history.scd2_merge(versions, batch.unionByName(batch.limit(1)), ["customer_id"], TRACKED, "2024-11-05")
+    with pytest.raises(PySparkException, match="more than once"):
+        twice.collect()
+
+
+def test_upsert_takes_a_null_key_for_a_key(spark):
+    base = spark.createDataFrame([(None, "old"), (3, "three"), (4, "four")], "k int, v string")
+    changes = spark.createDataFrame([(None, "new"), (4, "4")], "k int, v string")
+    once = history.upsert(base, changes, ["k"])
+    assert rows(once) == rows(history.upsert(once, changes, ["k"]))
+    assert sorted(r.v for r in once.collect()) == ["4", "new", "three"]
+
+
+def test_rows_at_the_mark_come_again(spark):
+    df = spark.createDataFrame([(1, 10), (2, 20), (3, 20), (4, 30), (5, None)], "k int, at int")
+    assert [r.k for r in history.incremental(df, "at", 20).collect()] == [4]
+    assert sorted(r.k for r in history.incremental(df, "at", 20, inclusive=True).collect()) == [2, 3, 4]
+
+
 def test_null_is_not_the_absent_mark(spark):
     df = spark.createDataFrame([("a", None), ("a", ""), (None, "a")], "x string, y string")
     assert df.select(row_hash(["x", "y"])).distinct().count() == 3
