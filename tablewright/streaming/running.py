@@ -5,12 +5,15 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from tablewright.operators.common import any_of
 from tablewright.operators.history import scd2_merge, upsert
 from tablewright.sinks.layout import held
+from tablewright.sinks.writers import write_files
 
 
 def file_stream(
@@ -70,31 +73,60 @@ def late_rows(query: StreamingQuery) -> int:
 
 
 class VersionedTable:
-    """A table that each micro-batch rewrites, in two folders by turns.
+    """A table of which each micro-batch rewrites the pieces it touches, in two folders by turns.
 
-    Batch n reads what batch n - 1 wrote and overwrites the other folder. A batch that
-    is run again therefore starts from the same rows, so a restart neither loses nor
-    doubles changes. A one-row marker names the last whole version.
+    Rows are dealt to ``pieces`` pieces by a hash of their key. Batch n reads what batch n - 1 left
+    of its pieces and writes them to the folder of the other turn; all other pieces stay as they
+    are. A list of the turn of every piece is kept for the last two batches, so a batch that is run
+    again starts from the same rows and a restart neither loses nor doubles changes. A one-row
+    marker names the last whole version. A key, once there, must keep a row.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, schema: StructType | str):
+    def __init__(self, spark: SparkSession, folder: str, schema: StructType | str, pieces: int = 64):
         self.spark = spark
         self.folder = folder
         self.schema = schema
+        self.pieces = pieces
 
-    def _path(self, version: int) -> str:
-        return f"{self.folder}/turn={version % 2}"
+    def _piece(self, keys: Sequence[str]) -> Column:
+        return F.pmod(F.xxhash64(*keys), F.lit(self.pieces)).cast("int")
 
-    def at(self, version: int) -> DataFrame:
-        """Version ``version``, which must be the last or the one before it."""
-        if version < 0:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(self._path(version))
+    def touched(self, changes: DataFrame, keys: Sequence[str]) -> list[int]:
+        """The pieces that hold the keys of ``changes``: ``pieces`` numbers at the most."""
+        return sorted(row[0] for row in changes.select(self._piece(keys)).distinct().collect())
 
-    def put(self, version: int, df: DataFrame) -> None:
-        df.write.mode("overwrite").parquet(self._path(version))
-        mark = self.spark.range(version, version + 1).toDF("version")
-        mark.write.mode("overwrite").parquet(f"{self.folder}/last")
+    def _turns(self, version: int) -> dict[int, int]:
+        if version < 0:
+            return {}
+        kept = self.spark.read.schema("piece int, turn int").parquet(f"{self.folder}/turns/{version % 2}")
+        return dict(kept.collect())
+
+    def at(self, version: int, pieces: Sequence[int] | None = None) -> DataFrame:
+        """Version ``version``, the last or the one before it, or some pieces of it."""
+        turns = self._turns(version)
+        wanted = [piece for piece in turns if pieces is None or piece in set(pieces)]
+        empty = self.spark.createDataFrame([], self.schema)
+        if not wanted:
+            return empty
+        here = [
+            (F.col("__turn") == turn) & F.col("__piece").isin([p for p in wanted if turns[p] == turn])
+            for turn in sorted({turns[p] for p in wanted})
+        ]
+        rows = self.spark.read.schema(empty.schema).parquet(f"{self.folder}/rows")
+        return rows.filter(any_of(here)).select(*empty.columns)
+
+    def put(self, version: int, df: DataFrame, keys: Sequence[str], pieces: Sequence[int]) -> None:
+        """``df`` in the place of the listed pieces; it holds all their rows and no others."""
+        turns = self._turns(version - 1)
+        fresh = {piece: 1 - turns.get(piece, 1) for piece in pieces}
+        ones = [piece for piece, turn in fresh.items() if turn]
+        turn = self._piece(keys).isin(ones).cast("int") if ones else F.lit(0)
+        placed = df.withColumns({"__turn": turn, "__piece": self._piece(keys)}).hint("rebalance", "__piece")
+        if pieces:
+            write_files(placed, f"{self.folder}/rows", partition_by=["__turn", "__piece"], only_touched=True)
+        kept = self.spark.createDataFrame(list((turns | fresh).items()), "piece int, turn int")
+        write_files(kept, f"{self.folder}/turns/{version % 2}")
+        write_files(self.spark.range(version, version + 1).toDF("version"), f"{self.folder}/last")
 
     def last(self) -> DataFrame:
         mark = self.spark.read.schema("version bigint").parquet(f"{self.folder}/last")
@@ -137,12 +169,13 @@ def upsert_stream(
     """
 
     def handle(batch: DataFrame, number: int) -> None:
-        saved = table.at(number - 1)
+        pieces = table.touched(batch, keys)
+        saved = table.at(number - 1, pieces)
         if pick is None:
             merged = upsert(saved, batch, keys)
         else:
             merged = pick(saved.unionByName(batch.select(*saved.columns)))
-        table.put(number, merged)
+        table.put(number, merged, keys, pieces)
 
     return run_each_batch(df, checkpoint, handle, mode)
 
@@ -160,7 +193,9 @@ def history_stream(
 
     def handle(batch: DataFrame, number: int) -> None:
         incoming = latest(batch).select(*keys, *tracked)
-        table.put(number, scd2_merge(table.at(number - 1), incoming, keys, tracked, day_of(batch)))
+        pieces = table.touched(batch, keys)
+        merged = scd2_merge(table.at(number - 1, pieces), incoming, keys, tracked, day_of(batch))
+        table.put(number, merged, keys, pieces)
 
     return run_each_batch(df, checkpoint, handle)
 

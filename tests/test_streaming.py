@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tablewright.functions.strings import row_hash
 from tablewright.operators import aggregates
+from tablewright.operators.history import upsert
 from tablewright.streaming import running, stateful, windows
 from tests.helpers import rows
 
@@ -73,6 +74,31 @@ def test_upsert_over_several_batches(spark, tmp_path):
     assert rows(saved.last().select("k", "v")) == [("x", 10), ("y", 21), ("z", 1)]
 
 
+def test_only_touched_pieces_are_written_and_a_batch_can_run_again(spark, tmp_path):
+    saved = running.VersionedTable(spark, str(tmp_path / "table"), "k int, v string", pieces=8)
+
+    def fold(number, changes):
+        df = spark.createDataFrame(changes, "k int, v string")
+        pieces = saved.touched(df, ["k"])
+        saved.put(number, upsert(saved.at(number - 1, pieces), df, ["k"]), ["k"], pieces)
+        return pieces
+
+    def files():
+        return {str(f) for f in (tmp_path / "table/rows").rglob("*.parquet")}
+
+    fold(0, [(k, "a") for k in range(100)])
+    before = files()
+    pieces = fold(1, [(7, "b")])
+    again = fold(1, [(7, "c")])
+    new = files() - before
+    assert pieces == again and len(new) == 1 and f"__piece={pieces[0]}" in next(iter(new))
+    assert before <= files()
+    fold(2, [])
+    fold(3, [(7, "d"), (None, "none"), (200, "e")])
+    want = {(k, "a") for k in range(100) if k != 7} | {(7, "d"), (None, "none"), (200, "e")}
+    assert {tuple(r) for r in saved.last().collect()} == want and saved.last().count() == 102
+
+
 def test_history_over_batches(spark, tmp_path):
     source = str(tmp_path / "in")
     schema = "k string, v bigint, start_date date, end_date date, is_current boolean, hash string"
