@@ -1,12 +1,14 @@
 """Language-model scores from a probabilistic suffix tree, and smoothed word frequencies.
 
 A text is the bytes of its lower-cased words with one space between and an end sign. Contexts are
-the up to five bytes before a byte. A context is kept when it is frequent enough and its next
-bytes are distributed differently from those of its own suffix (the divergence, weighted by the
-context's count, exceeds a cut). A kept context's distribution is smoothed with its suffix's. As
-no more than 1 / share contexts of one length can have that share of all places, the tree has a
-bound that no corpus exceeds. The tree is sent out as an automaton: the state after each byte is
-the longest kept suffix of what has been read.
+the up to five bytes before a byte. A context is kept when it was seen a fixed number of times and
+its next bytes are distributed differently from those of its own suffix (the divergence, weighted by
+the context's count, exceeds a cut), so more text gives more contexts. A kept context's distribution
+is smoothed with its suffix's. Spark tests the contexts of each length by a join with the next
+shorter one. What is sent out has a bound that no corpus exceeds, as no more than 1 / share contexts
+or runs can have that share of all places: the tree's frequent contexts, as an automaton (the state
+after each byte is the longest kept suffix of what has been read), and the values of frequent runs.
+Places that neither settles are joined with the whole tree.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.llm.common import bounded_batches, stored, texts
@@ -27,7 +29,9 @@ from tablewright.llm.common import bounded_batches, stored, texts
 DEPTH = 5
 START = b"\t\t\t\t\n"  # no byte of it can be in a word
 END = b"\n"
-LEAST_SHARE = 4e-5  # of all places, for a context
+LEAST_COUNT = 32  # of a context, at any size of the corpus
+CONTEXT_SHARE = 4e-5  # of all places, for a context that is sent to executors
+RUN_SHARE = 5e-7  # of all places, for a run of six bytes that is sent to executors
 SMOOTH = 8.0  # counts that a suffix's distribution is worth
 LANE = 512
 HEAD_SHARE = 2e-6  # of all tokens, for a word that is sent to executors
@@ -53,10 +57,20 @@ def scored_places(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
 def _grams(rows: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct runs of a byte with the five before it, as numbers, and their counts."""
     data, ends = stream(rows)
+    return np.unique(_codes(data)[scored_places(data, ends)[DEPTH:]], return_counts=True)
+
+
+def _codes(data: np.ndarray) -> np.ndarray:
+    """The run that ends at each place from the sixth on, as a number."""
     code = np.zeros(max(len(data) - DEPTH, 0), np.uint64)
     for k in range(DEPTH + 1):
         code = (code << np.uint64(8)) | data[k : len(data) - DEPTH + k]
-    return np.unique(code[scored_places(data, ends)[DEPTH:]], return_counts=True)
+    return code
+
+
+def _last(size: int, column: str = "code") -> Column:
+    """The last ``size`` bytes of a run."""
+    return F.col(column).bitwiseAND(F.lit((1 << 8 * size) - 1))
 
 
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,7 +131,9 @@ class Frequencies:
         self.words = stored(counts, "suffix-words")
         total = self.words.agg(F.sum("c"), F.count(F.lit(1))).first()
         self.tokens, self.distinct = total[0] or 0, total[1]
-        self.places = partial.filter("code IS NOT NULL").groupBy("code").agg(F.sum("seen").alias("c"))
+        places = partial.filter("code IS NOT NULL").groupBy("code").agg(F.sum("seen").alias("c"))
+        self.places = stored(places, "suffix-places")
+        self.total = self.places.agg(F.sum("c")).first()[0] or 0
 
     def log_share(self, count) -> float:
         return math.log10((count + 0.1) / (self.tokens + 0.1 * (self.distinct + 1)))
@@ -127,14 +143,44 @@ class Frequencies:
         rows = self.words.filter(F.col("c") >= max(1.0, HEAD_SHARE * self.tokens)).toLocalIterator()
         return {bytes(word): self.log_share(c) for word, c in rows}
 
+    def grams(self, length: int) -> DataFrame:
+        """(code, c) of every run of a context of that length and a byte."""
+        return self.places.groupBy(_last(length + 1).alias("code")).agg(F.sum("c").alias("c"))
+
+    def levels(self) -> list[DataFrame]:
+        """(code, c, n, p) of every run by the length of its context.
+
+        ``p`` is the byte's share after the longest kept suffix of the context, and ``n`` the
+        context's count where the context itself is kept. A group is one context's next bytes.
+        """
+        every = self.places.sparkSession.range(256).select(F.col("id").alias("code"))
+        root = every.join(self.grams(0), "code", "left").select("code", F.coalesce("c", F.lit(0)).alias("c"))
+        share = (F.col("c") + F.lit(0.5)) / F.lit(self.total + 128.0)
+        levels = [stored(root.select("code", "c", F.lit(None).cast("long").alias("n"), share.alias("p")), "suffix-level")]
+        own = Window.partitionBy(F.shiftright("code", 8))
+        for length in range(1, DEPTH + 1):
+            below = levels[-1].select(F.col("code").alias("tail"), F.col("p").alias("below"))
+            rows = self.grams(length).withColumn("tail", _last(length)).join(below, "tail")
+            n = F.sum("c").over(own)
+            apart = F.sum(F.col("c") * F.log(F.col("c") / F.col("below"))).over(own) - n * F.log(n.cast("double"))
+            kept = (n >= LEAST_COUNT) & (apart >= F.lit(least_apart(self.total)))
+            rows = rows.select("code", "c", "below", F.when(kept, n).alias("n"))
+            smooth = (F.col("c") + SMOOTH * F.col("below")) / (F.col("n") + SMOOTH)
+            levels.append(stored(rows.select("code", "c", "n", F.coalesce(smooth, "below").alias("p")), "suffix-level"))
+        return levels
+
+    def frequent_runs(self, levels: list[DataFrame]) -> tuple[np.ndarray, np.ndarray]:
+        """Codes and log10 shares of the runs above ``RUN_SHARE``: 1 / RUN_SHARE runs at the most."""
+        often = levels[-1].filter(F.col("c") >= max(1.0, RUN_SHARE * self.total))
+        got = often.select("code", F.log10("p").cast("float").alias("log")).toArrow().sort_by("code")
+        return got["code"].to_numpy(), got["log"].to_numpy()
+
     def tree(self) -> dict:
-        places = stored(self.places, "suffix-places")
-        total = places.agg(F.sum("c")).first()[0] or 0
-        least = max(2.0, LEAST_SHARE * total)
+        """The automaton of the contexts above ``CONTEXT_SHARE``, and those of full length among them."""
+        least = max(LEAST_COUNT, CONTEXT_SHARE * self.total)
         levels = []
         for length in range(DEPTH + 1):
-            code = F.col("code").bitwiseAND(F.lit((1 << 8 * (length + 1)) - 1))
-            grams = places.groupBy(code.alias("code")).agg(F.sum("c").alias("c"))
+            grams = self.grams(length)
             often = grams.groupBy(F.shiftright("code", 8).alias("context")).agg(F.sum("c").alias("n"))
             if length:
                 often = often.filter(F.col("n") >= least)
@@ -142,7 +188,31 @@ class Frequencies:
             got = rows.select("context", (F.col("code").bitwiseAND(F.lit(255))).alias("next"), "c").toArrow()
             got = got.sort_by([("context", "ascending"), ("next", "ascending")])
             levels.append(np.stack([got[name].to_numpy() for name in ("context", "next", "c")], axis=1))
-        return automaton(levels, total)
+        return {**automaton(levels, self.total), "deep": np.unique(levels[DEPTH][:, 0])}
+
+
+def run_values(levels: list[DataFrame], codes: DataFrame) -> DataFrame:
+    """(code, p) of distinct runs, also of such as training has not seen.
+
+    Longer runs are joined with the values of their tails; a tail has at most 256 of them.
+    """
+    values = levels[0].select("code", "p")
+    for length in range(1, DEPTH + 1):
+        context = F.shiftright("code", 8)
+        kept = levels[length].filter("n IS NOT NULL").groupBy(context.alias("context")).agg(F.max("n").alias("n"))
+        seen = levels[length].select("code", F.col("p").alias("own"))
+        tails = values.select(F.col("code").alias("tail"), F.col("p").alias("below"))
+        rows = codes.select(_last(length + 1).alias("code")).distinct().join(seen, "code", "left")
+        rows = rows.withColumns({"context": context, "tail": _last(length)})
+        rows = rows.join(kept, "context", "left").join(tails, "tail")
+        smooth = SMOOTH * F.col("below") / (F.col("n") + SMOOTH)
+        values = rows.select("code", F.coalesce("own", smooth, "below").alias("p"))
+    return values
+
+
+def least_apart(total: int) -> float:
+    """The weighted divergence from which a context is kept."""
+    return 2.0 * math.log(total + 2)
 
 
 def automaton(levels: list[np.ndarray], total: int) -> dict:
@@ -154,7 +224,7 @@ def automaton(levels: list[np.ndarray], total: int) -> dict:
     root = np.full(width, 0.5)
     np.add.at(root, place[levels[0][:, 1]], levels[0][:, 2])
     shares = {b"": root / (total + 128.0)}
-    cut = 2.0 * math.log(total + 2)
+    cut = least_apart(total)
     for length in range(1, DEPTH + 1):
         rows = levels[length]
         contexts, first = np.unique(rows[:, 0], return_index=True)
@@ -186,12 +256,21 @@ def automaton(levels: list[np.ndarray], total: int) -> dict:
 
 
 def text_scores(tree: dict, rows: list[list[bytes]]) -> np.ndarray:
-    """Log10 probability of every text. The stream is read in lanes side by side.
+    """Log10 probability of every text by the automaton alone."""
+    data, ends = stream(rows)
+    return _per_text(_place_scores(tree, data, ends), ends)
+
+
+def _per_text(scores: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    return np.add.reduceat(scores, np.concatenate([[0], ends[:-1]]).astype(np.int64))
+
+
+def _place_scores(tree: dict, data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Log10 probability of every byte. The stream is read in lanes side by side.
 
     A state depends on the last five bytes only, so a lane that starts five bytes early is in the
     right state when its own part begins.
     """
-    data, ends = stream(rows)
     codes = tree["place"][data].astype(np.int64)
     lanes = -(-len(codes) // LANE)
     padded = np.zeros(DEPTH + lanes * LANE, np.int64)
@@ -207,14 +286,48 @@ def text_scores(tree: dict, rows: list[list[bytes]]) -> np.ndarray:
         state = tree["step"][at].astype(np.int64)
     flat = got.T.ravel()[: len(codes)]
     flat[~scored_places(data, ends)] = 0.0
-    return np.add.reduceat(flat, np.concatenate([[0], ends[:-1]]).astype(np.int64))
+    return flat
+
+
+def _is_in(keys: np.ndarray, sought: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(whether each is among the sorted keys, where)."""
+    if not len(keys):
+        return np.zeros(len(sought), bool), np.zeros(len(sought), np.int64)
+    at = np.minimum(np.searchsorted(keys, sought), len(keys) - 1)
+    return keys[at] == sought, at
+
+
+def open_scores(tree: dict, runs: tuple, rows: list[list[bytes]]) -> tuple[np.ndarray, pa.ListArray]:
+    """Per text the log10 probability of its settled places, and (code, n) of its other runs.
+
+    A place is settled when its five bytes are a frequent context, or with it a frequent run.
+    """
+    data, ends = stream(rows)
+    scores = _place_scores(tree, data, ends)
+    code = _codes(data).view(np.int64)
+    left = scored_places(data, ends)[DEPTH:] & ~_is_in(tree["deep"], code >> 8)[0]
+    place = np.flatnonzero(left)
+    own, back = np.unique(code[place], return_inverse=True)
+    found, at = _is_in(runs[0], own)
+    scores[place + DEPTH] = (np.where(found, runs[1][at], 0.0) if len(runs[0]) else np.zeros(len(own)))[back]
+    place = place[~found[back]]
+    text, code = np.searchsorted(ends, place + DEPTH, "right"), code[place]
+    order = np.lexsort((code, text))
+    text, code = text[order], code[order]
+    new = np.ones(len(text), bool)
+    new[1:] = (text[1:] != text[:-1]) | (code[1:] != code[:-1])
+    first = np.flatnonzero(new)
+    many = np.diff(np.append(first, len(text)))
+    pairs = pa.StructArray.from_arrays([pa.array(code[first]), pa.array(many, pa.int64())], names=["code", "n"])
+    offsets = np.searchsorted(text[first], np.arange(len(rows) + 1)).astype(np.int32)
+    return _per_text(scores, ends), pa.ListArray.from_arrays(pa.array(offsets), pairs)
 
 
 def _measure(sent):
-    """Per text: row number, tokens, what the frequent words add, tree score, the other words."""
+    """Per text: row number, tokens, what frequent words and places add, the other words and runs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head, tree = sent.value
+        head, tree, runs = sent.value
         get, number = head.get, TaskContext.get().partitionId() << 33
         for batch in batches:
             first, size, column = 0, 0, batch.column(0)
@@ -222,11 +335,11 @@ def _measure(sent):
                 size += length
                 if size > 1 << 20 or row + 1 == batch.num_rows:  # small pieces: words are many objects
                     part = batch.slice(first, row + 1 - first)
-                    yield piece(part, get, tree, number + first)
+                    yield piece(part, get, tree, runs, number + first)
                     first, size = row + 1, 0
             number += batch.num_rows
 
-    def piece(part: pa.RecordBatch, get, tree, number: int) -> pa.RecordBatch:
+    def piece(part: pa.RecordBatch, get, tree, runs, number: int) -> pa.RecordBatch:
         rows = [text.lower().split() for text in texts(part.column(0))]
         known, sums, words, counts, ends = [], [], [], [], [0]
         for own in rows:
@@ -242,15 +355,17 @@ def _measure(sent):
         pairs = pa.StructArray.from_arrays(
             [pa.array(words, pa.binary()), pa.array(counts, pa.int64())], names=["word", "n"]
         )
+        score, other = open_scores(tree, runs, rows)
         columns = [
             pa.array(np.arange(number, number + len(rows))),
             pa.array([len(own) + 1 for own in rows], pa.int64()),
             pa.array(known, pa.int64()),
             pa.array(sums, pa.float64()),
-            pa.array(text_scores(tree, rows)),
+            pa.array(score),
             pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs),
+            other,
         ]
-        names = ["__st_row", "n_tokens", "__st_known", "__st_sum", "score", "__st_rest"]
+        names = ["__st_row", "n_tokens", "__st_known", "__st_sum", "__st_score", "__st_rest", "__st_runs"]
         return pa.RecordBatch.from_arrays([*part.columns[1:], *columns], names=[*part.schema.names[1:], *names])
 
     return run
@@ -262,8 +377,8 @@ def score_texts(docs: DataFrame, model: Frequencies, text_col: str = "text") ->
     Tokens are runs of bytes other than ASCII white space, A-Z lower-cased, and one end. The base
     score adds log10((c + 0.1) / (N + 0.1 (V + 1))) over the tokens; ``score`` is the tree's log10
     probability of the text and its end. A null or empty text has the end as its only token.
-    Columns of these names are replaced. Frequent words are looked up in a table of bounded size,
-    all others joined with the full counts; none of those is frequent, so no key is hot. Repeated
+    Columns of these names are replaced. Frequent words and places are looked up in tables of bounded size,
+    all others joined with the full counts and the whole tree; none of those is frequent, so no key is hot. Repeated
     rows stay; with no training texts all tokens are unknown and score alike.
     """
     spark = docs.sparkSession
@@ -272,17 +387,31 @@ def score_texts(docs: DataFrame, model: Frequencies, text_col: str = "text") ->
     kept = [c for c in docs.columns if c not in added]
     rows = docs.select(F.col(text_col).alias("__st_text"), *(f"`{c}`" for c in kept))
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema.fields[1:])
-    schema += "__st_row long, n_tokens long, __st_known long, __st_sum double, score double, "
-    schema += "__st_rest array<struct<word:binary,n:bigint>>"
-    sent = spark.sparkContext.broadcast((model.head(), model.tree()))
+    schema += "__st_row long, n_tokens long, __st_known long, __st_sum double, __st_score double, "
+    schema += "__st_rest array<struct<word:binary,n:bigint>>, __st_runs array<struct<code:bigint,n:bigint>>"
+    levels = model.levels()
+    sent = spark.sparkContext.broadcast((model.head(), model.tree(), model.frequent_runs(levels)))
     done = stored(rows.mapInArrow(_measure(sent), schema), "suffix-scores")
     rest = done.select("__st_row", F.inline("__st_rest")).join(model.words, "word", "left")
     share = F.log10(
         (F.coalesce("c", F.lit(0)) + F.lit(0.1)) / F.lit(model.tokens + 0.1 * (model.distinct + 1))
     )
-    rest = rest.groupBy("__st_row").agg(
-        F.sum(F.col("n") * share).alias("__st_more"),
-        F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(F.lit(0))).alias("__st_found"),
+    rest = rest.select(
+        "__st_row",
+        (F.col("n") * share).alias("__st_more"),
+        F.when(F.col("c") > 0, F.col("n")).otherwise(F.lit(0)).alias("__st_found"),
+        F.lit(0.0).alias("__st_tree"),
+    )
+    runs = done.select("__st_row", F.inline("__st_runs"))
+    values = stored(run_values(levels, stored(runs.select("code").distinct(), "suffix-sought")), "suffix-values")
+    runs = runs.join(values, "code").select(
+        "__st_row",
+        F.lit(0.0).alias("__st_more"),
+        F.lit(0).cast("long").alias("__st_found"),
+        (F.col("n") * F.log10("p")).alias("__st_tree"),
+    )
+    rest = rest.unionByName(runs).groupBy("__st_row").agg(
+        *(F.sum(name).alias(name) for name in ("__st_more", "__st_found", "__st_tree"))
     )
     return done.join(rest, "__st_row", "left").select(
         *(f"`{c}`" for c in kept),
@@ -290,5 +419,5 @@ def score_texts(docs: DataFrame, model: Frequencies, text_col: str = "text") ->
         (F.col("__st_known") + F.coalesce("__st_found", F.lit(0))).alias("n_known"),
         F.lit(model.tokens).cast("long").alias("train_tokens"),
         (F.col("__st_sum") + F.coalesce("__st_more", F.lit(0.0))).alias("base_score"),
-        "score",
+        (F.col("__st_score") + F.coalesce("__st_tree", F.lit(0.0))).alias("score"),
     )

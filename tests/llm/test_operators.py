@@ -399,6 +399,43 @@ def test_tree_is_a_distribution_and_lanes_agree(documents):
         assert score == pytest.approx(total, rel=1e-6)
 
 
+@pytest.mark.parametrize("context, run", [(4e-5, 5e-7), (0.01, 1e-4)])
+def test_scores_equal_the_whole_tree(documents, monkeypatch, context, run):
+    """Whatever share is sent out, every context of the least count that passes the test takes part."""
+    monkeypatch.setattr(suffix_tree, "CONTEXT_SHARE", context)
+    monkeypatch.setattr(suffix_tree, "RUN_SHARE", run)
+    training = documents.filter("doc_id % 3 > 0")
+    counts: dict = {}
+    total = 0
+    for text in texts_of(training).values():
+        data = suffix_tree.START + b" ".join(words(text)) + suffix_tree.END
+        for k in range(5, len(data)):
+            total += 1
+            for length in range(6):
+                counts.setdefault(data[k - length : k], Counter())[data[k]] += 1
+    kept: dict = {}
+
+    def share(before, byte):
+        while before and before not in kept:
+            before = before[1:]
+        if not before:
+            return (counts[b""][byte] + 0.5) / (total + 128)
+        return (counts[before][byte] + 8 * share(before[1:], byte)) / (kept[before] + 8)
+
+    for name in sorted(counts, key=len):
+        n = sum(counts[name].values())
+        if name and n >= 32:
+            apart = sum(c * math.log(c / n / share(name[1:], b)) for b, c in counts[name].items())
+            if apart >= 2 * math.log(total + 2):
+                kept[name] = n
+    assert sum(len(name) == 5 for name in kept) > 50
+    df = documents.withColumn("own", F.col("text"))
+    for r in suffix_tree.score_texts(df, suffix_tree.Frequencies(training)).collect():
+        data = suffix_tree.START + b" ".join(words(r["own"])) + suffix_tree.END
+        want = sum(math.log10(share(data[k - 5 : k], data[k])) for k in range(5, len(data)))
+        assert r["score"] == pytest.approx(want, rel=1e-5)
+
+
 # URL rules
 
 
