@@ -30,6 +30,8 @@ INLINE = frozenset(
 )
 #: What an opening tag ends when it is still open.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+#: What can stand in a head; any other element ends it.
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 #: Names that mark a part of a page as content or as something else, as log potentials.
 CONTENT_NAMES = frozenset("article main content post entry story body text".split())
 OTHER_NAMES = frozenset(
@@ -75,6 +77,8 @@ class Tree:
         self._node(-1, "root", ())
         for found in PARTS.finditer(page):
             if found["text"] is not None:
+                if found["text"].strip() and self.open and self.open[-1][0] == "head":
+                    self._pop()  # text ends a head as well
                 if not self.hidden:
                     self.parts.append(found["text"])
                     self.linked += len(found["text"]) if self.links else 0
@@ -107,6 +111,8 @@ class Tree:
         self.parts, self.linked = [], 0
 
     def _open(self, tag: str, rest: str) -> None:
+        if tag not in IN_HEAD and self.open and self.open[-1][0] == "head":
+            self._pop()  # its end tag may be left out
         if tag in VOID:
             if tag == "hr":
                 self._flush()

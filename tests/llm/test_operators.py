@@ -292,6 +292,12 @@ def test_awkward_pages(spark, small):
         f"<nav>a b</nav><div id=main><p>{prose}</p><div class='ad'>Buy</div></div><div class=comments><p>Me too.</p></div>": prose.strip(),
         "<article><script>if (a < b) {'</p>'}</script><!-- <p>x</p> --><style>p{}</style><p>kept": "kept",
     }
+    for top in ("<head><title>t</title><meta name=a>", "<head><script>1</script><style>p{}</style>", "<head><template><p>x</p></template>", "<head>"):
+        for first in ("<body>", "", "<br>", "<a href=x></a>", "<svg><path d=x></svg>"):
+            cases[f"<html>{top}{first}<article><p>{prose}</p></article></body></html>"] = prose.strip()
+    cases["<html><head><title>t</title></head><body><article><p>kept</p></article>"] = "kept"
+    cases["<html><head><title>t</title><!-- c --> \n<article>kept</article>"] = "kept"
+    assert "kept" in html_extract.Tree("<html><head><title>t</title>kept").text
     df = spark.createDataFrame([(k, k, "u") for k in [*cases, None]], "own string, html string, text string")
     got = {r["own"]: r["text"] for r in html_extract.extract_text(df, model).collect()}
     assert got == {**cases, None: ""}
