@@ -27,15 +27,17 @@ CLASSES = (
     (r"^[0-9]+$", 9.9),
     (r"^[A-Za-z0-9+/_=-]+$", 3.7),
 )
-#: Strings that are no secrets however mixed they look: words, numbers, dashes, paths, samples, UUIDs.
+#: Strings that are no secrets however mixed they look: words, numbers, dashes, paths, UUIDs.
 ALLOWED = (
     r"^[A-Za-z]+$",
     r"^[0-9+/_=-]+$",
     r"^[A-Za-z]{0,14}([+/_=-][A-Za-z]{0,14})+$",
     r"^[a-z0-9]{1,12}([/_-][a-z]{1,14}){2,}[a-z0-9]*$",
-    r"(?i)example|sample|dummy|placeholder|x{6}",
     r"^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$",
 )
+#: Letters and digits that name a sample; what stands apart from them in a string is judged by itself.
+SAMPLE = r"(?i)example|sample|dummy|placeholder|x{6}"
+SAMPLE_PART = r"(?i)(?<![a-z0-9])[a-z0-9]*(?:example|sample|dummy|placeholder|x{6})[a-z0-9]*"
 SPAN = "array<struct<start:bigint,kind:int,end:bigint,found:string>>"
 
 
@@ -120,6 +122,13 @@ def window_entropy(text: Column, window: int = WINDOW) -> Column:
 
 
 def suspicious(text: Column) -> Column:
+    """Some stretch without a sample's name is not on the allow-list, and of high entropy."""
+    parts = F.transform(F.split(text, SAMPLE_PART, -1), lambda part: F.btrim(part, F.lit("+/_=-")))
+    parts = F.filter(parts, lambda part: F.length(part) >= WINDOW)
+    return F.exists(F.when(text.rlike(SAMPLE), parts).otherwise(F.array(text)), _mixed)
+
+
+def _mixed(text: Column) -> Column:
     """Not on the allow-list, and some window reaches the least entropy of the string's class."""
     allowed = F.lit(False)
     for pattern in ALLOWED:

@@ -217,6 +217,12 @@ def test_entropy_and_allow_list(spark):
         "6f1c2a34-9be0-4c1d-8a77-0123456789ab": [],
         "password=Zx8Qw2LmP0vR7tYb3NcK9dFs": [],  # a pattern's match already
         "EXAMPLEx8Qw2LmP0vR7tYb3NcK9dFs": [],
+        "in /samples/cfg/Zx8Qw2LmP0vR7tYb3NcK9dFs": ["/samples/cfg/Zx8Qw2LmP0vR7tYb3NcK9dFs"],
+        "dummy_Zx8Qw2LmP0vR7tYb3NcK9dFs": ["dummy_Zx8Qw2LmP0vR7tYb3NcK9dFs"],
+        "Zx8Qw2LmP0vR7tYb/3NcK9dFs-sample": ["Zx8Qw2LmP0vR7tYb/3NcK9dFs-sample"],
+        "sample_6f1c2a34-9be0-4c1d-8a77-0123456789ab": [],
+        "/samples/deep/nested/folder/name/more": [],
+        "dummy-Zx8Qw2LmP0-example": [],
     }
     df = spark.createDataFrame([(k,) for k in cases], "text string").withColumn("own", F.col("text"))
     got = {r["own"]: [x["found"] for x in r["extra"]] for r in find_secrets(df).collect()}
