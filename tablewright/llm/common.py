@@ -34,6 +34,17 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def others(df: DataFrame, *names: str) -> list[str]:
+    """The columns of ``df``, quoted, but for those named, whatever their case."""
+    taken = {name.lower() for name in names}
+    return [f"`{c}`" for c in df.columns if c.lower() not in taken]
+
+
+def schema_of(df: DataFrame) -> list[str]:
+    """Name and type of every column, as a schema text lists them."""
+    return [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema]
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Arrow batches of at most 16 MB, so that long texts do not pile up in a worker."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")

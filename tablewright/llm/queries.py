@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablewright.llm.alignment import align_texts
 from tablewright.llm.bpe import encode_texts
 from tablewright.llm.common import id_part
 from tablewright.llm.decontaminate import contamination
@@ -16,8 +17,11 @@ from tablewright.llm.language_id import identify_languages, learn_languages
 from tablewright.llm.ngram_jaccard import shingle_components
 from tablewright.llm.quality import score_quality, train_quality
 from tablewright.llm.secrets import count_kind, find_secrets, written
+from tablewright.llm.spelling import spelling_variants
 from tablewright.llm.suffix_tree import Frequencies, score_texts
+from tablewright.llm.token_files import read_token_files, write_token_files
 from tablewright.llm.url_filter import judge_urls
+from tablewright.session import run_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,10 +38,10 @@ def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{folder}/{name}.parquet").select(*columns)
 
 
-def tokenizer() -> str:
+def tokenizer(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return str(public_tokenizers.path("word_bpe_49k.json"))
+    return str(public_tokenizers.path(name))
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
@@ -154,6 +158,26 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op11_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents", "doc_id", "text")
+    aligned = align_texts(docs, tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
+    return aligned.select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )
+
+
+def op12_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents", "doc_id", "text")
+    place = run_folder(spark, "token-files")
+    write_token_files(docs, tokenizer(), place, end=1)
+    return read_token_files(spark, place)
+
+
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents", "doc_id", "text")
+    return spelling_variants(docs, least=3, shortest=5, ratio=2, drop_every=97)
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_secret_scans": op2_secret_scans,
@@ -165,5 +189,8 @@ QUERIES: dict[str, Query] = {
     "op8_url_filters": op8_url_filters,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_bpe": op10_bpe,
+    "op11_tokenizer_alignment": op11_tokenizer_alignment,
+    "op12_token_files": op12_token_files,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 ORACLES: dict[str, str] = {"op8_url_filters": OP8_SQL, "op9_exact_dedup": OP9_SQL}
