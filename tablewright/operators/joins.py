@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tablewright.operators.common import any_of, join_null_safe, read_as
 from tablewright.operators.ordered import number_rows
+from tablewright.operators.skew import frequent_keys
 from tablewright.session import settle
 
 STRATEGIES = ("merge", "shuffle_hash")
@@ -76,10 +77,7 @@ def not_in(left: DataFrame, column: str, right: DataFrame, other: str) -> DataFr
 
 def hot_keys(df: DataFrame, on: Sequence[str], share: float) -> DataFrame:
     """Keys that hold more than ``share`` of the rows: fewer than 1 / share keys."""
-    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
-    counts = settle(counts)
-    total = counts.agg(F.sum("__n")).first()[0] or 0
-    return counts.filter(F.col("__n") > total * share).select(*on)
+    return frequent_keys(df, on, share).select(*on)
 
 
 def salted_join(

@@ -1,11 +1,12 @@
 """Running totals, neighbours and ranks that stay spread out on hot keys.
 
-A plain ``Window.partitionBy(key)`` sends all rows of a key to one task. The
-operators here cut the rows into equal slices by range over (keys, order), work
-inside each slice, and carry the slice totals forward; there is one total per
-slice and key, so the window over them is small. This is done at every size.
-``bounded=True`` states that groups cannot grow with the data (days, months,
-distinct values of a small domain) and takes the plain window instead.
+A plain ``Window.partitionBy(key)`` sends all rows of a key to one task. Here a summary pass finds the
+groups that hold more than a task's share of the rows. Their rows are cut into even stretches of the order
+(``slices``); the window works inside each stretch, and what the stretches before add is carried
+forward: there is one total per stretch and group, so the window over those is small. All other groups
+fit a task and take the plain window. A window over the whole table is one large group.
+``bounded=True`` states that groups cannot grow with the data (days, months, distinct values of a
+small domain) and leaves the summary pass out.
 
 ``order`` must be total within a group wherever single rows are told apart.
 Sums of doubles depend on the order of adding in their last digits, here as
@@ -20,27 +21,41 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tablewright.operators.common import ColumnOrName, as_column, join_null_safe
-from tablewright.session import settle
+from tablewright.operators.slices import MOST, cut_points, large_groups, number_of_tasks, places, stretch
 
-SLICE_ROWS = 2_000_000
 SLICE = "__slice"
 GROUP = "__group"
-POSITION = "__position"
-CHUNK = "__chunk"
+HASH = "__hash"
 
 
-def cut_by_range(
+def parted(
     df: DataFrame, keys: Sequence[str], order: Sequence[ColumnOrName], slices: int | None = None
-) -> DataFrame:
-    """Number equal runs of rows in (keys, order) order, of about ``SLICE_ROWS`` at most.
+) -> tuple[DataFrame | None, DataFrame | None]:
+    """(rows of groups that fit a task, rows of large groups with their stretch); None: no such rows.
 
-    The numbers are written out once: range bounds come from a sample, and the
-    rows and their totals must see the same bounds, also after a lost executor.
+    A group is large when it holds more than 1 / ``slices`` of all rows (``slices`` is the number of
+    shuffle partitions unless given). Stretches are cut over all large groups together, in
+    the order of (keys, order).
     """
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    n = slices or max(tasks, -(-df.count() // SLICE_ROWS))
-    ranged = df.repartitionByRange(n, *keys, *order)
-    return settle(ranged.withColumn(SLICE, F.spark_partition_id()))
+    n = min(slices or number_of_tasks(df), MOST)
+    group = F.struct(F.lit(0), *keys)
+    if keys:
+        rows, found = large_groups(df, keys, 1 / n)
+        if not found:
+            return df, None
+        large = F.xxhash64(*keys).isin(found)
+        small, df = df.filter(~large), df.filter(large)
+    else:
+        rows, small = df.count(), None
+    placed = places(df, [*keys, *order])
+    cuts = cut_points(df, placed, n, rows) if placed else []
+    return small, df.withColumns({SLICE: stretch(placed, cuts) if placed else F.lit(0), GROUP: group})
+
+
+def both_parts(small: DataFrame | None, large: DataFrame | None) -> DataFrame:
+    if small is None or large is None:
+        return large if small is None else small
+    return small.unionByName(large)
 
 
 def _add(a: Column, b: Column) -> Column:
@@ -59,17 +74,20 @@ def running_sum(
 ) -> DataFrame:
     """Running totals row by row (ROWS frame), per key or over the whole table."""
     values = {name: as_column(v) for name, v in sums.items()}
-    if bounded:
-        upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(
-            Window.unboundedPreceding, Window.currentRow
-        )
-        return df.withColumns({name: F.sum(v).over(upto) for name, v in values.items()})
+    upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def plain(rows: DataFrame) -> DataFrame:
+        return rows.withColumns({name: F.sum(v).over(upto) for name, v in values.items()})
 
+    if bounded:
+        return plain(df)
+    small, large = parted(df, keys, order, slices)
+    if large is None:
+        return plain(small)
     types = {f.name: f.dataType for f in df.agg(*[F.sum(v).alias(n) for n, v in values.items()]).schema}
-    cut = cut_by_range(df.withColumns({f"__v_{n}": v for n, v in values.items()}), keys, order, slices)
     # One struct per group key: equal NULLs match in a plain equi-join, and the join
     # reuses the partitioning of the window.
-    cut = cut.withColumn(GROUP, F.struct(F.lit(0), *keys))
+    cut = large.withColumns({f"__v_{n}": v for n, v in values.items()})
     inside = Window.partitionBy(SLICE, GROUP).orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
@@ -82,7 +100,8 @@ def running_sum(
     )
     made = {n: _add(F.col(f"__b_{n}"), F.col(f"__i_{n}")).cast(types[n]) for n in values}
     names = [*df.columns, *[n for n in values if n not in df.columns]]
-    return rows.join(totals, [SLICE, GROUP]).withColumns(made).select(*names)
+    done = rows.join(totals, [SLICE, GROUP]).withColumns(made).select(*names)
+    return both_parts(None if small is None else plain(small).select(*names), done)
 
 
 def running_sum_with_peers(
@@ -129,32 +148,31 @@ def with_neighbours(
     before: int = 0,
     after: int = 0,
     bounded: bool = False,
-    chunk_rows: int | None = None,
+    slices: int | None = None,
 ) -> DataFrame:
     """Columns that look at most ``before`` rows back and ``after`` rows ahead.
 
-    ``columns`` gets the ordered window and returns the new columns: lag, lead
-    and aggregates over a bounded ROWS frame. Rows are numbered and cut into chunks of ``chunk_rows``; the rows next to a cut are copied into the
-    chunk beyond it, so each chunk sees its whole frame.
+    ``columns`` gets the ordered window and returns the new columns: lag, lead and aggregates over a
+    bounded ROWS frame. In a large group, rows inside a stretch see their whole frame there. The
+    first and last ``before`` + ``after`` rows of every stretch are put together once more: a row
+    next to a cut has its frame among these.
     """
-    if bounded:
-        return df.withColumns(dict(columns(Window.partitionBy(*keys).orderBy(*order))))
-
-    size = max(chunk_rows or SLICE_ROWS, before, after, 1)
-    numbered = number_rows(df, keys, order, POSITION)
-    home = F.floor((F.col(POSITION) - 1) / size)
-    offset = (F.col(POSITION) - 1) % size
-    copies = F.array_compact(
-        F.array(
-            home,
-            F.when((offset < after) & (home > 0), home - 1),
-            F.when(offset >= size - before, home + 1),
-        )
-    )
-    spread = numbered.withColumns({"__home": home, CHUNK: F.explode(copies)})
-    inside = Window.partitionBy(CHUNK, *keys).orderBy(POSITION)
-    computed = spread.withColumns(dict(columns(inside)))
-    return computed.filter(F.col(CHUNK) == F.col("__home")).drop(POSITION, "__home", CHUNK)
+    whole = Window.partitionBy(*keys).orderBy(*order)
+    small, large = (df, None) if bounded else parted(df, keys, order, slices)
+    if large is None:
+        return small.withColumns(dict(columns(whole)))
+    inside = Window.partitionBy(SLICE, GROUP).orderBy(*order)
+    every = Window.partitionBy(SLICE, GROUP)
+    first, last = F.col("__first"), F.col("__count") - F.col("__first") + 1
+    placed = large.withColumns({"__first": F.row_number().over(inside), "__count": F.count(F.lit(1)).over(every)})
+    made = columns(inside)
+    names = [*df.columns, *[n for n in made if n not in df.columns]]
+    middle = placed.withColumns(dict(made)).filter((first > before) & (last > after)).select(*names)
+    edge = placed.filter((first <= before + after) | (last <= before + after))
+    near = Window.partitionBy(GROUP).orderBy(*order)
+    ends = edge.withColumns(dict(columns(near))).filter((first <= before) | (last <= after)).select(*names)
+    done = middle.unionByName(ends)
+    return both_parts(None if small is None else small.withColumns(dict(columns(whole))).select(*names), done)
 
 
 def rank_rows(
@@ -169,6 +187,7 @@ def rank_rows(
     unique: str | None = None,
     modified: str | None = None,
     bounded: bool = False,
+    slices: int | None = None,
 ) -> DataFrame:
     """Up to four kinds of rank by the column ``by``, under the names given.
 
@@ -176,30 +195,70 @@ def rank_rows(
     ``tie_break``, and ``modified`` gives tied rows the last of their places.
     """
     place = F.col(by).desc_nulls_last() if descending else F.col(by).asc_nulls_first()
-    if bounded:
-        w = Window.partitionBy(*keys).orderBy(place)
-        made = {
-            rank: F.rank().over(w),
-            dense: F.dense_rank().over(w),
-            unique: F.row_number().over(Window.partitionBy(*keys).orderBy(place, *tie_break)),
-            modified: F.count(F.lit(1)).over(
-                w.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-            ),
-        }
-        return df.withColumns({name: made[name].cast("bigint") for name in made if name})
+    kinds = ("__rank", "__dense", "__unique", "__modified")
+    wanted = {name: kind for name, kind in zip((rank, dense, unique, modified), kinds) if name}
+    names = [*df.columns, *[n for n in wanted if n not in df.columns]]
 
-    # Tied rows are neighbours in this order, so the first and last place of a
-    # value give its rank and modified rank, and numbering the values the dense one.
-    placed = number_rows(df, keys, [place, *tie_break], "__unique")
-    values = placed.groupBy(*keys, by).agg(
-        F.min("__unique").alias("__rank"), F.max("__unique").alias("__modified")
+    def ranked(rows: DataFrame, *parts: str) -> DataFrame:
+        """All kinds inside each part, from one sort."""
+        w = Window.partitionBy(*parts).orderBy(place)
+        total = Window.partitionBy(*parts).orderBy(place, *tie_break)
+        tied = w.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        made = F.row_number().over(total), F.rank().over(w), F.dense_rank().over(w), F.count(F.lit(1)).over(tied)
+        return rows.withColumns({k: m.cast("bigint") for k, m in zip(("__unique", "__rank", "__dense", "__modified"), made)})
+
+    def named(rows: DataFrame) -> DataFrame:
+        return rows.withColumns({name: F.col(kind) for name, kind in wanted.items()}).select(*names)
+
+    small, large = (df, None) if bounded else parted(df, keys, [place, *tie_break], slices)
+    if large is None:
+        return named(ranked(small, *keys))
+    inside = ranked(large, SLICE, GROUP)
+    # Per stretch: its rows and values, and the first and last value with their places.
+    value = F.struct(F.col(by).alias("v"))
+    facts = inside.groupBy(SLICE, GROUP).agg(
+        F.max("__unique").alias("n"),
+        F.max("__dense").alias("values"),
+        F.min_by(F.struct(value.alias("v"), "__rank", "__modified"), "__unique").alias("first"),
+        F.max_by(F.struct(value.alias("v"), "__rank", "__modified"), "__unique").alias("last"),
     )
-    values = number_rows(values, keys, ["__rank"], "__dense", bounded=bounded)
-    joined = join_null_safe(placed, values, [*keys, by])
-    found = {rank: "__rank", dense: "__dense", unique: "__unique", modified: "__modified"}
-    made = {name: F.col(source).cast("bigint") for name, source in found.items() if name}
-    names = [*df.columns, *[n for n in made if n not in df.columns]]
-    return joined.withColumns(made).select(*names)
+    along = Window.partitionBy(GROUP).orderBy(SLICE)
+    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
+    goes_on = F.coalesce(F.lag("last.v").over(along) == F.col("first.v"), F.lit(False)).cast("int")
+    facts = facts.withColumns({"shared": goes_on, "base": F.coalesce(F.sum("n").over(earlier), F.lit(0))})
+    facts = facts.withColumn(
+        "dense_base",
+        F.coalesce(F.sum("values").over(earlier), F.lit(0))
+        - F.sum("shared").over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+    )
+    # A value on both sides of a cut begins where it first stands and ends where it last does.
+    side = F.explode(F.array(F.struct(F.lit(0).alias("s"), "first.*"), F.struct(F.lit(1).alias("s"), "last.*")))
+    ends = facts.select(SLICE, GROUP, "base", "dense_base", side.alias("end"))
+    same = Window.partitionBy(GROUP, "end.v")
+    span = F.struct(
+        F.min(F.col("base") + F.col("end.__rank")).over(same).alias("from"),
+        F.max(F.col("base") + F.col("end.__modified")).over(same).alias("upto"),
+    )
+    edge = F.struct("end.v", "span.*")
+    facts = (
+        ends.withColumn("span", span)
+        .groupBy(SLICE, GROUP, "base", "dense_base")
+        .agg(
+            F.max(F.when(F.col("end.s") == 0, edge)).alias("at_first"),
+            F.max(F.when(F.col("end.s") == 1, edge)).alias("at_last"),
+        )
+    )
+    joined = inside.join(facts, [SLICE, GROUP])
+    edge = F.when(value == F.col("at_first.v"), F.col("at_first")).when(value == F.col("at_last.v"), F.col("at_last"))
+    joined = joined.withColumn("__edge", edge).withColumns(
+        {
+            "__unique": F.col("base") + F.col("__unique"),
+            "__dense": F.col("dense_base") + F.col("__dense"),
+            "__rank": F.coalesce("__edge.from", F.col("base") + F.col("__rank")),
+            "__modified": F.coalesce("__edge.upto", F.col("base") + F.col("__modified")),
+        }
+    )
+    return both_parts(None if small is None else named(ranked(small, *keys)), named(joined))
 
 
 def capacity_cutoff(

@@ -8,11 +8,15 @@ the shuffle, so a hot group never meets in one task.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.operators.common import ColumnOrName, join_null_safe
+from tablewright.operators.common import ColumnOrName, all_of, join_null_safe
+from tablewright.operators.slices import cut_points, leading_bound, places, row_before, stretch
+
+SHALLOW = 100_000  # rows from the top that a task may hold for a page
 
 
 def _place(by: str, descending: bool):
@@ -96,8 +100,46 @@ def ends(
     return top.unionByName(bottom)
 
 
-def page(df: DataFrame, order: Sequence[ColumnOrName], offset: int, n: int) -> DataFrame:
-    return df.orderBy(*order).offset(offset).limit(n)
+def page(
+    df: DataFrame, order: Sequence[ColumnOrName], offset: int, n: int, shallow: int = SHALLOW, cuts: int = 256
+) -> DataFrame:
+    """Rows ``offset`` + 1 to ``offset`` + ``n`` in a total order.
+
+    Up to ``shallow`` rows deep each task keeps its first rows only. Beyond that, rows are counted by
+    stretches of the order, and only the stretches that hold the page are read again, cut
+    anew until few enough rows are left to sort; see ``page_after`` for the page behind one.
+    """
+    placed = places(df, order)
+    if offset + n <= shallow or placed is None:
+        return df.orderBy(*order).offset(offset).limit(n)
+    part, left = df, df.count()
+    while left > shallow:
+        points = cut_points(part, placed, cuts, left)
+        counted = dict(part.groupBy(stretch(placed, points).alias("k")).count().collect())
+        ends = list(accumulate(counted.get(k, 0) for k in range(len(points) + 1)))
+        first = next((k for k, end in enumerate(ends) if end > offset), len(points))
+        last = next((k for k, end in enumerate(ends) if end >= offset + n), len(points))
+        if last - first == len(points):
+            break
+        low, high = (points[first - 1] if first else None), (points[last] if last < len(points) else None)
+        part = part.filter(leading_bound(placed[0], low and low[0], high and high[0]))
+        if low:
+            part = part.filter(~row_before(placed, low))
+        if high:
+            part = part.filter(row_before(placed, high))
+        before = ends[first - 1] if first else 0
+        offset, left = offset - before, ends[last] - before
+    return part.orderBy(*order).offset(offset).limit(n)
+
+
+def page_after(df: DataFrame, order: Sequence[ColumnOrName], last: Sequence, n: int) -> DataFrame:
+    """The ``n`` rows behind the row whose order columns have the values ``last``; no row before it is sorted."""
+    placed = places(df, order)
+    if placed is None or len(placed) != len(order):
+        raise ValueError("the order must be of plain columns")
+    here = all_of([p.same(v) for p, v in zip(placed, last)])
+    behind = df.filter(leading_bound(placed[0], last[0], None)).filter(~row_before(placed, last) & ~here)
+    return behind.orderBy(*order).limit(n)
 
 
 def page_with_total(

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.operators.slices import large_groups
+
 
 def partition_report(df: DataFrame) -> DataFrame:
     """Rows per physical partition and their ratio to the mean."""
@@ -34,6 +36,21 @@ def skewed_keys(df: DataFrame, keys: Sequence[str], ratio: float) -> DataFrame:
     return skew_report(df, keys).filter(F.col("ratio_to_mean") > ratio)
 
 
+def frequent_keys(df: DataFrame, keys: Sequence[str], share: float) -> DataFrame:
+    """Keys that hold more than ``share`` of the rows, and how many they hold.
+
+    No shuffle of all keys: tasks summarise their frequent keys in bounded space, the merged summary
+    names at most 2 / share candidates and misses none, and only the rows of these are counted. NULL is a key.
+    """
+    if not 1e-5 <= share <= 1:
+        raise ValueError("share must lie between 1e-5 and 1")
+    rows, found = large_groups(df, keys, share)
+    kept = df.filter(F.xxhash64(*keys).isin(found)) if found else df.limit(0)
+    counts = kept.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+    made = counts.withColumn("share", F.round(F.col("rows") / F.lit(max(rows, 1)), 6))
+    return made.filter(F.col("rows") > F.lit(rows * share))
+
+
 MERGED_BY = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tablewright.functions.strings import month_number
-from tablewright.operators import islands, joins, ordered, ranking
+from tablewright.operators import islands, joins, ordered, ranking, skew
 from tests.helpers import day, rows
 
 
@@ -151,8 +151,9 @@ def test_peers_share_a_total(skewed, bounded):
     assert rows(got) == rows(want)
 
 
-@pytest.mark.parametrize("chunk", [1, 2, 50])
-def test_chunked_neighbours_equal_window(skewed, chunk):
+@pytest.mark.parametrize("slices", [3, 7, 300])
+@pytest.mark.parametrize("keys", [["k"], []])
+def test_sliced_neighbours_equal_window(skewed, keys, slices):
     def columns(w):
         return {
             "back": F.lag("v", 2).over(w),
@@ -160,18 +161,21 @@ def test_chunked_neighbours_equal_window(skewed, chunk):
             "mean": F.avg("v").over(w.rowsBetween(-2, 1)),
         }
 
-    want = skewed.withColumns(columns(Window.partitionBy("k").orderBy("o", "i")))
+    want = skewed.withColumns(columns(Window.partitionBy(*keys).orderBy("o", "i")))
     got = ordered.with_neighbours(
-        skewed, ["k"], ["o", "i"], columns, before=2, after=1, chunk_rows=chunk
+        skewed, keys, ["o", "i"], columns, before=2, after=1, slices=slices
     )
     assert rows(got) == rows(want)
 
 
 @pytest.mark.parametrize("descending", [True, False])
-def test_sliced_ranks_equal_windows(skewed, descending):
+@pytest.mark.parametrize("keys, slices", [(["k"], 4), (["k"], 40), ([], 5), ([], 300)])
+def test_sliced_ranks_equal_windows(skewed, keys, slices, descending):
+    """Ties of NULLs and values go over many cuts."""
     names = {"rank": "r", "dense": "d", "unique": "u", "modified": "m"}
-    want = ordered.rank_rows(skewed, ["k"], "v", tie_break=["i"], descending=descending, bounded=True, **names)
-    got = ordered.rank_rows(skewed, ["k"], "v", tie_break=["i"], descending=descending, **names)
+    how = {"tie_break": ["i"], "descending": descending}
+    want = ordered.rank_rows(skewed, keys, "v", bounded=True, **how, **names)
+    got = ordered.rank_rows(skewed, keys, "v", slices=slices, **how, **names)
     assert rows(got) == rows(want)
 
 
@@ -190,6 +194,42 @@ def test_islands_equal_distinct_days(skewed):
     assert rows(made.groupBy("k").agg(F.sum("n").alias("n"))) == rows(held)
 
 
+@pytest.mark.parametrize("slices", [3, 30])
+@pytest.mark.parametrize("gap", [1, 3])
+def test_runs_over_cuts_equal_runs_in_one_window(skewed, slices, gap):
+    dated = skewed.withColumn("at", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("i") * 7) % 1500))
+    want = islands.islands(dated, ["k"], "at", gap=gap, slices=1)
+    assert rows(islands.islands(dated, ["k"], "at", gap=gap, slices=slices)) == rows(want)
+    seconds = dated.withColumn("at", F.col("at").cast("timestamp_ntz"))
+    want = islands.islands(seconds, [], "at", gap=gap * 86400, slices=1)
+    assert rows(islands.islands(seconds, [], "at", gap=gap * 86400, slices=slices)) == rows(want)
+
+
+@pytest.mark.parametrize("order", ["o i", "-v i", "v+ -i", "-v- o i"])
+def test_deep_pages_equal_sorted_rows(skewed, order):
+    """Pages that lie in one stretch, go over cuts, or run past the end; then the page behind."""
+    ways = {
+        "-v": F.col("v").desc(), "v+": F.col("v").asc_nulls_last(), "-i": F.col("i").desc(), "-v-": F.col("v").desc_nulls_first(),
+    }
+    order = [ways.get(c, c) for c in order.split()]
+    want = [tuple(r) for r in skewed.orderBy(*order).collect()]
+    names = [c if isinstance(c, str) else str(c).split("'")[1].split()[0] for c in order]
+    for offset, n in ((0, 5), (299, 3), (440, 60), (893, 20), (2000, 5)):
+        page = ranking.page(skewed, order, offset, n, shallow=1, cuts=9)
+        assert [tuple(r) for r in page.collect()] == want[offset : offset + n]
+        if offset < 890:
+            last = [page.collect()[-1][c] for c in names]
+            assert [tuple(r) for r in ranking.page_after(skewed, order, last, 4).collect()] == want[offset + n : offset + n + 4]
+
+
+def test_frequent_keys(skewed):
+    got = skew.frequent_keys(skewed, ["k"], 0.2)
+    assert rows(got) == [(0, 300, 0.333333)]
+    every = skewed.groupBy("k").count().filter("count > 18")
+    assert rows(skew.frequent_keys(skewed, ["k"], 0.02).select("k", "rows")) == rows(every)
+    assert skew.frequent_keys(skewed.limit(0), ["k"], 0.1).isEmpty()
+
+
 def test_running_sums_of_decimals_and_doubles(skewed):
     kinds = {"d": (F.col("i") / 8).cast("decimal(12,3)"), "f": F.col("i") / 3}
     df = skewed.select("k", "i", *(v.alias(n) for n, v in kinds.items()))
