@@ -15,6 +15,7 @@ from __future__ import annotations
 import os
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +31,7 @@ HEAD = "<4sIIIII"  # magic, vocabulary size, file, place, documents, bytes of th
 HEAD_SIZE = struct.calcsize(HEAD)
 MAGIC = b"TKR1"
 FILE_IDS = 8 << 20
-KEPT_WORDS, KEPT_LENGTH = 200_000, 48  # words whose ids a worker remembers, and their longest
+KEPT_WORDS, KEPT_LENGTH = 500_000, 32  # words whose ids a worker remembers, and their longest
 PIECE = 1 << 20
 
 
@@ -50,6 +51,7 @@ class WordIds:
         self.tokenizer.no_padding()
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.kind = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
+        self.code = "H" if self.size <= 1 << 16 else "I"
         self.kept: dict[str, bytes] = {}
 
     def __call__(self, texts: list[str]) -> list[bytes]:
@@ -58,10 +60,10 @@ class WordIds:
             self.kept = {}
         kept = self.kept
         split = [text.replace("\n", " ").replace("\t", " ").split(" ") for text in texts]
-        fresh = list({word for words in split for word in words if word not in kept})
+        fresh = list(set().union(*split).difference(kept))
         for word, found in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)):
-            kept[word] = np.array(found.ids, self.kind).tobytes()
-        out = [b"".join([kept[word] for word in words]) for words in split]
+            kept[word] = array(self.code, found.ids).tobytes()
+        out = [b"".join(map(kept.__getitem__, words)) for words in split]
         for word in fresh:
             if len(word) > KEPT_LENGTH:
                 del kept[word]
