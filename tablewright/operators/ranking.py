@@ -101,7 +101,7 @@ def ends(
 
 
 def page(
-    df: DataFrame, order: Sequence[ColumnOrName], offset: int, n: int, shallow: int = SHALLOW, cuts: int = 256
+    df: DataFrame, order: Sequence[ColumnOrName], offset: int, n: int, shallow: int = SHALLOW, cuts: int = 32
 ) -> DataFrame:
     """Rows ``offset`` + 1 to ``offset`` + ``n`` in a total order.
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tablewright.operators.common import ColumnOrName
 
-MOST = 2048  # stretches: the expression has as many leaves
+MOST = 1024  # stretches: the expression has as many leaves
 PER_CUT = 48  # sampled rows for each cut point
 _SIMPLE = re.compile(r"^(tinyint|smallint|int|bigint|float|double|decimal.*|string|date|timestamp|timestamp_ntz|boolean)$")
 _ORDERED = re.compile(r"^(.*?)(?: (ASC|DESC) NULLS (FIRST|LAST))?$", re.S)
@@ -85,8 +85,8 @@ def leading_bound(place: Place, low: Any, high: Any) -> Column:
 def row_before(order: Sequence[Place], cut: Sequence[Any]) -> Column:
     """True for rows that stand before the point ``cut``."""
     found = F.lit(False)
-    for place, value in reversed(list(zip(order, cut))):
-        found = place.before(value) | (place.same(value) & found)
+    for k, (place, value) in enumerate(reversed(list(zip(order, cut)))):
+        found = place.before(value) | (place.same(value) & found) if k else place.before(value)
     return found
 
 
@@ -117,9 +117,14 @@ def cut_points(df: DataFrame, order: Sequence[Place], n: int, rows: int) -> list
     sampled = slim.orderBy(*[p.column() for p in order]).collect()
     at = sorted({len(sampled) * k // n for k in range(1, n)})
     cuts: list[tuple] = []
+    last: tuple | None = None
     for k in at:
-        if k < len(sampled) and (not cuts or tuple(sampled[k]) != cuts[-1]):
-            cuts.append(tuple(sampled[k]))
+        row = tuple(sampled[k]) if k < len(sampled) else last
+        if row != last:
+            # as few columns as tell the point from the one before: a cut need not be a row
+            size = 1 if last is None else next(i for i in range(len(row)) if row[i] != last[i]) + 1
+            cuts.append(row[:size])
+            last = row
     return cuts
 
 

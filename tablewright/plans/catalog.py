@@ -17,6 +17,8 @@ MODULES = (
     "files",
     "everyday",
     "streams",
+    "batches",
+    "scale",
 )
 
 for _name in MODULES:
