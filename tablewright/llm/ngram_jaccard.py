@@ -16,19 +16,20 @@ shorter form is in both indexes. A set with too few such subsets indexes every s
 neighbourhood; two such sets meet on the subsets that the others skip.
 
 Verification. A bucket is never expanded into all pairs: its members are verified against its
-best connected member, and only members left outside the bucket's largest component are compared
-with the rest of the bucket, where sizes and parity sketches still allow the similarity. All
-pairs are verified on whole sets, so components are exact.
+best connected member. Buckets that still hold more than one component are split by the rarest
+tokens of their members (``open_pairs``), and only what meets there is paired, where sizes and parity
+sketches still allow the similarity. All pairs are verified on whole sets, so components are exact.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.llm.common import WordHasher, ascii_space, bounded_batches, chunks, mix, stored
@@ -37,6 +38,7 @@ from tablewright.operators.graph import connected_components
 WIDEN = 1.5  # size ratio of a band; wider bands mean more segments, narrower ones more lookups
 HEAVY_SHARE = 0.002  # a token in more than this share of the documents is heavy
 SKETCH = 256  # bits of the parity sketch
+CLASS = 1.05  # size ratio of a class in which rare tokens are compared
 
 
 class Shingles:
@@ -277,7 +279,7 @@ def shingle_components(
 
     first = stored(connected_components(links.toDF("src", "dst")), "jaccard-components")
     missed = stored(
-        verify(open_pairs(index, first, sets, percent), sets, slim, width, percent), "jaccard-links"
+        verify(open_pairs(index, first, sets, slim, width, percent), sets, slim, width, percent), "jaccard-links"
     )
     found = first if missed.isEmpty() else connected_components(links.union(missed).toDF("src", "dst"))
     found = stored(found.toDF("rep", "component_id"), "jaccard-components")
@@ -329,26 +331,88 @@ def verify(pairs: DataFrame, sets: DataFrame, docs: DataFrame, width: int, perce
     return both.mapInArrow(_verified(width, percent), "a long, b long")
 
 
-def open_pairs(index: DataFrame, components: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs that share an entry and no component, each with a member outside the bucket's largest."""
+def _hashes(width: int):
+    """(rep, token) of whole sets, from (doc_id, text) rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = Shingles(width)
+        for batch in batches:
+            ids = batch.column(0).to_pylist()
+            out, owners, sizes, held = [], [], [], 0
+            for row, tokens in shingles(batch.column(1)):
+                out.append(tokens)
+                owners.append(ids[row])
+                sizes.append(len(tokens))
+                held += len(tokens)
+                if held > 200_000:
+                    yield _rows(out, owners, sizes)
+                    out, owners, sizes, held = [], [], [], 0
+            if out:
+                yield _rows(out, owners, sizes)
+
+    return run
+
+
+def size_class(n: Column) -> Column:
+    return F.floor(F.log(n.cast("double")) / F.lit(math.log(CLASS)))
+
+
+def mixed_members(index: DataFrame, components: DataFrame) -> DataFrame:
+    """(rep, component) of the members of buckets that hold more than one component."""
     known = components.select(F.col("id").alias("rep"), "component")
     placed = index.select("entry", "rep").join(known, "rep", "left")
     placed = placed.select("entry", "rep", F.coalesce("component", "rep").alias("component"))
-    largest = stored(
-        placed.groupBy("entry", "component")
-        .agg(F.count(F.lit(1)).alias("c"))
-        .groupBy("entry")
-        .agg(F.max(F.struct("c", "component")).alias("top"), F.count(F.lit(1)).alias("parts"))
-        .filter("parts > 1")
-        .select("entry", F.col("top.component").alias("major")),
-        "jaccard-mixed",
+    mixed = (
+        placed.groupBy("entry")
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        .filter("low <> high")
+        .select("entry")
     )
-    mixed = placed.join(largest, "entry").join(sets, "rep")
-    left = mixed.filter("component <> major").alias("x")
-    return (
-        left.join(mixed.alias("y"), F.col("x.entry") == F.col("y.entry"))
-        .filter("x.component <> y.component AND (y.component = y.major OR x.rep < y.rep)")
-        .filter(possible(percent))
-        .select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"))
-        .distinct()
+    return placed.join(stored(mixed, "jaccard-mixed"), "entry", "left_semi").select("rep", "component").distinct()
+
+
+def open_pairs(
+    index: DataFrame, components: DataFrame, sets: DataFrame, docs: DataFrame, width: int, percent: int
+) -> DataFrame:
+    """Pairs that share a bucket and no component, as far as their rarest tokens let them be similar.
+
+    Mixed buckets are split before any pair is made. Their members' tokens are ordered by how many
+    members hold them. Sets of sizes a <= b are similar only if they share at least
+    o = percent * (a + b) / (100 + percent) tokens, so the first a - o + 1 of the one and the first
+    b - o + 1 of the other have one in common. A set is listed under these rare tokens, by the size class
+    of the smaller set, and only sets that meet there are paired. Sets that share much but not
+    enough, such as changed copies of one text, have rare tokens of their own and do not meet.
+    """
+    hard = stored(mixed_members(index, components).join(sets, "rep"), "jaccard-hard")
+    texts = docs.join(hard.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    tokens = stored(
+        texts.mapInArrow(_hashes(width), "entry long, doc_id long").toDF("token", "rep"), "jaccard-tokens"
+    )
+    # Tokens that one member holds come first and are joined with nothing: they only take up places.
+    counts = stored(
+        tokens.groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"), "jaccard-token-counts"
+    )
+    often = tokens.join(counts, "token")
+    several = often.groupBy("rep").agg(F.count(F.lit(1)).alias("several"))
+    sized = often.join(several, "rep").join(hard.select("rep", "n", "component"), "rep")
+    place = F.row_number().over(Window.partitionBy("rep").orderBy("c", "token")) + F.col("n") - F.col("several")
+
+    def first(other: Column) -> Column:
+        """How many of the rarest tokens count beside a set of that size."""
+        share = F.ceil((F.col("n") + other) * F.lit(percent) / F.lit(100 + percent))
+        return F.col("n") - share + 1
+
+    least = F.ceil(F.col("n") * F.lit(percent) / F.lit(100))
+    placed = sized.withColumn("place", place).filter(F.col("place") <= first(least))
+    placed = stored(placed.select("token", "rep", "n", "component", "place"), "jaccard-rare")
+    small = placed.filter(F.col("place") <= first(F.col("n"))).withColumn("class", size_class(F.col("n")))
+    classes = F.sequence(size_class(least), size_class(F.col("n")))
+    large = placed.withColumn("class", F.explode(classes))
+    # one below the smallest size of the class: rounding must never shorten a prefix
+    lower = F.greatest(least, F.floor(F.pow(F.lit(CLASS), F.col("class"))) - 1)
+    large = large.filter(F.col("place") <= first(lower))
+    x, y = small.alias("x"), large.alias("y")
+    met = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.class") == F.col("y.class"))).filter(
+        "x.component <> y.component AND (x.n < y.n OR x.n = y.n AND x.rep < y.rep)"
     )
+    return met.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()

@@ -74,6 +74,24 @@ def test_exact_dedup_keeps_columns(awkward, nothing):
     assert exact_dedup.exact_dedup(nothing).isEmpty() and exact_dedup.exact_groups(nothing).isEmpty()
 
 
+def test_copies_do_not_pile_up_in_a_task(monkeypatch):
+    """A task that gets nothing but copies gives its batches out window by window."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(exact_dedup.TaskContext, "get", lambda: type("T", (), {"partitionId": lambda self: 0})())
+    read = []
+
+    def batches():
+        for k in range(60):
+            read.append(k)
+            yield pa.RecordBatch.from_pydict({"doc_id": list(range(10)), "text": ["same " * 2000] * 10})
+
+    ahead, out = 0, 0
+    for _ in exact_dedup._local("doc_id", "text", True, 400_000)(batches()):
+        ahead, out = max(ahead, len(read) - out), out + 1
+    assert out == 60 and ahead < 10
+
+
 @pytest.mark.parametrize("budget", [1 << 30, 4000, 900])
 def test_trie_with_and_without_spill(budget):
     rng = np.random.default_rng(5)
@@ -136,6 +154,33 @@ def test_components_of_many_near_copies(spark):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == components(dict(data), 3, 80)
 
 
+def test_changed_copies_are_not_paired(spark, monkeypatch):
+    """Copies that share most of their words, but not enough, meet in many buckets and are not paired there."""
+    rng = np.random.default_rng(4)
+    base = [f"w{k}" for k in range(400)]
+    rows = []
+    for doc in range(120):
+        own = list(base)
+        for at in rng.choice(400, 28, replace=False):
+            own[at] = f"d{doc}x{at}"
+        rows.append((doc, " ".join(own)))
+    rows += [(500 + doc, f"{text} more") for doc, text in rows[:7]]
+    seen = []
+    real = ngram_jaccard.open_pairs
+
+    def counted(*args):
+        pairs = real(*args)
+        seen.append((ngram_jaccard.mixed_members(*args[:2]).count(), pairs.count()))
+        return pairs
+
+    monkeypatch.setattr(ngram_jaccard, "open_pairs", counted)
+    got = ngram_jaccard.shingle_components(spark.createDataFrame(rows, "doc_id bigint, text string"), width=3, percent=80)
+    assert {(r["doc_id"], r["component_id"]) for r in got.collect()} == {
+        (doc, doc - 500 if doc >= 500 else doc) for doc, _ in rows
+    }
+    assert seen[0][0] > 100 and seen[0][1] < 127
+
+
 def test_components_of_awkward_rows(awkward, nothing):
     got = ngram_jaccard.shingle_components(awkward, width=3, percent=90).collect()
     rows = Counter((r["doc_id"], r["component_id"]) for r in got)
