@@ -35,7 +35,8 @@ RUN_SHARE = 5e-7  # of all places, for a run of six bytes that is sent to execut
 SMOOTH = 8.0  # counts that a suffix's distribution is worth
 LANE = 512
 HEAD_SHARE = 2e-6  # of all tokens, for a word that is sent to executors
-HELD_WORDS, HELD_PLACES = 300_000, 4_000_000
+HELD_BYTES, WORD_BYTES = 24 << 20, 120  # of counted words in a worker; what a word takes besides its letters
+HELD_PLACES, SENT = 2_500_000, 200_000  # counted runs in a worker, and those that it gives out at a time
 
 
 def stream(rows: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
@@ -74,41 +75,55 @@ def _last(size: int, column: str = "code") -> Column:
 
 
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of words and of byte runs, combined within the task as far as memory allows."""
+    """Counts of words and of byte runs, combined within the task as far as memory allows.
+
+    A worker holds HELD_BYTES of words, however long, and HELD_PLACES runs, which take about forty bytes each
+    while they are put together.
+    """
     words: Counter = Counter()
-    held, size, codes, seen = [], 0, [], []
+    word_bytes, held, size, codes, seen = 0, [], 0, [], []
 
-    def runs():
+    def runs() -> Iterator[pa.RecordBatch]:
         nonlocal codes, seen
-        if codes:
-            code, at = np.unique(np.concatenate(codes), return_inverse=True)
-            total = np.bincount(at, np.concatenate(seen)).astype(np.int64)
-            codes, seen = [], []
-            return _counted(None, code, total)
-        return _counted(None, np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        if not codes:
+            return
+        code, many = np.concatenate(codes), np.concatenate(seen)
+        codes, seen = [], []
+        order = np.argsort(code)
+        code, many = code[order], many[order]
+        first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
+        code, many = code[first], np.add.reduceat(many, first)
+        for k in range(0, len(code), SENT):
+            yield _counted(None, code[k : k + SENT], many[k : k + SENT])
+
+    def count() -> None:
+        nonlocal held, size
+        code, many = _grams(held)
+        codes.append(code)
+        seen.append(many)
+        held, size = [], 0
 
     for batch in batches:
         for text in texts(batch.column(0)):
             own = text.lower().split()
-            words.update(own)
+            for word, n in Counter(own).items():
+                if word not in words:
+                    word_bytes += WORD_BYTES + len(word)
+                words[word] += n
             words[END] += 1
             held.append(own)
             size += len(text)
             if size > 1 << 20:
-                code, many = _grams(held)
-                codes.append(code)
-                seen.append(many)
-                held, size = [], 0
+                count()
                 if sum(map(len, codes)) > HELD_PLACES:
-                    yield runs()
-                if len(words) > HELD_WORDS:
-                    yield _counted(list(words), None, list(words.values()))
-                    words.clear()
+                    yield from runs()
+            if word_bytes > HELD_BYTES:
+                yield _counted(list(words), None, list(words.values()))
+                words.clear()
+                word_bytes = 0
     if held:
-        code, many = _grams(held)
-        codes.append(code)
-        seen.append(many)
-    yield runs()
+        count()
+    yield from runs()
     yield _counted(list(words), None, list(words.values()))
 
 
@@ -134,6 +149,11 @@ class Frequencies:
         places = partial.filter("code IS NOT NULL").groupBy("code").agg(F.sum("seen").alias("c"))
         self.places = stored(places, "suffix-places")
         self.total = self.places.agg(F.sum("c")).first()[0] or 0
+        # (code, c) of every run of a context and a byte, by the context's length: each from the next longer
+        self.runs = {DEPTH: self.places}
+        for length in range(DEPTH - 1, -1, -1):
+            shorter = self.runs[length + 1].groupBy(_last(length + 1).alias("code")).agg(F.sum("c").alias("c"))
+            self.runs[length] = stored(shorter, "suffix-runs")
 
     def log_share(self, count) -> float:
         return math.log10((count + 0.1) / (self.tokens + 0.1 * (self.distinct + 1)))
@@ -143,10 +163,6 @@ class Frequencies:
         rows = self.words.filter(F.col("c") >= max(1.0, HEAD_SHARE * self.tokens)).toLocalIterator()
         return {bytes(word): self.log_share(c) for word, c in rows}
 
-    def grams(self, length: int) -> DataFrame:
-        """(code, c) of every run of a context of that length and a byte."""
-        return self.places.groupBy(_last(length + 1).alias("code")).agg(F.sum("c").alias("c"))
-
     def levels(self) -> list[DataFrame]:
         """(code, c, n, p) of every run by the length of its context.
 
@@ -154,13 +170,13 @@ class Frequencies:
         context's count where the context itself is kept. A group is one context's next bytes.
         """
         every = self.places.sparkSession.range(256).select(F.col("id").alias("code"))
-        root = every.join(self.grams(0), "code", "left").select("code", F.coalesce("c", F.lit(0)).alias("c"))
+        root = every.join(self.runs[0], "code", "left").select("code", F.coalesce("c", F.lit(0)).alias("c"))
         share = (F.col("c") + F.lit(0.5)) / F.lit(self.total + 128.0)
         levels = [stored(root.select("code", "c", F.lit(None).cast("long").alias("n"), share.alias("p")), "suffix-level")]
         own = Window.partitionBy(F.shiftright("code", 8))
         for length in range(1, DEPTH + 1):
             below = levels[-1].select(F.col("code").alias("tail"), F.col("p").alias("below"))
-            rows = self.grams(length).withColumn("tail", _last(length)).join(below, "tail")
+            rows = self.runs[length].withColumn("tail", _last(length)).join(below, "tail")
             n = F.sum("c").over(own)
             apart = F.sum(F.col("c") * F.log(F.col("c") / F.col("below"))).over(own) - n * F.log(n.cast("double"))
             kept = (n >= LEAST_COUNT) & (apart >= F.lit(least_apart(self.total)))
@@ -180,7 +196,7 @@ class Frequencies:
         least = max(LEAST_COUNT, CONTEXT_SHARE * self.total)
         levels = []
         for length in range(DEPTH + 1):
-            grams = self.grams(length)
+            grams = self.runs[length]
             often = grams.groupBy(F.shiftright("code", 8).alias("context")).agg(F.sum("c").alias("n"))
             if length:
                 often = often.filter(F.col("n") >= least)
@@ -378,7 +394,8 @@ def score_texts(docs: DataFrame, model: Frequencies, text_col: str = "text") ->
     score adds log10((c + 0.1) / (N + 0.1 (V + 1))) over the tokens; ``score`` is the tree's log10
     probability of the text and its end. A null or empty text has the end as its only token.
     Columns of these names are replaced. Frequent words and places are looked up in tables of bounded size,
-    all others joined with the full counts and the whole tree; none of those is frequent, so no key is hot. Repeated
+    all others joined with the full counts and the whole tree. Such a word or run is rare in training, but may be
+    frequent in other texts: the table of counts is written, so the join splits its rows. Repeated
     rows stay; with no training texts all tokens are unknown and score alike.
     """
     spark = docs.sparkSession
