@@ -3,7 +3,8 @@
 Every task first puts its own rows into a compressed trie, so copies that it holds meet there and
 one row per distinct text goes on. These are dealt out by (length, content hash), inserted into
 one trie per partition, and a terminal node keeps the owner of its text and how many rows it has.
-A trie over its memory bound moves whole subtrees to a temporary file and works them off later.
+A trie over its memory bound moves whole subtrees to a temporary file and works them off later; the file
+is the task's own, and a task that runs again makes it anew.
 """
 
 from __future__ import annotations
@@ -163,8 +164,8 @@ def _combine(largest: bool, merge):
 def _local(id_name: str, text_name: str, largest: bool, window: int):
     """Mark each row of a task with the first row of the same text in its window.
 
-    A window ends when its trie holds ``window`` bytes; the first row of a text carries the
-    owner and the number of its rows in the window.
+    A window ends when its trie or the batches it waits with hold ``window`` bytes, so copies fill it
+    as well; the first row of a text carries the owner and the number of its rows in the window.
     """
     join = _combine(largest, lambda a, b: a)
 
@@ -184,7 +185,7 @@ def _local(id_name: str, text_name: str, largest: bool, window: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 33
-        held, trie = [], RadixTrie(join, 1 << 62)
+        held, size, trie = [], 0, RadixTrie(join, 1 << 62)
         for batch in batches:
             numbers, marks, sums, lengths, hashes = [], [], [], [], []
             for doc, text in zip(batch.column(id_name).to_pylist(), texts(batch.column(text_name))):
@@ -197,9 +198,10 @@ def _local(id_name: str, text_name: str, largest: bool, window: int):
                 hashes.append(int.from_bytes(digest.digest()[:8], "big", signed=True))
                 number += 1
             held.append((batch, numbers, marks, sums, lengths, hashes))
-            if trie.held > window:
+            size += batch.nbytes + NODE_BYTES * batch.num_rows
+            if max(trie.held, size) > window:
                 yield from settled(held, trie)
-                held, trie = [], RadixTrie(join, 1 << 62)
+                held, size, trie = [], 0, RadixTrie(join, 1 << 62)
         yield from settled(held, trie)
 
     return run
@@ -215,16 +217,21 @@ EXTRA_TYPES = (
 )
 
 
+def gathered(marks: list[int], more: list[int]) -> list[int]:
+    marks.extend(more)
+    return marks
+
+
 def _owners(largest: bool, budget: int):
     """One row for each mark: the owner and size of its text's whole group."""
-    join = _combine(largest, lambda a, b: a + b)
+    join = _combine(largest, gathered)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = RadixTrie(join, budget)
         for batch in batches:
             rows = zip(*(batch.column(k).to_pylist() for k in range(1, 5)))
             for text, (mark, owner, row, count) in zip(texts(batch.column(0)), rows):
-                trie.insert(text.lower(), ((owner, row), count, (mark,)))
+                trie.insert(text.lower(), ((owner, row), count, [mark]))
         out = ([], [], [], [])
         for (owner, row), count, marks in trie.entries():
             for mark in marks:
