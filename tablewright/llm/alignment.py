@@ -35,7 +35,7 @@ from tablewright.llm.bpe import byte_letters
 from tablewright.llm.common import bounded_batches, others, schema_of, stored
 
 HEAD_SHARE = 2e-6  # of all links, for a pair whose count is sent to executors
-KEPT_PARTS, KEPT_LENGTH = 250_000, 32  # parts that are remembered in a worker, and their longest
+KEPT_PARTS, KEPT_LENGTH = 500_000, 32  # parts that are remembered in a worker, and their longest
 PIECE = 1 << 20  # characters of texts worked on together
 STEP, LUMP = 1 << 16, 2000  # and of their new parts: handed to the libraries, and put together as one text
 SPACE = "▁"
