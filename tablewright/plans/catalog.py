@@ -19,6 +19,7 @@ MODULES = (
     "streams",
     "batches",
     "scale",
+    "graphs",
 )
 
 for _name in MODULES:
