@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
 
 
 def map_partitions(
@@ -26,19 +27,7 @@ def each_partition(df: DataFrame, fn: Callable[[Iterator[Row]], None]) -> None:
 
 
 def summaries(df: DataFrame, column: str) -> DataFrame:
-    """Rows and range of a number column per partition (in place of listing its rows)."""
-
-    def summarise(number: int, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows, low, high = 0, None, None
-        for batch in batches:
-            if len(batch):
-                rows += len(batch)
-                first, last = batch[column].min(), batch[column].max()
-                low = first if low is None else min(low, first)
-                high = last if high is None else max(high, last)
-        if rows:
-            yield pd.DataFrame({"partition": [number], "rows": [rows], "low": [low], "high": [high]})
-
-    kind = dict(df.dtypes)[column]
-    schema = f"partition int, rows bigint, low {kind}, high {kind}"
-    return map_partitions(df.select(column), summarise, schema)
+    """Rows and range of a column per partition (in place of listing its rows); partitions without rows are left out."""
+    return df.groupBy(F.spark_partition_id().alias("partition")).agg(
+        F.count(F.lit(1)).alias("rows"), F.min(column).alias("low"), F.max(column).alias("high")
+    )

@@ -106,33 +106,41 @@ def json_lines_inferred(spark, folder):
     return readers.read_json(spark, place)
 
 
-@query("SELECT n_regionkey, n_nationkey, n_name FROM nation")
+@query("SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem")
 def json_documents(spark, folder):
-    """One document of many lines per region and file."""
+    """Files of one document each, of many lines: the orders of a stretch of keys with their lines.
+
+    An order has few lines and a stretch two hundred keys, so a document is bounded.
+    """
     place = run_folder(spark, "documents")
-    entry = F.struct("n_nationkey", "n_name")
-    held = table(spark, folder, "nation").groupBy("n_regionkey").agg(F.sort_array(F.collect_list(entry)).alias("nations"))
-    pretty = F.to_json(F.struct("n_regionkey", "nations"), {"pretty": "true"}).alias("value")
+    line = F.struct("l_linenumber", "l_partkey", "l_quantity")
+    orders = table(spark, folder, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(line)).alias("lines"))
+    stretch = F.floor(F.col("l_orderkey") / 200).alias("stretch")
+    held = orders.groupBy(stretch).agg(F.collect_list(F.struct("l_orderkey", "lines")).alias("orders"))
+    pretty = F.to_json(F.struct("stretch", "orders"), {"pretty": "true"}).alias("value")
     writers.write_files(held.select(pretty), place, "text", max_records=1)
-    schema = "n_regionkey int, nations array<struct<n_nationkey: int, n_name: string>>"
-    return readers.read_json(spark, place, schema, document=True).select("n_regionkey", F.inline("nations"))
+    schema = (
+        "stretch bigint, orders array<struct<l_orderkey: bigint, "
+        "lines: array<struct<l_linenumber: int, l_partkey: bigint, l_quantity: double>>>>"
+    )
+    read = readers.read_json(spark, place, schema, document=True).select(F.inline("orders"))
+    return read.select("l_orderkey", F.inline("lines"))
 
 
 @query("SELECT o_orderkey, o_orderstatus FROM orders")
 def skipped_header_lines(spark, folder):
-    """Every file begins with three lines that hold no data."""
+    """Every file begins with three lines that hold no data; as many files as the rows ask for."""
     place = run_folder(spark, "headers")
-    lines = table(spark, folder, "orders").select(
-        "o_orderkey", F.concat_ws(",", F.col("o_orderkey").cast("string"), "o_orderstatus").alias("value")
-    )
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
+    n = max(4, orders.count() // 1_000_000)
+    file = (F.col("o_orderkey") % n).cast("int").alias("file")
+    line = F.concat_ws(",", F.col("o_orderkey").cast("string"), "o_orderstatus").alias("value")
     tops = F.array(*map(F.lit, ("made by", "-1,X", "o_orderkey,o_orderstatus")))
-    for part in range(2):
-        own = lines.filter(F.col("o_orderkey") % 2 == part)
-        top = own.limit(1).select(F.posexplode(tops).alias("place", "value"))
-        body = own.select(F.lit(3).alias("place"), "value")
-        # one sorted partition is one file: the heading has to be at its top
-        file = top.unionByName(body).coalesce(1).sortWithinPartitions("place").select("value")
-        writers.write_files(file, place, "text", mode="append")
+    top = spark.range(n).select(F.col("id").cast("int").alias("file"), F.posexplode(tops).alias("place", "value"))
+    body = orders.select(file, F.lit(3).alias("place"), line)
+    # a partition is a file, and the heading has to be at its top
+    files = top.unionByName(body).repartitionById(n, F.col("file")).sortWithinPartitions("place").select("value")
+    writers.write_files(files, place, "text")
     return readers.read_csv_below(spark, place, "o_orderkey bigint, o_orderstatus string", skip=3)
 
 
@@ -241,9 +249,11 @@ def spread_by_own_rule(spark, folder):
 @query("SELECT count(*) AS rows, true AS gathered FROM lineitem")
 def gathered_partitions(spark, folder):
     """Many partitions put together without a shuffle; no row is lost."""
-    lines = layout.spread(table(spark, folder, "lineitem").select("l_orderkey"), 16, ranged=True, by=["l_orderkey"])
-    few = layout.gathered(lines, 4).select(F.spark_partition_id().alias("part"))
-    return few.agg(F.count(F.lit(1)).alias("rows"), (F.count_distinct("part") <= 4).alias("gathered"))
+    lines = table(spark, folder, "lineitem").select("l_orderkey")
+    n = max(16, lines.count() // 250_000)
+    few = layout.gathered(layout.spread(lines, n, ranged=True, by=["l_orderkey"]), n // 4)
+    parts = few.select(F.spark_partition_id().alias("part"))
+    return parts.agg(F.count(F.lit(1)).alias("rows"), (F.count_distinct("part") <= n // 4).alias("gathered"))
 
 
 @query("SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")

@@ -223,6 +223,29 @@ def table_changes(spark, folder):
     )
 
 
+@query(
+    """
+    SELECT o_orderkey, o_orderpriority, CASE WHEN o_orderpriority = '1-URGENT' AND o_totalprice > 400000 THEN 'X' ELSE o_orderstatus END AS o_orderstatus
+    FROM orders WHERE o_orderpriority <> '5-LOW' AND NOT (o_orderpriority = '2-HIGH' AND o_totalprice < 50000)
+    """
+)
+def changed_partitions(spark, folder):
+    """Rows deleted and updated, and a whole partition emptied: only the touched partitions are written."""
+    place = run_folder(spark, "partitions")
+    name = "parts_" + place.rsplit("-", 1)[1]
+    rows = table(spark, folder, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority")
+    by = ["o_orderpriority"]
+    writers.save_table(rows.hint("rebalance", *by), name, path=f"{place}/table", partition_by=by)
+    kind, price = F.col("o_orderpriority"), F.col("o_totalprice")
+    gone = (kind == "5-LOW") | ((kind == "2-HIGH") & (price < 50000))
+    writers.change_partitions(spark, name, by, gone, lambda df: conform.delete_where(df, gone))
+    dear = (kind == "1-URGENT") & (price > 400000)
+    writers.change_partitions(
+        spark, name, by, dear, lambda df: conform.update_where(df, dear, {"o_orderstatus": F.lit("X")})
+    )
+    return spark.table(name).drop("o_totalprice")
+
+
 @query("SELECT count(*) AS rows FROM orders")
 def manifest_rows(spark, folder):
     listed = writers.write_with_manifest(_orders(spark, folder), run_folder(spark, "manifest"), _ORDERS)

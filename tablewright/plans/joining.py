@@ -184,16 +184,31 @@ def not_in_subquery(spark, folder):
 
 @query(
     """
-    SELECT c_custkey FROM customer
+    SELECT c_custkey, 'holds NULL' AS list FROM customer
     WHERE c_nationkey NOT IN (SELECT CASE WHEN s_acctbal > 0 THEN s_nationkey END FROM supplier)
+    UNION ALL SELECT c_custkey, 'empty' FROM customer
+    WHERE CASE WHEN c_acctbal > 0 THEN c_nationkey END NOT IN (SELECT s_nationkey FROM supplier WHERE s_suppkey < 0)
+    UNION ALL SELECT c_custkey, 'plain' FROM customer
+    WHERE CASE WHEN c_acctbal > 0 THEN c_nationkey END NOT IN (SELECT s_nationkey FROM supplier WHERE s_suppkey < 5)
     """
 )
 def not_in_list_with_null(spark, folder):
+    """NOT IN a list with a NULL (nothing passes), an empty one (a NULL passes too) and a plain one (it does not)."""
     listed = table(spark, folder, "supplier").select(
         F.when(F.col("s_acctbal") > 0, F.col("s_nationkey")).alias("nation")
     )
-    customer = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
-    return joins.not_in(customer, "c_nationkey", listed, "nation").select("c_custkey")
+    customer = table(spark, folder, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    some = customer.withColumn("c_nationkey", F.when(F.col("c_acctbal") > 0, F.col("c_nationkey")))
+    supplier = table(spark, folder, "supplier").select("s_suppkey", F.col("s_nationkey").alias("nation"))
+    parts = [
+        joins.not_in(rows, "c_nationkey", other, "nation").select("c_custkey", F.lit(name).alias("list"))
+        for name, rows, other in (
+            ("holds NULL", customer, listed),
+            ("empty", some, supplier.filter("s_suppkey < 0")),
+            ("plain", some, supplier.filter("s_suppkey < 5")),
+        )
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @query(

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablewright.operators.common import all_of, any_of
 from tablewright.operators.history import merge_totals
 from tablewright.session import settings
 
@@ -121,6 +122,31 @@ def replace_rows(df: DataFrame, name: str, scratch: str) -> None:
     spark.read.schema(df.schema).parquet(scratch).write.insertInto(name, overwrite=True)
 
 
+def change_partitions(
+    spark: SparkSession, name: str, partition_by: Sequence[str], touched: Column, change: Callable[[DataFrame], DataFrame]
+) -> int:
+    """Change rows of a partitioned table by rewriting only the partitions that hold a ``touched`` row.
+
+    ``change`` gets the rows of these partitions and returns what shall be there; it leaves the
+    partition columns as they are. They are written once, to the side, and moved into place when the
+    write is done. A partition without rows left is dropped. Returns how many were touched.
+    """
+    held = spark.table(name)
+    hit = held.filter(touched).select(*partition_by).distinct().collect()
+    if not hit:
+        return 0
+    same = any_of([all_of([F.col(c).eqNullSafe(F.lit(row[c])) for c in partition_by]) for row in hit])
+    rows = change(held.filter(same)).select(*held.columns)
+    left = {tuple(row) for row in rows.select(*partition_by).distinct().collect()}
+    with settings(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+        rows.write.insertInto(name, overwrite=True)
+    for row in hit:
+        if tuple(row) not in left:
+            spec = ", ".join(f"{c} = {'NULL' if row[c] is None else repr(row[c])}" for c in partition_by)
+            spark.sql(f"ALTER TABLE {name} DROP PARTITION ({spec})")
+    return len(hit)
+
+
 def truncate(spark: SparkSession, name: str) -> None:
     spark.sql(f"TRUNCATE TABLE {name}")
 

@@ -6,11 +6,10 @@ from collections.abc import Mapping
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tablewright.operators.aggregates import status_counts
 from tablewright.operators.sets import stack_all
 from tablewright.session import run_folder
 from tablewright.sources.readers import CORRUPT
@@ -33,34 +32,45 @@ def read_marked(
     )
 
 
-def parsed_rows(
+def _counted(marked: DataFrame) -> tuple[DataFrame, Observation]:
+    """Rows that are counted, valid, corrupt and all, by the write that they go through."""
+    seen, bad = Observation(), F.col(CORRUPT).isNotNull()
+    counts = F.count_if(~bad).alias("valid"), F.count_if(bad).alias("corrupt"), F.count(F.lit(1)).alias("total")
+    return marked.observe(seen, *counts), seen
+
+
+def counted_rows(
     spark: SparkSession, path: str, fmt: str, schema: StructType | str, **options
-) -> DataFrame:
-    """Marked rows, written once to the shared folder.
+) -> dict[str, int]:
+    """Valid, corrupt and all rows of a source, from one parse of whole rows; nothing is written.
 
-    Reading the text again with fewer columns would parse less and find fewer bad
-    rows, so every later count works on the rows as parsed whole.
+    Reading with fewer columns would parse less and find fewer bad rows.
     """
-    place = run_folder(spark, "parsed")
-    marked = read_marked(spark, path, fmt, schema, **options)
-    marked.write.parquet(place)
-    return spark.read.schema(marked.schema).parquet(place)
+    rows, seen = _counted(read_marked(spark, path, fmt, schema, **options))
+    rows.write.format("noop").mode("overwrite").save()
+    return dict(seen.get)
 
 
 def read_with_quality(
     spark: SparkSession, path: str, fmt: str, schema: StructType | str, **options
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Valid rows, corrupt rows and a report of both."""
-    rows = parsed_rows(spark, path, fmt, schema, **options)
-    valid = rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    corrupt = rows.filter(F.col(CORRUPT).isNotNull())
-    return valid, corrupt, quality_report(rows)
+    """Valid rows, corrupt rows and a report (status, count) of both.
+
+    The source is parsed once: valid and corrupt rows are written to folders of their own in the shared folder and
+    counted on the way, so the report reads nothing and valid rows are read without the others.
+    """
+    place = run_folder(spark, "parsed")
+    marked = read_marked(spark, path, fmt, schema, **options)
+    rows, seen = _counted(marked)
+    rows.withColumn("__bad", F.col(CORRUPT).isNotNull()).write.partitionBy("__bad").parquet(place)
+    kept = spark.read.schema(StructType([*marked.schema.fields]).add("__bad", "boolean")).parquet(place)
+    valid = kept.filter(~F.col("__bad")).drop(CORRUPT, "__bad")
+    return valid, kept.filter("__bad").drop("__bad"), quality_report(spark, seen.get)
 
 
-def quality_report(rows: DataFrame) -> DataFrame:
-    """Counts of valid, corrupt and all rows, from one pass."""
-    bad = F.col(CORRUPT).isNotNull()
-    return status_counts(rows, {"valid": ~bad, "corrupt": bad})
+def quality_report(spark: SparkSession, counts: Mapping[str, int]) -> DataFrame:
+    """(status, count) of valid, corrupt and all rows."""
+    return spark.createDataFrame([(k, counts[k]) for k in ("valid", "corrupt", "total")], "status string, count bigint")
 
 
 def strict_load(spark: SparkSession, path: str, fmt: str, schema: StructType | str, **options) -> str:
@@ -86,33 +96,15 @@ def read_mode_report(
     One permissive parse tells the rows DROPMALFORMED keeps and whether FAILFAST
     gets through, so the text is not read again for either.
     """
-    rows = parsed_rows(spark, path, fmt, schema, **options)
-    bad = F.col(CORRUPT).isNotNull()
-    counts = rows.agg(
-        F.count_if(~bad).alias("valid"), F.count_if(bad).alias("corrupt"), F.count(F.lit(1)).alias("total")
-    )
-    none = F.lit(0).cast("bigint")
-    failed = F.col("corrupt") > 0
-
-    def line(mode: str, status, count):
-        return F.struct(F.lit(mode).alias("mode"), status.alias("status"), count.alias("count"))
-
-    def full(mode: str, valid, corrupt, total):
-        return [
-            line(mode, F.lit("valid"), valid),
-            line(mode, F.lit("corrupt"), corrupt),
-            line(mode, F.lit("total"), total),
-        ]
-
-    valid = F.col("valid")
-    strict = F.when(failed, F.array(line("FAILFAST", F.lit("load_failed"), none))).otherwise(
-        F.array(*full("FAILFAST", valid, none, valid))
-    )
-    lenient = F.array(
-        *full("PERMISSIVE", valid, F.col("corrupt"), F.col("total")),
-        *full("DROPMALFORMED", valid, none, valid),
-    )
-    return counts.select(F.inline(F.concat(lenient, strict)))
+    counts = counted_rows(spark, path, fmt, schema, **options)
+    valid, corrupt, total = counts["valid"], counts["corrupt"], counts["total"]
+    lines = []
+    for mode, whole in (("PERMISSIVE", (valid, corrupt, total)), ("DROPMALFORMED", (valid, 0, valid)), ("FAILFAST", (valid, 0, valid))):
+        if mode == "FAILFAST" and corrupt:
+            lines.append((mode, "load_failed", 0))
+        else:
+            lines += [(mode, status, n) for status, n in zip(("valid", "corrupt", "total"), whole)]
+    return spark.createDataFrame(lines, "mode string, status string, count bigint")
 
 
 class TooManyRejects(RuntimeError):

@@ -8,7 +8,7 @@ from tests.compare import compare, connect
 from tests.helpers import plan
 
 PYTHON = {
-    "month_by_registered_function", "words_by_table_function", "partition_summaries", "stream_running_totals",
+    "month_by_registered_function", "words_by_table_function", "stream_running_totals",
 }
 NO_PYTHON = ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "MapInArrow")
 
