@@ -8,6 +8,7 @@ whose interval it is in. URLs are never shuffled.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
@@ -38,23 +39,50 @@ def reversed_host(host: str) -> str:
     return "".join(f"{label}." for label in reversed(host.split(".")))
 
 
+class PathRules:
+    """The rules of one host by path, each with the one that most closely encloses it."""
+
+    def __init__(self, rules: Sequence[tuple[str, object]]):
+        rules = sorted(rules, key=lambda r: r[0])
+        self.paths = [path for path, _ in rules]
+        self.payloads = [payload for _, payload in rules]
+        self.above: list[int] = []
+        stack: list[int] = []
+        for k, path in enumerate(self.paths):
+            while stack and not path.startswith(self.paths[stack[-1]]):
+                stack.pop()
+            self.above.append(stack[-1] if stack else -1)
+            stack.append(k)
+
+    def fitting(self, path: str) -> Iterator[object]:
+        """Payloads of all rules that ``path`` begins with, the longest first.
+
+        Whatever stands between a rule and a path that begins with it begins with it as well, so these rules
+        enclose the last one that is not behind the path.
+        """
+        k = bisect_right(self.paths, path) - 1
+        while k >= 0 and not path.startswith(self.paths[k]):
+            k = self.above[k]
+        while k >= 0:
+            yield self.payloads[k]
+            k = self.above[k]
+
+
 def sweep(
     keys: Iterator[tuple[str, str]], rules: Sequence[tuple[str, str, object]]
 ) -> Iterator[list[object]]:
     """For each (host key, path) in sorted order, the payloads of all rules that fit.
 
-    ``rules`` are (host key, path prefix, payload) in sorted order. The outer stack holds rule
-    hosts whose interval the sweep is in; for one host its rules' paths are swept the same way.
+    ``rules`` are (host key, path prefix, payload) in sorted order. The stack holds rule hosts whose
+    interval the sweep is in; the paths of a host's rules are nested intervals too, sorted
+    once, and a path finds the innermost one by bisection.
     """
-    at, hosts, inner = 0, [], None
     by_host: dict[str, list] = {}
-    order = []
     for key, path, payload in rules:
-        if key not in by_host:
-            by_host[key] = []
-            order.append(key)
-        by_host[key].append((path, payload))
-    last = None
+        by_host.setdefault(key, []).append((path, payload))
+    order = list(by_host)
+    nested = {key: PathRules(own) for key, own in by_host.items()}
+    at, hosts, last = 0, [], None
     for key, path in keys:
         if key != last:
             while hosts and not key.startswith(hosts[-1]):
@@ -63,20 +91,8 @@ def sweep(
                 if key.startswith(order[at]):
                     hosts.append(order[at])
                 at += 1
-            inner = [[0, sorted(by_host[h], key=lambda r: r[0]), []] for h in hosts]
             last = key
-        found = []
-        for state in inner:
-            nxt, paths, stack = state
-            while stack and not path.startswith(stack[-1][0]):
-                stack.pop()
-            while nxt < len(paths) and paths[nxt][0] <= path:
-                if path.startswith(paths[nxt][0]):
-                    stack.append(paths[nxt])
-                nxt += 1
-            state[0] = nxt
-            found.extend(payload for _, payload in stack)
-        yield found
+        yield [payload for host in hosts for payload in nested[host].fitting(path)]
 
 
 def _judge(rules, place: int):

@@ -551,3 +551,29 @@ def test_forced_cuts_change_nothing():
         whole = encoder.merged(list(symbols))
         assert [i for part in encoder.fragments(symbols) for i in encoder.merged(list(part))] == whole
         assert encoder._merged_long(symbols) == whole
+
+
+def test_nested_rules_of_one_host_equal_brute_force():
+    from tablewright.llm.url_filter import reversed_host, sweep
+
+    rng = np.random.default_rng(8)
+    paths = ["/" + "".join(rng.choice(list("ab/é"), rng.integers(0, 6))) for _ in range(300)]
+    rules = sorted((reversed_host("x.com"), path, k) for k, path in enumerate(paths))
+    rules += [(reversed_host("y.com"), "/", 999)]
+    keys = sorted((reversed_host(f"{h}.com"), "/" + "".join(rng.choice(list("ab/é"), rng.integers(0, 9)))) for h in ("x", "a.x", "b.x", "z", "y") for _ in range(80))
+    for (key, path), found in zip(keys, sweep(iter(keys), rules)):
+        assert sorted(found) == sorted(p for host, start, p in rules if key.startswith(host) and path.startswith(start))
+
+
+def test_work_grows_with_tags_and_rules_only():
+    """Many unclosed tags, and many rules on a host with many subdomains: no scan of all of them each time."""
+    import time
+
+    from tablewright.llm.url_filter import reversed_host, sweep
+
+    begin = time.process_time()
+    html_extract.Tree("<div>word</b>" * 60_000)
+    rules = sorted((reversed_host("com"), f"/{k}/", k) for k in range(40_000))
+    keys = sorted((reversed_host(f"h{k}.com"), f"/{k}/a") for k in range(20_000))
+    assert sum(map(len, sweep(iter(keys), rules))) == 20_000
+    assert time.process_time() - begin < 20  # square work would take many minutes
