@@ -73,6 +73,7 @@ class Tree:
     def __init__(self, page: str):
         self.parent, self.tags, self.features, self.text = [], [], [], []
         self.open: list[tuple[str, int]] = []  # inline elements carry their block's number
+        self.times: Counter = Counter()  # how often each tag is open
         self.parts, self.linked, self.links, self.hidden = [], 0, 0, 0
         self._node(-1, "root", ())
         for found in PARTS.finditer(page):
@@ -120,30 +121,35 @@ class Tree:
             return
         if tag in HIDDEN:
             if not rest.endswith("/"):
-                self.open.append((tag, self._block()))
+                self._push(tag, self._block())
                 self.hidden += 1
             return
         if tag in INLINE:
-            self.open.append((tag, self._block()))
+            self._push(tag, self._block())
             self.links += tag == "a"
             return
         self._flush()
-        if any(t == "p" for t, _ in self.open):
+        if self.times["p"]:
             self._close("p")
         ends = ENDS.get(tag)
         while ends and self.open and (self.open[-1][0] in ends or self.open[-1][0] in INLINE):
             self._pop()
         names = {n for m in NAMES.findall(rest) for n in re.split(r"[^a-z]+", m.lower()) if n}
         seen = (f"tag {tag}", *(f"name {n}" for n in sorted(names)))
-        self.open.append((tag, self._node(self._block(), tag, seen)))
+        self._push(tag, self._node(self._block(), tag, seen))
+
+    def _push(self, tag: str, block: int) -> None:
+        self.open.append((tag, block))
+        self.times[tag] += 1
 
     def _pop(self) -> None:
         tag, _ = self.open.pop()
+        self.times[tag] -= 1
         self.links -= tag == "a"
         self.hidden -= tag in HIDDEN
 
     def _close(self, tag: str) -> None:
-        if not any(t == tag for t, _ in self.open):
+        if not self.times[tag]:
             return
         if tag not in INLINE and tag not in HIDDEN:
             self._flush()
