@@ -154,3 +154,45 @@ def stream_corrected_totals(spark, folder):
     """Totals of all closed days, with what came late."""
     made = _corrected(spark, folder).totals()
     return made.select(F.date_format("start", "yyyy-MM-dd").alias("day"), "event_type", "rows", "cents")
+
+
+@query(
+    """
+    SELECT user_id, event_id, event_type FROM events
+    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
+    """
+)
+def stream_latest_over_batches(spark, folder):
+    """The latest event of every user over four batches: appended, compacted twice, and merged on reading."""
+    place = run_folder(spark, "latest")
+    schema = "user_id bigint, event_id bigint, event_type string"
+    kept = changes.ChangedTable(spark, f"{place}/table", schema, ["user_id"], piece_rows=1_000)
+    rows = table(spark, folder, "events").select(*schema.replace(",", "").split()[::2], "ts")
+
+    def start():
+        stream = running.file_stream(spark, f"{place}/in/*", f"{schema}, ts timestamp_ntz")
+        moment = F.unix_micros(F.col("ts").cast("timestamp"))
+        return changes.change_stream(stream, kept, f"{place}/checkpoint", moment, F.lit(False), compact_every=2)
+
+    _run_drops(rows.withColumn("batch", _slot()), place, 4, start)
+    return kept.read()
+
+
+@query(
+    """
+    SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS start, event_type, count(*) AS events
+    FROM events WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events) GROUP BY 1, 2
+    """
+)
+def stream_tumbling_over_batches(spark, folder):
+    """Hourly counts over four batches: windows that go over a batch's end are in state until they are passed."""
+    place = run_folder(spark, "tumbling")
+
+    def start():
+        stream = windows.event_time(running.file_stream(spark, f"{place}/in/*", _EVENTS), "ts", "1 hour")
+        made = windows.windowed(stream, "ts", ["event_type"], {"events": F.count(F.lit(1))}, "1 hour")
+        stamped = made.withColumn("start", F.date_format("start", "yyyy-MM-dd HH:mm:ss")).drop("end")
+        return running.run_to_files(stamped, f"{place}/out")
+
+    _run_drops(table(spark, folder, "events").withColumn("batch", _slot()), place, 4, start)
+    return spark.read.schema("start string, event_type string, events bigint").parquet(f"{place}/out/rows")
