@@ -204,8 +204,9 @@ def rank_rows(
         w = Window.partitionBy(*parts).orderBy(place)
         total = Window.partitionBy(*parts).orderBy(place, *tie_break)
         tied = w.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-        made = F.row_number().over(total), F.rank().over(w), F.dense_rank().over(w), F.count(F.lit(1)).over(tied)
-        return rows.withColumns({k: m.cast("bigint") for k, m in zip(("__unique", "__rank", "__dense", "__modified"), made)})
+        numbered = rows.withColumn("__unique", F.row_number().over(total).cast("bigint"))  # its sort serves the others
+        made = {"__rank": F.rank().over(w), "__dense": F.dense_rank().over(w), "__modified": F.count(F.lit(1)).over(tied)}
+        return numbered.withColumns({kind: m.cast("bigint") for kind, m in made.items()})
 
     def named(rows: DataFrame) -> DataFrame:
         return rows.withColumns({name: F.col(kind) for name, kind in wanted.items()}).select(*names)
@@ -214,14 +215,20 @@ def rank_rows(
     if large is None:
         return named(ranked(small, *keys))
     inside = ranked(large, SLICE, GROUP)
-    # Per stretch: its rows and values, and the first and last value with their places.
+    # Per stretch: its rows and values, and the first and last value with their places. From counted
+    # values, so that the rows are sorted once.
     value = F.struct(F.col(by).alias("v"))
-    facts = inside.groupBy(SLICE, GROUP).agg(
-        F.max("__unique").alias("n"),
-        F.max("__dense").alias("values"),
-        F.min_by(F.struct(value.alias("v"), "__rank", "__modified"), "__unique").alias("first"),
-        F.max_by(F.struct(value.alias("v"), "__rank", "__modified"), "__unique").alias("last"),
+    counted = large.groupBy(SLICE, GROUP, value.alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    low, high = F.min(F.struct("v", "c")), F.max(F.struct("v", "c"))
+    facts = counted.groupBy(SLICE, GROUP).agg(
+        F.sum("c").alias("n"),
+        F.count(F.lit(1)).alias("values"),
+        (high if descending else low).alias("f"),
+        (low if descending else high).alias("l"),
     )
+    first = F.struct("f.v", F.lit(1).cast("bigint").alias("__rank"), F.col("f.c").alias("__modified"))
+    last = F.struct("l.v", (F.col("n") - F.col("l.c") + 1).alias("__rank"), F.col("n").alias("__modified"))
+    facts = facts.select(SLICE, GROUP, "n", "values", first.alias("first"), last.alias("last"))
     along = Window.partitionBy(GROUP).orderBy(SLICE)
     earlier = along.rowsBetween(Window.unboundedPreceding, -1)
     goes_on = F.coalesce(F.lag("last.v").over(along) == F.col("first.v"), F.lit(False)).cast("int")
