@@ -298,3 +298,35 @@ def test_gathered_and_ruled_layout(spark):
     ruled = layout.partition_numbers(layout.spread_by_rule(df, F.col("id") % 5, 4))
     spread = ruled.groupBy(F.col("id") % 5).agg(F.count_distinct("partition").alias("n"))
     assert spread.filter("n <> 1").isEmpty()
+
+
+def test_only_touched_partitions_are_written(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a", 1), (2, "a", 5), (3, "b", 5), (4, None, 5), (5, "c'", 5)], "id int, k string, v int")
+    folder = tmp_path / "t"
+    writers.save_table(df.select("id", "v", "k"), "touched", path=str(folder), partition_by=["k"])
+
+    def files():
+        return {str(f) for f in folder.rglob("*.parquet")}
+
+    before = files()
+    gone = F.col("v") < 5
+    assert writers.change_partitions(spark, "touched", ["k"], gone, lambda rows: rows.filter(~gone)) == 1
+    kept = files()
+    assert {f for f in before if "/k=a/" not in f} == {f for f in kept if "/k=a/" not in f}
+    assert rows(spark.table("touched").select("id", "k")) == [(2, "a"), (3, "b"), (4, None), (5, "c'")]
+    # a partition that loses all rows is dropped, also that of NULL
+    last = F.col("id") >= 3
+    assert writers.change_partitions(spark, "touched", ["k"], last, lambda rows: rows.filter(~last)) == 3
+    assert rows(spark.table("touched").select("id", "k")) == [(2, "a")]
+    assert writers.change_partitions(spark, "touched", ["k"], F.lit(False), lambda rows: rows) == 0
+    spark.sql("DROP TABLE touched")
+
+
+def test_rows_are_counted_without_being_written(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("1,a\nno,b\n3,c\n")
+    got = quality.counted_rows(spark, str(tmp_path / "x.csv"), "csv", "id int, name string")
+    assert got == {"valid": 2, "corrupt": 1, "total": 3}
+    (tmp_path / "none.csv").write_text("")
+    valid, corrupt, report = quality.read_with_quality(spark, str(tmp_path / "none.csv"), "csv", "id int, name string")
+    assert valid.isEmpty() and corrupt.isEmpty()
+    assert rows(report) == [("corrupt", 0), ("total", 0), ("valid", 0)]
