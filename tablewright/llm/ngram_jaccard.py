@@ -411,8 +411,28 @@ def open_pairs(
     # one below the smallest size of the class: rounding must never shorten a prefix
     lower = F.greatest(least, F.floor(F.pow(F.lit(CLASS), F.col("class"))) - 1)
     large = large.filter(F.col("place") <= first(lower))
-    x, y = small.alias("x"), large.alias("y")
-    met = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.class") == F.col("y.class"))).filter(
-        "x.component <> y.component AND (x.n < y.n OR x.n = y.n AND x.rep < y.rep)"
+    names = ("token", "class", "rep", "n", "component")
+    role = F.lit(0).alias("role"), F.lit(1).alias("role")
+    listed = stored(small.select(*names, role[0]).unionByName(large.select(*names, role[1])), "jaccard-listed")
+    # As before, the largest component of a list is only compared with what stands outside it.
+    largest = stored(
+        listed.groupBy("token", "class", "component")
+        .agg(F.count(F.lit(1)).alias("c"))
+        .groupBy("token", "class")
+        .agg(F.max(F.struct("c", "component")).alias("top"), F.count(F.lit(1)).alias("parts"))
+        .filter("parts > 1")
+        .select("token", "class", F.col("top.component").alias("major")),
+        "jaccard-largest",
     )
-    return met.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
+    listed = listed.join(largest, ["token", "class"])
+    outside = F.col("component") != F.col("major")
+    small, large = listed.filter("role = 0"), listed.filter("role = 1")
+    pairs = None
+    for one, other in ((small.filter(outside), large), (small.filter(~outside), large.filter(outside))):
+        x, y = one.alias("x"), other.alias("y")
+        met = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.class") == F.col("y.class"))).filter(
+            "x.component <> y.component AND (x.n < y.n OR x.n = y.n AND x.rep < y.rep)"
+        )
+        met = met.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
+        pairs = met if pairs is None else pairs.unionByName(met)
+    return pairs.distinct()
