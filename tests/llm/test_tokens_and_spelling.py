@@ -45,12 +45,13 @@ def plain_alignment(texts):
         if not text or not b"".join(a_bytes) == b"".join(b_bytes) == (" " + text).encode():
             a, b, a_bytes, b_bytes = [], [], [], []
         a_ends, b_ends = np.cumsum([len(x) for x in a_bytes]).tolist(), np.cumsum([len(x) for x in b_bytes]).tolist()
-        cuts, groups, low = sorted(set(a_ends) & set(b_ends)), [], 0
+        cuts, groups, low = sorted(set(a_ends) & set(b_ends)), [], (0, 0)
+        links.append([])
         for cut in cuts:
-            sides = [[str(k) for k, end in zip(ids, ends) if low < end <= cut] for ids, ends in ((a, a_ends), (b, b_ends))]
-            groups.append("|".join(",".join(side) for side in sides))
-            low = cut
-        links.append([(a[a_ends.index(cut)], b[b_ends.index(cut)]) for cut in cuts])
+            upto = a_ends.index(cut, low[0]) + 1, b_ends.index(cut, low[1]) + 1
+            groups.append(",".join(map(str, a[low[0] : upto[0]])) + "|" + ",".join(map(str, b[low[1] : upto[1]])))
+            links[-1].append((a[upto[0] - 1], b[upto[1] - 1]))
+            low = upto
         count.update(links[-1])
         written = ";".join(groups)
         out.append([len(a), len(b), len(groups), len(cuts), hashlib.sha256(written.encode()).hexdigest() if a else "", written])
