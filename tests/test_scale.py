@@ -45,6 +45,15 @@ def test_band_join_is_checked_before_pairs_are_made(sides):
     assert ranges.band_join(points.limit(0), "x", bands.drop("g"), "low", "high", 0).isEmpty()
 
 
+def test_a_grid_of_many_heavy_ranges_is_no_part_of_the_plan(spark):
+    """The sizes of the blocks come by a join: as nested conditions they grew past what can be compiled."""
+    points = spark.range(1000).select("id", (F.col("id") % 250).cast("double").alias("x"))
+    bands = spark.range(200).select(F.col("id").alias("j"), F.col("id").cast("double").alias("low"), (F.col("id") + 3.0).alias("high"))
+    made = ranges.band_join(points, "x", bands, "low", "high", 10**6, slices=64, task_pairs=4)
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("__range") < 100
+    assert made.count() == 200 * 4 * 4 == made.select("id", "j").distinct().count()
+
+
 def test_stretches_follow_the_order(spark):
     df = spark.createDataFrame([(None, 1), (1, 2), (1, 3), (1, 4), (2, 5), (7, 6)], "a int, b int")
     for order, want in ((["a", "b"], [0, 1, 2, 3, 4, 5]), ([F.col("a").desc(), "b"], [5, 2, 3, 4, 1, 0])):
