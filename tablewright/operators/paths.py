@@ -8,13 +8,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.operators.graph import connected_components, vertices_of
-from tablewright.operators.slices import large_groups
+from tablewright.operators.slices import large_groups, number_of_tasks
 from tablewright.session import settle
 
+LIST = 10_000  # targets that a row of a vertex's edges may hold
+
 
 def shortest_paths(edges: DataFrame, sources: DataFrame, width: float | None = None) -> DataFrame:
     """(id, distance): the least sum of weights on a way from any source, for every vertex that has one.
@@ -128,33 +131,47 @@ def pagerank_by_residuals(
     residual is above ``tol``, adds it to their rank and sends it along their edges, damped. What is left
     unsent is at most ``tol`` a vertex. Repeated edges count once; a vertex without out-edges
     spreads what it sends over all, which is kept as one number for the whole table.
+
+    Edges are kept as lists of about ``LIST`` targets at the most, dealt once, so that a round moves vertices and
+    not edges. A vertex on more than ``share`` of the edges has ``cells`` lists at the least.
     """
     links = settle(edges.select("src", "dst").distinct())
     out = links.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("out"))
     nodes = vertices_of(links).join(out, "id", "left")
     state = settle(nodes.select("id", "out", F.lit(0.0).alias("rank"), F.lit(1.0 - damping).alias("residual")))
-    count = state.count()
-    dealt, there = with_cells(links, "src", cells, share)
-    dealt = settle(dealt)
+    count, rows = state.agg(F.count(F.lit(1)), F.sum("out")).first()
+    hub = F.when(F.col("out") > share * (rows or 0), cells).otherwise(1)
+    parts = F.greatest(F.ceil(F.col("out") / LIST).cast("int"), hub)
+    sized = links.join(state.select(F.col("id").alias("src"), parts.alias("parts")), "src")
+    dealt = sized.select("src", F.pmod(F.xxhash64("dst"), F.col("parts")).cast("int").alias("cell"), "dst")
+    # the number of partitions is named so that a round's join finds the lists where they are
+    placed = dealt.repartition(number_of_tasks(links), "src", "cell")
+    lists = placed.groupBy("src", "cell").agg(F.collect_list("dst").alias("to")).persist(StorageLevel.MEMORY_AND_DISK)
     spread = 0.0  # that every vertex has got since the state was written
-    while True:
-        state = state.withColumn("residual", F.col("residual") + F.lit(spread))
-        moving = state.filter(F.col("residual") > tol)
-        stuck = moving.filter("out IS NULL").agg(F.sum("residual"), F.count(F.lit(1))).first()
-        active = moving.agg(F.count(F.lit(1))).first()[0]
-        if not active:
-            return state.select("id", (F.col("rank") + F.col("residual")).alias("rank"))
-        spread = damping * float(stuck[0] or 0.0) / count
-        shares = moving.filter("out IS NOT NULL").select(
-            F.col("id").alias("src"), (F.col("residual") * damping / F.col("out")).alias("share"), F.explode(there).alias("cell")
-        )
-        got = dealt.join(shares, ["src", "cell"]).groupBy(F.col("dst").alias("id")).agg(F.sum("share").alias("got"))
-        sent = F.col("residual") > tol
-        state = settle(
-            state.join(got, "id", "left").select(
-                "id",
-                "out",
-                F.when(sent, F.col("rank") + F.col("residual")).otherwise(F.col("rank")).alias("rank"),
-                (F.when(sent, 0.0).otherwise(F.col("residual")) + F.coalesce("got", F.lit(0.0))).alias("residual"),
+    moves = F.col("residual") > tol
+    try:
+        while True:
+            state = state.withColumn("residual", F.col("residual") + F.lit(spread))
+            stuck, active = state.filter(moves).agg(
+                F.sum(F.when(F.col("out").isNull(), F.col("residual"))), F.count(F.lit(1))
+            ).first()
+            if not active:
+                return state.select("id", (F.col("rank") + F.col("residual")).alias("rank"))
+            spread = damping * float(stuck or 0.0) / count
+            shares = state.filter(moves & F.col("out").isNotNull()).select(
+                F.col("id").alias("src"),
+                (F.col("residual") * damping / F.col("out")).alias("share"),
+                F.explode(F.sequence(F.lit(0), parts - 1)).alias("cell"),
             )
-        )
+            sent = lists.join(shares, ["src", "cell"]).select(F.explode("to").alias("id"), "share")
+            got = sent.groupBy("id").agg(F.sum("share").alias("got"))
+            state = settle(
+                state.join(got, "id", "left").select(
+                    "id",
+                    "out",
+                    F.when(moves, F.col("rank") + F.col("residual")).otherwise(F.col("rank")).alias("rank"),
+                    (F.when(moves, 0.0).otherwise(F.col("residual")) + F.coalesce("got", F.lit(0.0))).alias("residual"),
+                )
+            )
+    finally:
+        lists.unpersist()

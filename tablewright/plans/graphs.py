@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tablewright.operators import graph, paths
 from tablewright.operators.common import cents
 from tablewright.plans.registry import query, table
+from tablewright.session import settle
 
 _FAR = 1_000_000_000_000  # moves the ids of the second and third kind of vertex out of the way
 
@@ -101,10 +102,10 @@ def pagerank_of_changing_vertices(spark, folder):
     trade = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("o_custkey").alias("src"), (F.col("l_suppkey") + _FAR).alias("dst")
     )
-    edges = graph.both_ways(trade.distinct())
+    edges = settle(graph.both_ways(trade.distinct()).distinct())
     tol = 0.02
     ranks = paths.pagerank_by_residuals(edges, tol)
-    degrees = edges.distinct().groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("degree"))
+    degrees = edges.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("degree"))
     suppliers = F.when(F.col("id") >= _FAR, 1)
     facts = ranks.join(degrees, "id").agg(
         F.count(F.lit(1)).alias("vertices"),

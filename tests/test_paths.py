@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablewright.operators import graph, paths
-from tests.helpers import rows
+from tests.helpers import plan, rows
 
 
 @pytest.fixture(scope="module")
@@ -92,3 +92,21 @@ def test_residual_pagerank_agrees_with_rounds(spark, links):
     want = {r["id"]: r["rank"] for r in graph.pagerank(edges, 60).collect()}
     got = {r["id"]: r["rank"] for r in paths.pagerank_by_residuals(edges, 1e-4, share=0.05, cells=3).collect()}
     assert got.keys() == want.keys() and max(abs(got[v] - want[v]) for v in want) < 0.02
+
+
+def test_rounds_of_residual_pagerank_move_vertices_not_edges(spark, monkeypatch):
+    """Lists of targets are bounded, and a round joins those that were dealt once."""
+    monkeypatch.setattr(paths, "LIST", 4)
+    links = {(0, k) for k in range(1, 20)} | {(k, 0) for k in range(1, 20, 2)} | {(k, k + 1) for k in range(1, 20)}
+    plans, settle = [], paths.settle
+    monkeypatch.setattr(paths, "settle", lambda df: plans.append(plan(df)) or settle(df))
+    df = spark.createDataFrame([*links, (0, 1)], "src long, dst long")
+    got = {r["id"]: r["rank"] for r in paths.pagerank_by_residuals(df, 0.01).collect()}
+    rank = dict.fromkeys(range(21), 1.0)
+    for _ in range(100):
+        sent = dict.fromkeys(rank, 0.15 + 0.85 * rank[20] / len(rank))
+        for a, b in links:
+            sent[b] += 0.85 * rank[a] / sum(1 for x, _ in links if x == a)
+        rank = sent
+    assert got.keys() == rank.keys() and max(abs(got[v] - rank[v]) for v in rank) < 0.2
+    assert len(plans) > 2 and all("InMemoryTableScan" in p and "collect_list" in p for p in plans[2:])
