@@ -4,17 +4,20 @@ A start is answered by the earliest end of its key that comes at most ``wait`` a
 when the watermark says that no earlier end can still arrive, so it does not depend on how the
 rows are dealt to batches or in which order they come.
 
-State is kept per key and slot, a stretch of event time ``wait`` long. An end is sent to its own
-slot and the one before, so a slot holds all that its starts may need: starts and ends of one key
-in twice the wait, however long the stream runs, and a busy key is spread over its slots. One timer per
+State is kept per share of the keys and slot, a stretch of event time ``wait`` long. An end is sent to its own
+slot and the one before, so a slot holds all that its starts may need: starts and ends of twice the wait,
+however long the stream runs, and a busy key is spread over its slots. Keys are dealt to ``SHARES`` shares
+by a hash: every call for state or a timer costs the worker a turn to the store and back, and with one
+state per key there would be as many of these as keys and slots. One timer per share and
 slot fires when its last start cannot be answered any more; then all its starts come out once and
-the slot's state is removed.
+the state is removed.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from bisect import bisect_left
+from collections import defaultdict
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -29,11 +32,14 @@ STORE = {
     )
 }
 
+SHARES = 128  # of the keys; a timer holds the rows of one share and slot in a worker's memory
+
 _MICRO = 1_000_000
+_BLOCK = 10_000  # rows that are handed to the store at once
 
 
 class WaitingStarts(StatefulProcessor):
-    """Holds a slot's starts and ends until its timer fires."""
+    """Holds the starts and ends of a share of the keys in one slot until its timer fires."""
 
     def __init__(self, wait: int):
         self.wait = wait
@@ -41,25 +47,30 @@ class WaitingStarts(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         moment = StructType([StructField("at", LongType())])
-        start = StructType([StructField("id", LongType()), StructField("at", LongType())])
+        start = StructType([StructField("key", LongType()), StructField("id", LongType()), StructField("at", LongType())])
+        end = StructType([StructField("key", LongType()), StructField("at", LongType())])
         self.due = handle.getValueState("due", moment)
         self.starts = handle.getListState("starts", start)
-        self.ends = handle.getListState("ends", moment)
+        self.ends = handle.getListState("ends", end)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         starts, ends = [], set()
         for row in rows:
+            who, at = row["__key"], row["__at"]
             if row["__is_start"]:
-                starts.append((row["__id"], row["__at"]))
-                if len(starts) >= 10_000:
+                starts.append((who, row["__id"], at))
+                if len(starts) >= _BLOCK:
                     self.starts.appendList(starts)
                     starts = []
             else:
-                ends.add(row["__at"])
+                ends.add((who, at))
+                if len(ends) >= _BLOCK:
+                    self.ends.appendList(list(ends))
+                    ends = set()
         if starts:
             self.starts.appendList(starts)
         if ends:
-            self.ends.appendList([(at,) for at in ends])
+            self.ends.appendList(list(ends))
         if not self.due.exists():
             # the slot's last start gives up here
             due = (key[-1] + 2) * self.wait
@@ -68,11 +79,16 @@ class WaitingStarts(StatefulProcessor):
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        ends = sorted(at for (at,) in self.ends.get())
-        for number, at in self.starts.get():
-            found = bisect_left(ends, at)
-            end = ends[found] if found < len(ends) and ends[found] <= at + self.wait else None
-            yield Row(__key=key[0], __id=number, start_at=at, end_at=end)
+        ends = defaultdict(list)
+        for who, at in self.ends.get():
+            ends[who].append(at)
+        for moments in ends.values():
+            moments.sort()
+        for who, number, at in self.starts.get():
+            moments = ends.get(who, ())
+            found = bisect_left(moments, at)
+            end = moments[found] if found < len(moments) and moments[found] <= at + self.wait else None
+            yield Row(__key=who, __id=number, start_at=at, end_at=end)
         for state in (self.starts, self.ends, self.due):
             state.clear()
 
@@ -97,10 +113,12 @@ def answered_starts(
     slot = F.call_function("div", _micros(at) - F.pmod(_micros(at), F.lit(width)), F.lit(width))
     # a start is needed in its own slot, an end in that and the one before
     slots = F.when(is_start, F.array(slot)).otherwise(F.array(slot, slot - 1))
+    share = F.pmod(F.xxhash64(F.col(key).cast("bigint")), F.lit(SHARES))
     rows = (
         stream.filter((is_start | is_end) & F.col(at).isNotNull())
         .select(
             F.col(key).cast("bigint").alias("__key"),
+            share.alias("__share"),
             F.col(id_col).cast("bigint").alias("__id"),
             F.col(at),
             _micros(at).alias("__at"),
@@ -108,7 +126,7 @@ def answered_starts(
             F.explode(slots).alias("__slot"),
         )
     )
-    made = rows.groupBy("__key", "__slot").transformWithState(
+    made = rows.groupBy("__share", "__slot").transformWithState(
         statefulProcessor=WaitingStarts(width),
         outputStructType="__key bigint, __id bigint, start_at bigint, end_at bigint",
         outputMode="Append",

@@ -79,6 +79,31 @@ def test_deletions_and_compaction(spark, tmp_path):
     assert table.read().filter("k = 10").isEmpty() and table.read().count() == 22
 
 
+def test_state_is_kept_per_share_of_the_keys(spark, tmp_path, monkeypatch):
+    """As many states and timers as shares and slots, however many keys there are; no key takes another's end."""
+    monkeypatch.setattr(pairing, "SHARES", 2)
+    place = str(tmp_path)
+    data = [(who, who, "on", at(0, 10 + who)) for who in range(40)]
+    data += [(100 + who, who, "off", at(1, who)) for who in range(0, 40, 2)]
+    drop(spark, place, "a", data)
+
+    def run():
+        stream = windows.event_time(running.file_stream(spark, f"{place}/in/*", EVENTS), "ts", "0 minutes")
+        made = pairing.answered_starts(
+            stream, "who", "id", "ts", F.col("kind") == "on", F.col("kind") == "off", dt.timedelta(hours=2)
+        )
+        running.finished(running.run_to_files(made, f"{place}/out"))
+
+    with settings(spark, pairing.STORE):
+        run()
+        assert pairing.state_rows(spark, f"{place}/out/checkpoint", "due").count() == 4
+        drop(spark, place, "b", [(200, 1, "on", at(9))])
+        run()
+    got = spark.read.schema("who bigint, id bigint, start_at bigint, end_at bigint").parquet(f"{place}/out/rows").collect()
+    minutes = {r["who"]: r["end_at"] and (r["end_at"] - r["start_at"]) // 60_000_000 for r in got}
+    assert len(got) == 40 and minutes == {who: None if who % 2 else 50 for who in range(40)}
+
+
 def test_a_compaction_that_was_cut_short_changes_nothing(spark, tmp_path, monkeypatch):
     table = changes.ChangedTable(spark, str(tmp_path / "t"), "k bigint, v string", ["k"])
     df = spark.createDataFrame([(1, "a"), (2, "b")], "k bigint, v string")
