@@ -4,8 +4,9 @@ A batch only appends its change rows, the latest of each key, under the batch's
 run again replaces what it wrote before. Readers put the appended changes over the table and take the
 row with the highest sequence per key; a key whose latest row is a deletion is gone. Compaction folds
 the appended changes into the table: it rewrites only the pieces (by key hash) that hold a changed
-key, into a folder of its own, and a manifest then names the folder of every piece. Files are never
-changed once written, and the manifest is written last, so a compaction that is cut short leaves the
+key, into a folder of its own, and a manifest then names the folder of every piece. A folder's files hold many
+pieces each, in their order, so there are as many files as the rows fill and a reader skips by the pieces'
+bounds what it does not want. Files are never changed once written, and the manifest is written last, so a compaction that is cut short leaves the
 table as it was. How many pieces there are follows from the rows of the table.
 """
 
@@ -27,6 +28,14 @@ PIECE_ROWS = 1_000_000
 SEQUENCE, DELETED = "__sequence", "__deleted"
 
 
+def _one_of(name: str, numbers: Sequence[int]) -> Column:
+    """True for the listed whole numbers; many of them are handed over as one text."""
+    low, high = min(numbers), max(numbers)
+    if high - low + 1 == len(set(numbers)):
+        return F.col(name).between(low, high)
+    return F.expr(f"{name} IN ({', '.join(map(str, sorted(numbers)))})")
+
+
 class ChangedTable:
     """Rows by key in ``folder``: ``changes`` (appended batches), ``pieces`` (compacted) and manifests."""
 
@@ -87,13 +96,14 @@ class ChangedTable:
         """The compacted rows of some or all pieces, with their piece."""
         schema = StructType(list(self.stored.fields)).add("place", "string").add("piece", "integer")
         by_place: dict[str, list[int]] = {}
+        chosen = set(places if wanted is None else wanted)
         for piece, place in places.items():
-            if wanted is None or piece in set(wanted):
+            if piece in chosen:
                 by_place.setdefault(place, []).append(piece)
         if not by_place:
             return self.spark.createDataFrame([], schema)
         rows = self.spark.read.schema(schema).parquet(f"{self.folder}/pieces")
-        return rows.filter(any_of([(F.col("place") == p) & F.col("piece").isin(n) for p, n in by_place.items()]))
+        return rows.filter(any_of([(F.col("place") == p) & _one_of("piece", n) for p, n in by_place.items()]))
 
     def _piece(self, pieces: int) -> Column:
         return F.pmod(F.xxhash64(*self.keys), F.lit(pieces)).cast("int")
@@ -132,9 +142,10 @@ class ChangedTable:
         folded = self.latest(old.select(*self.stored.names).unionByName(changes)).filter(~F.col(DELETED))
         place = uuid.uuid4().hex
         placed = folded.withColumn("piece", self._piece(more)).hint("rebalance", "piece")
-        write_files(placed, f"{self.folder}/pieces/place={place}", partition_by=["piece"])
+        write_files(placed.sortWithinPartitions("piece"), f"{self.folder}/pieces/place={place}")
         there = {r[0] for r in self._pieces(dict.fromkeys(touched, place)).select("piece").distinct().collect()}
-        now = {piece: where for piece, where in places.items() if piece not in set(touched)}
+        gone = set(touched)
+        now = {piece: where for piece, where in places.items() if piece not in gone}
         now |= {piece: place for piece in touched if piece in there}
         self._publish(last, more, now)
         return touched

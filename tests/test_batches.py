@@ -79,6 +79,21 @@ def test_deletions_and_compaction(spark, tmp_path):
     assert table.read().filter("k = 10").isEmpty() and table.read().count() == 22
 
 
+def test_files_of_a_changed_table_follow_rows_not_pieces(spark, tmp_path):
+    """Hundreds of pieces share files; a compaction that touches one of them leaves the others where they are."""
+    table = changes.ChangedTable(spark, str(tmp_path / "t"), "k bigint, v string", ["k"], piece_rows=4)
+    table.append(0, spark.range(1500).selectExpr("id AS k", "'a' AS v"), F.lit(1), F.lit(False))
+    table.compact()
+    _, pieces, places = table.manifest()
+    assert pieces == 512 and len(list((tmp_path / "t" / "pieces").rglob("*.parquet"))) <= 8
+    table.append(1, spark.createDataFrame([(7, "b"), (9, None)], "k bigint, v string"), F.lit(2), F.col("k") == 9)
+    assert len(table.compact()) <= 2
+    now = table.manifest()[2]
+    assert sum(now.get(piece) != place for piece, place in places.items()) <= 2
+    got = dict(table.read().collect())
+    assert got == {k: "b" if k == 7 else "a" for k in range(1500) if k != 9}
+
+
 def test_state_is_kept_per_share_of_the_keys(spark, tmp_path, monkeypatch):
     """As many states and timers as shares and slots, however many keys there are; no key takes another's end."""
     monkeypatch.setattr(pairing, "SHARES", 2)
