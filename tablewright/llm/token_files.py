@@ -12,14 +12,19 @@ and reads files whole, so a file is kept to a few million ids; a longer document
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import struct
 import zlib
 from array import array
+from codecs import charmap_decode
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -31,15 +36,48 @@ HEAD = "<4sIIIII"  # magic, vocabulary size, file, place, documents, bytes of th
 HEAD_SIZE = struct.calcsize(HEAD)
 MAGIC = b"TKR1"
 FILE_IDS = 8 << 20
-KEPT_WORDS, KEPT_LENGTH = 500_000, 32  # words whose ids a worker remembers, and their longest
-PIECE = 1 << 20
+KEPT_WORDS, KEPT_RUNS, KEPT_LENGTH = 500_000, 800_000, 32  # words and runs whose ids a worker remembers, and their longest
+PIECE = 4 << 20  # bytes of text that are looked up at a time
+#: How a tokenizer must treat words for ``PLAIN`` ones to be cut here: case, composed forms and white space, then runs.
+LAYOUT = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [
+            {"type": "NFC"},
+            {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+            {"type": "Lowercase"},
+        ],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "post_processor": None,
+}
+#: Words of ASCII characters but the apostrophe, and of letters of Latin-1: composed, and with one lower case each.
+PLAIN = re.compile(r"[!-&(-~\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]*").fullmatch
+RUNS = re.compile(r"[a-z\u00DF-\u00F6\u00F8-\u00FF]+|[0-9]|[!-/:-@\[-`{-~]+").findall
+#: The characters that stand for the 256 bytes in byte-level models: a printable one of Latin-1 for itself.
+PRINTED = [b for b in range(256) if chr(b).isprintable() and b != 0x20]
+BYTE_LETTERS = "".join(chr(b if b in PRINTED else 256 + b - sum(x < b for x in PRINTED)) for b in range(256))
+
 
 
 class WordIds:
     """Ids of texts by the tokenizers library, word by word.
 
     The tokenizer must never join what stands on both sides of a space, a tab or a line feed,
-    as is the case where its pattern drops white space. Words that come again are looked up.
+    as is the case where its pattern drops white space. Words that come again are looked up. Where the
+    tokenizer cuts and maps words as ``LAYOUT`` says, new ones of plain characters are cut into runs of letters,
+    digits and runs of signs here, which the library's model has to see once each.
     """
 
     def __init__(self, path: str):
@@ -53,54 +91,107 @@ class WordIds:
         self.kind = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         self.code = "H" if self.size <= 1 << 16 else "I"
         self.kept: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        added = [re.escape(token.content) for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(added) or "(?!)").search
+        parts = json.loads(self.tokenizer.to_str())
+        self.plain = {name: parts[name] for name in LAYOUT} == LAYOUT
+
+    def _part(self, part: str) -> bytes:
+        """The ids of a run that the tokenizer's pattern takes as a whole."""
+        ids = self.parts.get(part)
+        if ids is None:
+            letters = charmap_decode(part.encode(), "strict", BYTE_LETTERS)[0]
+            ids = array(self.code, [token.id for token in self.model.tokenize(letters)]).tobytes()
+            if len(part) <= KEPT_LENGTH:
+                self.parts[part] = ids
+        return ids
+
+    def learn(self, fresh: list[str]) -> None:
+        """Keep the ids of words that are new."""
+        kept, others = self.kept, fresh
+        if self.plain:
+            if len(self.parts) > KEPT_RUNS:
+                self.parts = {}
+            others, get, part, added = [], self.parts.get, self._part, self.added
+            for word in fresh:
+                if PLAIN(word) and not added(word):
+                    kept[word] = b"".join([get(run) or part(run) for run in RUNS(word.lower())])
+                else:
+                    others.append(word)
+        for word, found in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False)):
+            kept[word] = array(self.code, found.ids).tobytes()
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """The ids of every text as little-endian numbers."""
+        ids, ends = self.column(pa.array(texts, pa.large_string()))
+        return [own.tobytes() for own in np.split(ids, ends[:-1])] if texts else []
+
+    def column(self, texts: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, place after each text), each with the id ``end`` behind it. Null is empty."""
         if len(self.kept) > KEPT_WORDS:
             self.kept = {}
-        kept = self.kept
-        split = [text.replace("\n", " ").replace("\t", " ").split(" ") for text in texts]
-        fresh = list(set().union(*split).difference(kept))
-        for word, found in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)):
-            kept[word] = array(self.code, found.ids).tobytes()
-        out = [b"".join(map(kept.__getitem__, words)) for words in split]
+        flat = pc.fill_null(texts.cast(pa.large_string()), "")
+        flat = pc.replace_substring(pc.replace_substring(flat, "\n", " "), "\t", " ")
+        split = pc.split_pattern(flat, " ")
+        words = split.flatten().dictionary_encode()
+        known, kept = words.dictionary.to_numpy(zero_copy_only=False).tolist(), self.kept
+        fresh = [word for word in known if word not in kept]
+        self.learn(fresh)
+        found = list(map(kept.__getitem__, known))
         for word in fresh:
             if len(word) > KEPT_LENGTH:
                 del kept[word]
-        return out
+        table = np.frombuffer(b"".join(found), self.kind)
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // self.kind.itemsize
+        begins = np.cumsum(sizes) - sizes
+        word = words.indices.to_numpy(zero_copy_only=False)
+        bounds = split.offsets.to_numpy().astype(np.int64)
+        many = sizes[word]
+        upto = np.concatenate([[0], np.cumsum(many)])
+        ids = table[np.repeat(begins[word] - upto[:-1], many) + np.arange(upto[-1])]
+        ends = upto[bounds[1:] - bounds[0]]
+        if end is not None:
+            ends = ends + np.arange(1, len(ends) + 1)
+            out = np.full(len(ids) + len(ends), end, self.kind)
+            own = np.ones(len(out), bool)
+            own[ends - 1] = False
+            out[own] = ids
+            ids = out
+        return ids, ends
+
+
+@lru_cache(maxsize=2)
+def _word_ids(path: str) -> WordIds:
+    """One per worker process, for all of its tasks."""
+    return WordIds(path)
 
 
 def _coded(path: str, end: int):
     """(doc_id, row, n, ids) of (doc_id, text), the end id included."""
-    made: list[WordIds] = []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not made:
-            made.append(WordIds(path))
-        words, number = made[0], TaskContext.get().partitionId() << 33
-        close = np.array([end], words.kind).tobytes()
+        words, number = _word_ids(path), TaskContext.get().partitionId() << 33
         for batch in batches:
-            docs, held, size = [], [], 0
-            for doc, text in zip(batch.column(0), batch.column(1)):
-                docs.append(doc)
-                held.append(text.as_py() or "")
-                size += len(held[-1])
-                if size > PIECE:
-                    yield rows(docs, [ids + close for ids in words(held)], number, words.kind)
-                    number += len(docs)
-                    docs, held, size = [], [], 0
-            if docs:
-                yield rows(docs, [ids + close for ids in words(held)], number, words.kind)
-                number += len(docs)
-
-    def rows(docs, ids, number, kind) -> pa.RecordBatch:
-        columns = [
-            pa.array([doc.as_py() for doc in docs], pa.int64()),
-            pa.array(np.arange(number, number + len(docs))),
-            pa.array([len(x) // kind.itemsize for x in ids], pa.int64()),
-            pa.array(ids, pa.binary()),
-        ]
-        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "row", "n", "ids"])
+            sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+            upto, first = np.cumsum(sizes, dtype=np.int64), 0
+            while first < batch.num_rows:
+                before = upto[first - 1] if first else 0
+                last = max(first + 1, int(np.searchsorted(upto, before + PIECE, "right")))
+                part = batch.slice(first, last - first)
+                ids, ends = words.column(part.column(1), end)
+                bounds = np.concatenate([[0], ends * ids.itemsize])
+                buffers = [None, pa.py_buffer(bounds), pa.py_buffer(ids)]
+                columns = [
+                    part.column(0),
+                    pa.array(np.arange(number, number + len(ends))),
+                    pa.array(np.diff(ends, prepend=0)),
+                    pa.Array.from_buffers(pa.large_binary(), len(ends), buffers).cast(pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "row", "n", "ids"])
+                number += len(ends)
+                first = last
 
     return run
 
