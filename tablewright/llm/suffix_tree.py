@@ -31,12 +31,13 @@ START = b"\t\t\t\t\n"  # no byte of it can be in a word
 END = b"\n"
 LEAST_COUNT = 32  # of a context, at any size of the corpus
 CONTEXT_SHARE = 4e-5  # of all places, for a context that is sent to executors
-RUN_SHARE = 5e-7  # of all places, for a run of six bytes that is sent to executors
+RUN_SHARE = 2.5e-7  # of all places, for a run of six bytes that is sent to executors
 SMOOTH = 8.0  # counts that a suffix's distribution is worth
 LANE = 512
 HEAD_SHARE = 2e-6  # of all tokens, for a word that is sent to executors
 HELD_BYTES, WORD_BYTES = 24 << 20, 120  # of counted words in a worker; what a word takes besides its letters
-HELD_PLACES, SENT = 2_500_000, 200_000  # counted runs in a worker, and those that it gives out at a time
+HELD_PLACES, SENT = 8_000_000, 200_000  # runs in a worker before they are counted, and those that it gives out at a time
+HASH, EMPTY = np.uint64(0x9E3779B97F4A7C15), np.int64(-1)  # of a table of runs
 
 
 def stream(rows: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
@@ -55,18 +56,11 @@ def scored_places(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return marks
 
 
-def _grams(rows: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct runs of a byte with the five before it, as numbers, and their counts."""
-    data, ends = stream(rows)
-    return np.unique(_codes(data)[scored_places(data, ends)[DEPTH:]], return_counts=True)
-
-
-def _codes(data: np.ndarray) -> np.ndarray:
-    """The run that ends at each place from the sixth on, as a number."""
-    code = np.zeros(max(len(data) - DEPTH, 0), np.uint64)
-    for k in range(DEPTH + 1):
-        code = (code << np.uint64(8)) | data[k : len(data) - DEPTH + k]
-    return code
+def _codes(data: np.ndarray, at: np.ndarray | slice = slice(None)) -> np.ndarray:
+    """The runs of a byte with the five before it, as numbers, that begin at places ``at``."""
+    padded = np.concatenate([data, np.zeros(2, np.uint8)])
+    every = np.ndarray(max(len(data) - DEPTH, 0), ">u8", padded, strides=(1,))
+    return every[at].astype(np.uint64) >> np.uint64(16)
 
 
 def _last(size: int, column: str = "code") -> Column:
@@ -77,31 +71,37 @@ def _last(size: int, column: str = "code") -> Column:
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of words and of byte runs, combined within the task as far as memory allows.
 
-    A worker holds HELD_BYTES of words, however long, and HELD_PLACES runs, which take about forty bytes each
-    while they are put together.
+    A worker holds HELD_BYTES of words, however long, and HELD_PLACES runs, which are sorted where they stand.
     """
     words: Counter = Counter()
-    word_bytes, held, size, codes, seen = 0, [], 0, [], []
+    word_bytes, held, size = 0, [], 0
+    codes, many = np.empty(HELD_PLACES, np.uint64), 0
 
     def runs() -> Iterator[pa.RecordBatch]:
-        nonlocal codes, seen
-        if not codes:
+        nonlocal many
+        if not many:
             return
-        code, many = np.concatenate(codes), np.concatenate(seen)
-        codes, seen = [], []
-        order = np.argsort(code)
-        code, many = code[order], many[order]
-        first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
-        code, many = code[first], np.add.reduceat(many, first)
-        for k in range(0, len(code), SENT):
-            yield _counted(None, code[k : k + SENT], many[k : k + SENT])
-
-    def count() -> None:
-        nonlocal held, size
-        code, many = _grams(held)
-        codes.append(code)
-        seen.append(many)
+        own = codes[:many]
+        own.sort()
+        new = np.ones(many, bool)
+        np.not_equal(own[1:], own[:-1], out=new[1:])
+        first = np.flatnonzero(new)
+        seen, own = np.diff(first, append=many), own[first]
+        many = 0
+        for k in range(0, len(own), SENT):
+            yield _counted(None, own[k : k + SENT], seen[k : k + SENT])
+
+    def place() -> Iterator[pa.RecordBatch]:
+        nonlocal held, size, many
+        data, ends = stream(held)
+        code = _codes(data)[scored_places(data, ends)[DEPTH:]]
         held, size = [], 0
+        while len(code):
+            part, code = code[: HELD_PLACES - many], code[HELD_PLACES - many :]
+            codes[many : many + len(part)] = part
+            many += len(part)
+            if many == HELD_PLACES:
+                yield from runs()
 
     for batch in batches:
         for text in texts(batch.column(0)):
@@ -114,15 +114,13 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held.append(own)
             size += len(text)
             if size > 1 << 20:
-                count()
-                if sum(map(len, codes)) > HELD_PLACES:
-                    yield from runs()
+                yield from place()
             if word_bytes > HELD_BYTES:
                 yield _counted(list(words), None, list(words.values()))
                 words.clear()
                 word_bytes = 0
     if held:
-        count()
+        yield from place()
     yield from runs()
     yield _counted(list(words), None, list(words.values()))
 
@@ -139,15 +137,13 @@ class Frequencies:
     def __init__(self, training: DataFrame, text_col: str = "text"):
         spark = training.sparkSession
         bounded_batches(spark)
-        partial = stored(
-            training.select(text_col).mapInArrow(_gather, "word binary, code long, seen long"), "suffix-counts"
-        )
-        counts = partial.filter("word IS NOT NULL").groupBy("word").agg(F.sum("seen").alias("c"))
-        self.words = stored(counts, "suffix-words")
+        partial = training.select(text_col).mapInArrow(_gather, "word binary, code long, seen long")
+        # read once, so what the tasks have counted goes to the shuffle without being written before
+        counts = stored(partial.groupBy("word", "code").agg(F.sum("seen").alias("c")), "suffix-counts")
+        self.words = counts.filter("word IS NOT NULL").select("word", "c")
         total = self.words.agg(F.sum("c"), F.count(F.lit(1))).first()
         self.tokens, self.distinct = total[0] or 0, total[1]
-        places = partial.filter("code IS NOT NULL").groupBy("code").agg(F.sum("seen").alias("c"))
-        self.places = stored(places, "suffix-places")
+        self.places = counts.filter("code IS NOT NULL").select("code", "c")
         self.total = self.places.agg(F.sum("c")).first()[0] or 0
         # (code, c) of every run of a context and a byte, by the context's length: each from the next longer
         self.runs = {DEPTH: self.places}
@@ -186,16 +182,16 @@ class Frequencies:
         return levels
 
     def frequent_runs(self, levels: list[DataFrame]) -> tuple[np.ndarray, np.ndarray]:
-        """Codes and log10 shares of the runs above ``RUN_SHARE``: 1 / RUN_SHARE runs at the most."""
+        """A table of the codes and log10 shares of the runs above ``RUN_SHARE``: 1 / RUN_SHARE runs at the most."""
         often = levels[-1].filter(F.col("c") >= max(1.0, RUN_SHARE * self.total))
-        got = often.select("code", F.log10("p").cast("float").alias("log")).toArrow().sort_by("code")
-        return got["code"].to_numpy(), got["log"].to_numpy()
+        got = often.select("code", F.log10("p").cast("float").alias("log")).toArrow()
+        return run_table(got["code"].to_numpy(), got["log"].to_numpy())
 
     def tree(self) -> dict:
-        """The automaton of the contexts above ``CONTEXT_SHARE``, and those of full length among them."""
+        """The automaton of the contexts above ``CONTEXT_SHARE``."""
         least = max(LEAST_COUNT, CONTEXT_SHARE * self.total)
-        levels = []
-        for length in range(DEPTH + 1):
+
+        def level(length: int) -> np.ndarray:
             grams = self.runs[length]
             often = grams.groupBy(F.shiftright("code", 8).alias("context")).agg(F.sum("c").alias("n"))
             if length:
@@ -203,8 +199,9 @@ class Frequencies:
             rows = grams.withColumn("context", F.shiftright("code", 8)).join(often, "context")
             got = rows.select("context", (F.col("code").bitwiseAND(F.lit(255))).alias("next"), "c").toArrow()
             got = got.sort_by([("context", "ascending"), ("next", "ascending")])
-            levels.append(np.stack([got[name].to_numpy() for name in ("context", "next", "c")], axis=1))
-        return {**automaton(levels, self.total), "deep": np.unique(levels[DEPTH][:, 0])}
+            return np.stack([got[name].to_numpy() for name in ("context", "next", "c")], axis=1)
+
+        return automaton(map(level, range(DEPTH + 1)), self.total)
 
 
 def run_values(levels: list[DataFrame], codes: DataFrame) -> DataFrame:
@@ -231,18 +228,22 @@ def least_apart(total: int) -> float:
     return 2.0 * math.log(total + 2)
 
 
-def automaton(levels: list[np.ndarray], total: int) -> dict:
-    """States, their log10 distributions and transitions from (context, next byte, count) rows."""
-    alphabet = np.unique(np.concatenate([rows[:, 1] for rows in levels] + [np.frombuffer(START, np.uint8)]))
+def automaton(levels: Iterator[np.ndarray], total: int) -> dict:
+    """States, their log10 distributions and transitions from (context, next byte, count) rows.
+
+    Levels are taken one by one; the first has every byte that any has. Contexts of full length have the
+    last states, from ``deep`` on, whether kept or not.
+    """
+    rows = next(levels)
+    alphabet = np.unique(np.concatenate([rows[:, 1], np.frombuffer(START, np.uint8)]))
     place = np.zeros(256, np.int64)
     place[alphabet] = np.arange(1, len(alphabet) + 1)
     width = len(alphabet) + 1  # column 0 stands for any one byte that training has not seen
     root = np.full(width, 0.5)
-    np.add.at(root, place[levels[0][:, 1]], levels[0][:, 2])
+    np.add.at(root, place[rows[:, 1]], rows[:, 2])
     shares = {b"": root / (total + 128.0)}
     cut = least_apart(total)
-    for length in range(1, DEPTH + 1):
-        rows = levels[length]
+    for length, rows in enumerate(levels, 1):
         contexts, first = np.unique(rows[:, 0], return_index=True)
         for context, a, b in zip(contexts.tolist(), first.tolist(), [*first[1:].tolist(), len(rows)]):
             name = context.to_bytes(length, "big")
@@ -254,35 +255,40 @@ def automaton(levels: list[np.ndarray], total: int) -> dict:
             apart = float((seen[some] * np.log(seen[some] / count / below[some])).sum())
             if apart >= cut:
                 shares[name] = (seen + SMOOTH * below) / (count + SMOOTH)
-    # with every part of a kept context a state of its own, a byte leads from state to state
-    names = {name[a:b] for name in shares for a in range(len(name) + 1) for b in range(a, len(name) + 1)}
+    deep = {context.to_bytes(DEPTH, "big") for context in contexts.tolist()}
+    # with every part of such a context a state of its own, a byte leads from state to state
+    names = {name[a:b] for name in deep.union(shares) for a in range(len(name) + 1) for b in range(a, len(name) + 1)}
     names |= {START[:k][a:] for k in range(len(START) + 1) for a in range(k + 1)}
-    order = sorted(names, key=lambda n: (len(n), n))
+    order = sorted(names, key=lambda n: (len(n), n in deep, n))
+    del names
     number = {name: k for k, name in enumerate(order)}
     logs = np.zeros((len(order), width), np.float32)
+    for k, name in enumerate(order):
+        logs[k] = np.log10(shares.pop(name)) if name in shares else logs[number[name[1:]]]
     step = np.zeros((len(order), width), np.int32)
     for k, name in enumerate(order):
         suffix = number[name[1:]] if name else 0
-        logs[k] = np.log10(shares[name]) if name in shares else logs[suffix]
         step[k] = step[suffix]
         for byte in alphabet.tolist():
             if (longer := number.get(name + bytes([byte]))) is not None:
                 step[k, place[byte]] = longer
-    return {"place": place.astype(np.uint8), "logs": logs.ravel(), "step": (step * width).ravel()}
+    step *= width
+    first = (len(order) - len(deep)) * width
+    return {"place": place.astype(np.uint8), "logs": logs.ravel(), "step": step.ravel(), "deep": first}
 
 
 def text_scores(tree: dict, rows: list[list[bytes]]) -> np.ndarray:
     """Log10 probability of every text by the automaton alone."""
     data, ends = stream(rows)
-    return _per_text(_place_scores(tree, data, ends), ends)
+    return _per_text(_place_scores(tree, data, ends)[0], ends)
 
 
 def _per_text(scores: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.add.reduceat(scores, np.concatenate([[0], ends[:-1]]).astype(np.int64))
 
 
-def _place_scores(tree: dict, data: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Log10 probability of every byte. The stream is read in lanes side by side.
+def _place_scores(tree: dict, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log10 probability of every byte, and whether it is open: not behind a frequent context of full length. The stream is read in lanes side by side.
 
     A state depends on the last five bytes only, so a lane that starts five bytes early is in the
     right state when its own part begins.
@@ -293,24 +299,50 @@ def _place_scores(tree: dict, data: np.ndarray, ends: np.ndarray) -> np.ndarray:
     padded[DEPTH : DEPTH + len(codes)] = codes
     grid = np.lib.stride_tricks.as_strided(padded, (lanes, LANE + DEPTH), (LANE * 8, 8))
     grid = np.ascontiguousarray(grid.T)
-    got = np.zeros((LANE, lanes))
+    got, rest = np.zeros((LANE, lanes), np.float32), np.zeros((LANE, lanes), bool)
     state = np.zeros(lanes, np.int64)
     for k in range(LANE + DEPTH):
         at = state + grid[k]
         if k >= DEPTH:
-            got[k - DEPTH] = tree["logs"][at]
-        state = tree["step"][at].astype(np.int64)
-    flat = got.T.ravel()[: len(codes)]
-    flat[~scored_places(data, ends)] = 0.0
-    return flat
-
-
-def _is_in(keys: np.ndarray, sought: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(whether each is among the sorted keys, where)."""
-    if not len(keys):
-        return np.zeros(len(sought), bool), np.zeros(len(sought), np.int64)
-    at = np.minimum(np.searchsorted(keys, sought), len(keys) - 1)
-    return keys[at] == sought, at
+            tree["logs"].take(at, out=got[k - DEPTH], mode="clip")
+            np.less(state, tree["deep"], out=rest[k - DEPTH])
+        state = tree["step"].take(at).astype(np.int64)
+    marks = scored_places(data, ends)
+    flat = got.T.ravel()[: len(codes)].astype(np.float64)
+    flat[~marks] = 0.0
+    return flat, rest.T.ravel()[: len(codes)] & marks
+
+
+def run_table(codes: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes and their values by hash, each in the first free place from its own on; half are free."""
+    bits = max(2 * len(codes), 2).bit_length()
+    keys, out = np.full(1 << bits, EMPTY), np.zeros(1 << bits, np.float32)
+    at, left = _slots(codes, bits), np.arange(len(codes))
+    while len(left):
+        free = np.flatnonzero(keys[at] == EMPTY)
+        own, which = np.unique(at[free], return_index=True)
+        keys[own], out[own] = codes[left[free[which]]], values[left[free[which]]]
+        more = keys[at] != codes[left]
+        at, left = at[more] + 1 & len(keys) - 1, left[more]
+    return keys, out
+
+
+def _slots(codes: np.ndarray, bits: int) -> np.ndarray:
+    return (codes.astype(np.uint64) * HASH >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def looked_up(table: tuple[np.ndarray, np.ndarray], codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(whether each code is in a ``run_table``, its value or 0)."""
+    keys, values = table
+    found, got = np.zeros(len(codes), bool), np.zeros(len(codes), np.float32)
+    at, left = _slots(codes, len(keys).bit_length() - 1), np.arange(len(codes))
+    while len(left):
+        there = keys[at]
+        hit = there == codes[left]
+        found[left[hit]], got[left[hit]] = True, values[at[hit]]
+        more = ~hit & (there != EMPTY)
+        at, left = at[more] + 1 & len(keys) - 1, left[more]
+    return found, got
 
 
 def open_scores(tree: dict, runs: tuple, rows: list[list[bytes]]) -> tuple[np.ndarray, pa.ListArray]:
@@ -319,15 +351,13 @@ def open_scores(tree: dict, runs: tuple, rows: list[list[bytes]]) -> tuple[np.nd
     A place is settled when its five bytes are a frequent context, or with it a frequent run.
     """
     data, ends = stream(rows)
-    scores = _place_scores(tree, data, ends)
-    code = _codes(data).view(np.int64)
-    left = scored_places(data, ends)[DEPTH:] & ~_is_in(tree["deep"], code >> 8)[0]
+    scores, left = _place_scores(tree, data, ends)
     place = np.flatnonzero(left)
-    own, back = np.unique(code[place], return_inverse=True)
-    found, at = _is_in(runs[0], own)
-    scores[place + DEPTH] = (np.where(found, runs[1][at], 0.0) if len(runs[0]) else np.zeros(len(own)))[back]
-    place = place[~found[back]]
-    text, code = np.searchsorted(ends, place + DEPTH, "right"), code[place]
+    code = _codes(data, place - DEPTH).view(np.int64)
+    found, value = looked_up(runs, code)
+    scores[place] = value
+    place, code = place[~found], code[~found]
+    text = np.searchsorted(ends, place, "right")
     order = np.lexsort((code, text))
     text, code = text[order], code[order]
     new = np.ones(len(text), bool)
