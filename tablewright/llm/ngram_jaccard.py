@@ -38,6 +38,7 @@ from tablewright.operators.graph import connected_components
 WIDEN = 1.5  # size ratio of a band; wider bands mean more segments, narrower ones more lookups
 HEAVY_SHARE = 0.002  # a token in more than this share of the documents is heavy
 SKETCH = 256  # bits of the parity sketch
+PART_BITS = 40  # of an entry that the first count looks at
 CLASS = 1.05  # size ratio of a class in which rare tokens are compared
 
 
@@ -252,16 +253,18 @@ def shingle_components(
         _entries(width, percent, spark.sparkContext.broadcast(heavy)), "entry long, doc_id long"
     )
     # Each table of keys is written before it is joined, so that hot keys of the other side split.
+    # The first count is of the entries' leading bits, which take less room in the shuffle; an entry that only
+    # shares these with others is alone in its bucket and goes with the degrees below.
     shared = stored(
-        entries.groupBy("entry")
+        entries.groupBy(leading_bits(F.col("entry")).alias("part"))
         .agg(F.count(F.lit(1)).alias("c"))
         .filter("c > 1")
-        .select("entry"),
+        .select("part"),
         "jaccard-shared",
     )
+    often = entries.join(shared, leading_bits(F.col("entry")) == F.col("part"))
     index = stored(
-        entries.join(shared, "entry").join(sets.select("doc_id", "rep"), "doc_id").select("entry", "rep").distinct(),
-        "jaccard-index",
+        often.join(sets.select("doc_id", "rep"), "doc_id").select("entry", "rep").distinct(), "jaccard-index"
     )
     sets = sets.filter("doc_id = rep").select("rep", "n", "s0", "s1", "s2", "s3").distinct()
     degree = index.groupBy("entry").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
@@ -288,6 +291,11 @@ def shingle_components(
     )
 
 
+def leading_bits(entry: Column) -> Column:
+    """The first ``PART_BITS`` of an entry."""
+    return F.shiftrightunsigned(entry, 64 - PART_BITS)
+
+
 def represented(members: DataFrame) -> DataFrame:
     """Each row with ``rep``, the least id of the documents that have its set; empty sets stand alone."""
     key = ["n", "k0", "k1"]

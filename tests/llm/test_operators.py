@@ -7,6 +7,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -140,6 +141,19 @@ def test_components_equal_brute_force(documents, width, percent):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
 
 
+def test_entries_with_equal_leading_bits_stay_apart(spark, documents, monkeypatch):
+    """The first count may take entries together, the buckets may not."""
+    docs = documents.limit(120)
+    apart = sorted(map(tuple, ngram_jaccard.shingle_components(docs, width=3, percent=80).collect()), key=str)
+    monkeypatch.setattr(ngram_jaccard, "PART_BITS", 4)
+    met = []
+    real = ngram_jaccard.open_pairs
+    monkeypatch.setattr(ngram_jaccard, "open_pairs", lambda index, *args: met.append(index) or real(index, *args))
+    together = sorted(map(tuple, ngram_jaccard.shingle_components(docs, width=3, percent=80).collect()), key=str)
+    assert together == apart
+    assert met[0].groupBy("entry").count().filter("count = 1").isEmpty()
+
+
 def test_components_of_many_near_copies(spark):
     rng = np.random.default_rng(3)
     base = [f"w{k}" for k in rng.integers(0, 400, 120)]
@@ -456,6 +470,56 @@ def test_tree_is_a_distribution_and_lanes_agree(documents):
         assert score == pytest.approx(total, rel=1e-6)
 
 
+def test_open_places_follow_the_frequent_contexts(documents, monkeypatch):
+    monkeypatch.setattr(suffix_tree, "CONTEXT_SHARE", 0.002)
+    model = suffix_tree.Frequencies(documents)
+    tree, often = model.tree(), Counter()
+    for r in model.places.collect():
+        often[r["code"] >> 8] += r["c"]
+    least = max(suffix_tree.LEAST_COUNT, 0.002 * model.total)
+    data, ends = suffix_tree.stream([words(t) for t in list(texts_of(documents).values())[:40]])
+    _, left = suffix_tree._place_scores(tree, data, ends)
+    marks = suffix_tree.scored_places(data, ends)
+    context = [int.from_bytes(data[k - 5 : k].tobytes(), "big") if k >= 5 else -1 for k in range(len(data))]
+    assert left.tolist() == [bool(m) and often[c] < least for m, c in zip(marks, context)]
+    assert left.any() and (marks & ~left).any()
+
+
+def test_counts_are_whole_and_written_once(spark, monkeypatch):
+    """What the tasks count is combined before it is written, and a full buffer loses nothing."""
+    labels = {}
+    real = suffix_tree.stored
+
+    def counted(df, label):
+        labels[label] = real(df, label)
+        return labels[label]
+
+    monkeypatch.setattr(suffix_tree, "stored", counted)
+    text = "one two three one"
+    model = suffix_tree.Frequencies(spark.createDataFrame([(text,)] * 8, "text string").repartition(4))
+    distinct = model.words.count() + model.places.count()
+    assert labels["suffix-counts"].count() == distinct and model.tokens == 40
+    monkeypatch.setattr(suffix_tree, "HELD_PLACES", 7)
+    monkeypatch.setattr(suffix_tree, "SENT", 3)
+    runs = Counter()
+    for batch in suffix_tree._gather(iter([pa.RecordBatch.from_arrays([pa.array([text] * 8)], names=["text"])])):
+        for r in batch.to_pylist():
+            if r["code"] is not None:
+                runs[r["code"]] += r["seen"]
+    assert runs == {r["code"]: r["c"] for r in model.places.collect()}
+
+
+def test_run_table_finds_what_it_holds():
+    rng = np.random.default_rng(3)
+    codes = np.unique(rng.integers(0, 1 << 48, 5000))
+    values = rng.random(len(codes)).astype(np.float32)
+    table = suffix_tree.run_table(codes, values)
+    found, got = suffix_tree.looked_up(table, np.concatenate([codes[::-1], codes + 1]))
+    assert found[: len(codes)].all() and np.array_equal(got[: len(codes)], values[::-1])
+    assert np.array_equal(found[len(codes) :], np.isin(codes + 1, codes))
+    assert not suffix_tree.looked_up(suffix_tree.run_table(codes[:0], values[:0]), codes)[0].any()
+
+
 @pytest.mark.parametrize("context, run", [(4e-5, 5e-7), (0.01, 1e-4)])
 def test_scores_equal_the_whole_tree(documents, monkeypatch, context, run):
     """Whatever share is sent out, every context of the least count that passes the test takes part."""
