@@ -17,10 +17,10 @@ import os
 import re
 import struct
 import zlib
-from array import array
 from codecs import charmap_decode
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -29,14 +29,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import bounded_batches, stored, tasks_for
+from tablewright.llm.common import bounded_batches, chunks, stored, tasks_for
 from tablewright.llm.range_coder import BLOCK, decode_block, encode_block
 
 HEAD = "<4sIIIII"  # magic, vocabulary size, file, place, documents, bytes of the block
 HEAD_SIZE = struct.calcsize(HEAD)
 MAGIC = b"TKR1"
 FILE_IDS = 8 << 20
-KEPT_WORDS, KEPT_RUNS, KEPT_LENGTH = 500_000, 800_000, 32  # words and runs whose ids a worker remembers, and their longest
+KEPT_RUNS, KEPT_LENGTH = 1_000_000, 32  # runs whose ids a worker remembers, and their longest
 PIECE = 4 << 20  # bytes of text that are looked up at a time
 #: How a tokenizer must treat words for ``PLAIN`` ones to be cut here: case, composed forms and white space, then runs.
 LAYOUT = {
@@ -61,23 +61,35 @@ LAYOUT = {
         ],
     },
     "post_processor": None,
+    "end": "</w>",
 }
-#: Words of ASCII characters but the apostrophe, and of letters of Latin-1: composed, and with one lower case each.
-PLAIN = re.compile(r"[!-&(-~\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]*").fullmatch
-RUNS = re.compile(r"[a-z\u00DF-\u00F6\u00F8-\u00FF]+|[0-9]|[!-/:-@\[-`{-~]+").findall
+END = LAYOUT["end"]
+#: What a byte is where the tokenizer cuts as ``LAYOUT`` says: its words' gaps, then what runs are made of. Other bytes,
+#: but those of Latin-1 letters (composed, and with one lower case each), leave their word to the whole library.
+GAP, LETTER, DIGIT, SIGN, OTHER = range(5)
+GAPS = b" \t\n"
+KINDS = np.full(256, OTHER, np.uint8)
+KINDS[list(GAPS)] = GAP
+KINDS[0x21:0x7F] = SIGN
+KINDS[list(b"0123456789")] = DIGIT
+KINDS[list(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")] = LETTER
+KINDS[ord("'")] = OTHER
+KINDS = KINDS.tobytes()
+LOWER = bytes(range(256)).lower()
+LATIN, TIMES, DIVIDED, CASE = 0xC3, 0x97, 0xB7, 0x20  # lead byte of U+00C0 to U+00FF, the two that are no letters, case bit
 #: The characters that stand for the 256 bytes in byte-level models: a printable one of Latin-1 for itself.
 PRINTED = [b for b in range(256) if chr(b).isprintable() and b != 0x20]
 BYTE_LETTERS = "".join(chr(b if b in PRINTED else 256 + b - sum(x < b for x in PRINTED)) for b in range(256))
 
 
-
 class WordIds:
-    """Ids of texts by the tokenizers library, word by word.
+    """Ids of texts by the tokenizers library, run by run.
 
     The tokenizer must never join what stands on both sides of a space, a tab or a line feed,
-    as is the case where its pattern drops white space. Words that come again are looked up. Where the
-    tokenizer cuts and maps words as ``LAYOUT`` says, new ones of plain characters are cut into runs of letters,
-    digits and runs of signs here, which the library's model has to see once each.
+    as is the case where its pattern drops white space. Where it cuts and maps words as ``LAYOUT`` says, words of
+    plain characters are lower-cased and cut into runs of letters, digits and runs of signs here, by arrays, and
+    the library's model has to see a run once. All other words are runs of their own, which go through the
+    whole library. Runs that come again are looked up.
     """
 
     def __init__(self, path: str):
@@ -89,39 +101,92 @@ class WordIds:
         self.tokenizer.no_padding()
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.kind = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
-        self.code = "H" if self.size <= 1 << 16 else "I"
-        self.kept: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-        self.model = self.tokenizer.model
-        added = [re.escape(token.content) for token in self.tokenizer.get_added_tokens_decoder().values()]
-        self.added = re.compile("|".join(added) or "(?!)").search
+        self.model = Tokenizer(self.tokenizer.model)  # nothing but the model
+        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         parts = json.loads(self.tokenizer.to_str())
+        vocabulary, parts["end"] = self.tokenizer.get_vocab(with_added_tokens=False), parts["model"].get("end_of_word_suffix")
         self.plain = {name: parts[name] for name in LAYOUT} == LAYOUT
-
-    def _part(self, part: str) -> bytes:
-        """The ids of a run that the tokenizer's pattern takes as a whole."""
-        ids = self.parts.get(part)
-        if ids is None:
-            letters = charmap_decode(part.encode(), "strict", BYTE_LETTERS)[0]
-            ids = array(self.code, [token.id for token in self.model.tokenize(letters)]).tobytes()
-            if len(part) <= KEPT_LENGTH:
-                self.parts[part] = ids
-        return ids
-
-    def learn(self, fresh: list[str]) -> None:
-        """Keep the ids of words that are new."""
-        kept, others = self.kept, fresh
-        if self.plain:
-            if len(self.parts) > KEPT_RUNS:
-                self.parts = {}
-            others, get, part, added = [], self.parts.get, self._part, self.added
-            for word in fresh:
-                if PLAIN(word) and not added(word):
-                    kept[word] = b"".join([get(run) or part(run) for run in RUNS(word.lower())])
-                else:
-                    others.append(word)
-        for word, found in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False)):
-            kept[word] = array(self.code, found.ids).tobytes()
+        self.plain &= all(x in vocabulary and x + END in vocabulary for x in BYTE_LETTERS)
+        # a word that has an added token in it must not look like a run
+        self.plain &= not any(t.isalnum() or not any(c.isalnum() for c in t) for t in self.added)
+        self.closing = np.zeros(self.size, bool)  # whether a token ends a run, as no run has END in it
+        self.closing[[k for token, k in vocabulary.items() if token.endswith(END)]] = True
+        self.forget()
+
+    def forget(self) -> None:
+        """Start anew with no ids kept."""
+        self.places: dict[bytes, int] = {}  # of the runs whose ids are kept
+        self.ids, self.ends = np.zeros(0, self.kind), np.zeros(1, np.int64)
+
+    def _others(self, data: np.ndarray, offsets: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+        """Places of the bytes of all words that are not plain."""
+        if not self.plain:
+            return np.flatnonzero(kinds)
+        odd = [np.flatnonzero(kinds == OTHER)]
+        for token in self.added:
+            found = re.finditer(re.escape(token.encode()), data.data)
+            odd.append(np.array([match.start() for match in found], np.int64))
+        odd = np.concatenate(odd)
+        if not len(odd):
+            return odd
+        inside = kinds != GAP
+        begins, ends = inside.copy(), inside.copy()
+        begins[1:] &= ~inside[:-1]
+        ends[:-1] &= ~inside[1:]
+        cuts = offsets[(offsets > 0) & (offsets < len(data))]
+        begins[cuts] = inside[cuts]
+        ends[cuts - 1] = inside[cuts - 1]
+        begins, ends = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+        words = np.unique(np.searchsorted(begins, odd, "right") - 1)
+        sizes = ends[words] - begins[words]
+        return np.repeat(begins[words] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+
+    def runs(self, data: np.ndarray, offsets: np.ndarray) -> tuple[pa.DictionaryArray, np.ndarray, np.ndarray]:
+        """(runs of all texts, which of the different ones are words that are not plain, runs before each text)."""
+        kinds, low = (np.frombuffer(bytearray(data).translate(table), np.uint8) for table in (KINDS, LOWER))
+        lead = np.flatnonzero(data[:-1] == LATIN)
+        second = data[lead + 1]
+        letters = (second >> 6 == 2) & (second != TIMES) & (second != DIVIDED)
+        lead, second = lead[letters], second[letters]
+        kinds[lead] = kinds[lead + 1] = LETTER
+        low[lead + 1] = np.where(second < 0x9F, second + CASE, second)
+        others = self._others(data, offsets, kinds)
+        kinds[others], low[others] = OTHER, data[others]
+        begins = kinds == DIGIT
+        begins[1:] |= kinds[1:] != kinds[:-1]
+        begins[offsets[:-1][offsets[:-1] < len(data)]] = True
+        inside = kinds != GAP
+        ends = inside.copy()
+        ends[:-1] &= begins[1:] | ~inside[1:]
+        begins &= inside
+        starts = np.flatnonzero(begins)
+        bounds = np.concatenate([[0], np.cumsum(np.flatnonzero(ends) + 1 - starts)])
+        buffers = [None, pa.py_buffer(bounds), pa.py_buffer(bytearray(low).translate(None, GAPS))]
+        found = pa.Array.from_buffers(pa.large_binary(), len(starts), buffers).dictionary_encode()
+        whole = np.zeros(len(found.dictionary), bool)
+        if len(others):
+            whole[found.indices.to_numpy()[kinds[starts] == OTHER]] = True
+        return found, whole, np.searchsorted(starts, offsets)
+
+    def learn(self, fresh: list[bytes], whole: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, how many each has) of new runs."""
+        sizes = np.zeros(len(fresh), np.int64)
+        words, plain = np.flatnonzero(whole), np.flatnonzero(~whole)
+        texts = [fresh[k].decode() for k in words.tolist()]
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes[words] = [len(own) for own in found]
+        word_ids = np.array([x for own in found for x in own], self.kind)
+        if not len(plain):
+            return word_ids, sizes
+        letters = charmap_decode(b" ".join([fresh[k] for k in plain.tolist()]), "strict", BYTE_LETTERS)[0]
+        (found,) = self.model.encode_batch_fast(
+            [letters.split(BYTE_LETTERS[0x20])], is_pretokenized=True, add_special_tokens=False
+        )
+        run_ids = np.array(found.ids, self.kind)
+        sizes[plain] = np.diff(np.flatnonzero(self.closing[run_ids]) + 1, prepend=0)
+        ids, own = np.empty(len(word_ids) + len(run_ids), self.kind), np.repeat(whole, sizes)
+        ids[own], ids[~own] = word_ids, run_ids
+        return ids, sizes
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """The ids of every text as little-endian numbers."""
@@ -130,36 +195,48 @@ class WordIds:
 
     def column(self, texts: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, place after each text), each with the id ``end`` behind it. Null is empty."""
-        if len(self.kept) > KEPT_WORDS:
-            self.kept = {}
-        flat = pc.fill_null(texts.cast(pa.large_string()), "")
-        flat = pc.replace_substring(pc.replace_substring(flat, "\n", " "), "\t", " ")
-        split = pc.split_pattern(flat, " ")
-        words = split.flatten().dictionary_encode()
-        known, kept = words.dictionary.to_numpy(zero_copy_only=False).tolist(), self.kept
-        fresh = [word for word in known if word not in kept]
-        self.learn(fresh)
-        found = list(map(kept.__getitem__, known))
-        for word in fresh:
-            if len(word) > KEPT_LENGTH:
-                del kept[word]
-        table = np.frombuffer(b"".join(found), self.kind)
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // self.kind.itemsize
-        begins = np.cumsum(sizes) - sizes
-        word = words.indices.to_numpy(zero_copy_only=False)
-        bounds = split.offsets.to_numpy().astype(np.int64)
-        many = sizes[word]
-        upto = np.concatenate([[0], np.cumsum(many)])
-        ids = table[np.repeat(begins[word] - upto[:-1], many) + np.arange(upto[-1])]
-        ends = upto[bounds[1:] - bounds[0]]
-        if end is not None:
-            ends = ends + np.arange(1, len(ends) + 1)
-            out = np.full(len(ids) + len(ends), end, self.kind)
-            own = np.ones(len(out), bool)
-            own[ends - 1] = False
-            out[own] = ids
-            ids = out
-        return ids, ends
+        ids, ends = [np.zeros(0, self.kind)], [np.zeros(0, np.int64)]
+        upto = 0
+        for _, _, own, places in self.pieces(texts, end):
+            ids.append(own)
+            ends.append(places + upto)
+            upto += len(own)
+        return np.concatenate(ids), np.concatenate(ends)
+
+    def pieces(self, texts: pa.Array, end: int | None = None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """(first text, last text + 1, ids of these texts, place after each) of texts of about ``PIECE`` bytes."""
+        for first, last, data, offsets in chunks(texts, PIECE):
+            if len(self.places) > KEPT_RUNS:
+                self.forget()
+            found, whole, bounds = self.runs(data, offsets)
+            names = found.dictionary.to_numpy(zero_copy_only=False).tolist()
+            places = np.fromiter(map(self.places.get, names, repeat(-1)), np.int64, len(names))
+            ids, ends = self.ids, self.ends
+            new = np.flatnonzero(places < 0)
+            if len(new):
+                lengths = pc.binary_length(found.dictionary).to_numpy()[new]
+                new = new[np.argsort(lengths > KEPT_LENGTH, kind="stable")]  # long ones are last and not kept
+                fresh = [names[k] for k in new.tolist()]
+                got, sizes = self.learn(fresh, whole[new])
+                places[new] = np.arange(len(ends) - 1, len(ends) - 1 + len(new))
+                ids, ends = np.concatenate([ids, got]), np.concatenate([ends, ends[-1] + np.cumsum(sizes)])
+                keep = int((lengths <= KEPT_LENGTH).sum())
+                self.places.update(zip(fresh[:keep], range(len(self.ends) - 1, len(self.ends) - 1 + keep)))
+                self.ends = ends[: len(self.ends) + keep]
+                self.ids = ids[: self.ends[-1]]
+            run = places[found.indices.to_numpy()]
+            many = ends[run + 1] - ends[run]
+            upto = np.concatenate([[0], np.cumsum(many)])
+            ids = ids[np.repeat(ends[run] - upto[:-1], many) + np.arange(upto[-1])]
+            ends = upto[bounds[1:]]
+            if end is not None:
+                ends = ends + np.arange(1, len(ends) + 1)
+                out = np.full(len(ids) + len(ends), end, self.kind)
+                own = np.ones(len(out), bool)
+                own[ends - 1] = False
+                out[own] = ids
+                ids = out
+            yield first, last, ids, ends
 
 
 @lru_cache(maxsize=2)
@@ -174,24 +251,17 @@ def _coded(path: str, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, number = _word_ids(path), TaskContext.get().partitionId() << 33
         for batch in batches:
-            sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
-            upto, first = np.cumsum(sizes, dtype=np.int64), 0
-            while first < batch.num_rows:
-                before = upto[first - 1] if first else 0
-                last = max(first + 1, int(np.searchsorted(upto, before + PIECE, "right")))
-                part = batch.slice(first, last - first)
-                ids, ends = words.column(part.column(1), end)
+            for first, last, ids, ends in words.pieces(batch.column(1), end):
                 bounds = np.concatenate([[0], ends * ids.itemsize])
                 buffers = [None, pa.py_buffer(bounds), pa.py_buffer(ids)]
                 columns = [
-                    part.column(0),
+                    batch.column(0).slice(first, last - first),
                     pa.array(np.arange(number, number + len(ends))),
                     pa.array(np.diff(ends, prepend=0)),
                     pa.Array.from_buffers(pa.large_binary(), len(ends), buffers).cast(pa.binary()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "row", "n", "ids"])
                 number += len(ends)
-                first = last
 
     return run
 

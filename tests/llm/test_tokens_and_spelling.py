@@ -3,8 +3,10 @@
 import hashlib
 import os
 import re
+import sys
 import zlib
 from collections import Counter, defaultdict
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -154,6 +156,62 @@ def test_plain_words_need_the_model_only():
     assert [x.tolist() for x in np.split(ids, ends[:-1])] == expected
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(st.sampled_from("aBz \u00c9\u00e9\u00df\u00ff\u00d7\u00f7'\u2019 \t\n\r\x0b\x00\u00a01\u00b2<|>-_\u0301\u0130"), max_size=12) | st.just("<|endoftext|>B")))
+def test_runs_of_any_characters_have_the_ids_of_whole_texts(texts):
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(WORDS)
+    found = word_ids()(texts)
+    assert [np.frombuffer(x, "<u2").tolist() for x in found] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+@lru_cache
+def word_ids():
+    return token_files.WordIds(WORDS)
+
+
+def test_new_words_of_known_runs_cost_no_calls():
+    """Words are cut by arrays: thousands of new ones, all of a few runs, make no calls for each of them."""
+    names = [a + b for a in "bcdfghjklm" for b in "aeiouy"]
+    texts = pa.array([" ".join(f"{a}-{b}" for a in names for b in names)])
+    words, calls = token_files.WordIds(WORDS), 0
+
+    def count(frame, event, of):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    try:
+        ids, ends = words.column(texts)
+    finally:
+        sys.setprofile(None)
+    assert ends.tolist() == [len(ids)] and len(ids) >= 3 * len(names) ** 2
+    assert calls < len(names) ** 2 / 4
+
+
+def test_few_kept_runs_give_the_same_ids(monkeypatch):
+    """Long runs are not kept, and others are forgotten from time to time."""
+    texts = [text or "" for text in ODD] * 3
+    expected = token_files.WordIds(WORDS)(texts)
+    for name, value in (("KEPT_RUNS", 5), ("KEPT_LENGTH", 3), ("PIECE", 20)):
+        monkeypatch.setattr(token_files, name, value)
+    assert token_files.WordIds(WORDS)(texts) == expected
+
+
+def test_sums_of_frequencies_are_not_renewed_in_each_step(monkeypatch):
+    """Blocks come back, hardly longer than their ids' entropy, with a sum over the vocabulary in few of the steps."""
+    share = 1 / np.arange(1, 5001)
+    share /= share.sum()
+    ids = np.random.default_rng(5).choice(5000, 300_000, p=share).astype(np.uint32)
+    sums, cumsum = [], np.cumsum
+    monkeypatch.setattr(np, "cumsum", lambda a, *args, **kw: sums.append(len(a)) or cumsum(a, *args, **kw))
+    block = range_coder.encode_block(ids, 49_408)
+    assert sums.count(49_408) < range_coder.LANE / 3
+    assert np.array_equal(range_coder.decode_block(block, 49_408), ids)
+    assert 8 * len(block) < 1.08 * len(ids) * -(share * np.log2(share)).sum()
+
+
 @pytest.mark.parametrize("block, file_ids", [(range_coder.BLOCK, token_files.FILE_IDS), (100, 500)])
 def test_token_files_come_back(spark, odd, tmp_path, block, file_ids):
     """Documents over many blocks, files of many documents, and empty files."""
