@@ -119,7 +119,8 @@ def page(
         ends = list(accumulate(counted.get(k, 0) for k in range(len(points) + 1)))
         first = next((k for k, end in enumerate(ends) if end > offset), len(points))
         last = next((k for k, end in enumerate(ends) if end >= offset + n), len(points))
-        if last - first == len(points):
+        before = ends[first - 1] if first else 0
+        if ends[last] - before == left:  # no rows stand outside the stretches that hold the page
             break
         low, high = (points[first - 1] if first else None), (points[last] if last < len(points) else None)
         part = part.filter(leading_bound(placed[0], low and low[0], high and high[0]))
@@ -127,7 +128,6 @@ def page(
             part = part.filter(~row_before(placed, low))
         if high:
             part = part.filter(row_before(placed, high))
-        before = ends[first - 1] if first else 0
         offset, left = offset - before, ends[last] - before
     return part.orderBy(*order).offset(offset).limit(n)
 
