@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablewright.operators import ranges, refresh, slices, summaries
+from tablewright.session import settings
 from tablewright.sinks import layout
 from tests.helpers import plan, rows
 
@@ -54,6 +55,19 @@ def test_a_grid_of_many_heavy_ranges_is_no_part_of_the_plan(spark):
     assert made.count() == 200 * 4 * 4 == made.select("id", "j").distinct().count()
 
 
+def test_blocks_grow_where_pairs_outgrow_the_rows(spark):
+    """All points lie in all bands: with blocks of one size a row would be copied about 20 times."""
+    points = spark.range(600).select("id", (F.col("id") % 7).cast("double").alias("x"))
+    bands = spark.range(300).select(F.col("id").alias("j"), F.lit(0.0).alias("low"), F.lit(9.0).alias("high"))
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        made = ranges.band_join(points, "x", bands, "low", "high", 10**6, slices=2, task_pairs=50)
+        assert len({(r["id"], r["j"]) for r in made.collect()}) == 600 * 300
+        stages = made._jdf.queryExecution().executedPlan().executedPlan().plan().collectLeaves()
+        sent = [stages.apply(k).plan().metrics().apply("shuffleRecordsWritten").value() for k in range(stages.size())]
+    # a band is in each of the cells it meets, a point in one
+    assert len(sent) == 2 and sum(sent) <= 1.5 * (600 + 300 * 7)
+
+
 def test_stretches_follow_the_order(spark):
     df = spark.createDataFrame([(None, 1), (1, 2), (1, 3), (1, 4), (2, 5), (7, 6)], "a int, b int")
     for order, want in ((["a", "b"], [0, 1, 2, 3, 4, 5]), ([F.col("a").desc(), "b"], [5, 2, 3, 4, 1, 0])):
